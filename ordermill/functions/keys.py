@@ -8,18 +8,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def zero_padded(number: Column, width: int) -> Column:
+    """A non-negative number padded to ``width`` digits; larger numbers keep all their digits.
+
+    Several times faster than ``format_string``, which runs a Java formatter on every row.
+    """
+    digits = number.cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+
+
 def padded_id(prefix: str, number: Column) -> Column:
-    """``prefix`` and the number padded to three digits; larger numbers keep all their digits."""
-    return F.format_string(f"{prefix}%03d", number)
+    return F.concat(F.lit(prefix), zero_padded(number, 3))
 
 
 def order_id(run_date: Column, order_number: Column, line_number: Column) -> Column:
     """``O``, the run date without dashes, then order and line number."""
-    return F.format_string("O%s%03d-%d", F.replace(run_date, F.lit("-"), F.lit("")), order_number, line_number)
+    day = F.replace(run_date, F.lit("-"), F.lit(""))
+    return F.concat(F.lit("O"), day, zero_padded(order_number, 3), F.lit("-"), line_number.cast("string"))
+
+
+def payment_id(order_number: Column, line_number: Column) -> Column:
+    return F.concat(padded_id("PAY", order_number), F.lit("-"), line_number.cast("string"))
 
 
 def display_name(category: Column, number: Column) -> Column:
-    return F.format_string("%s Product %02d", category, number)
+    return F.concat(category, F.lit(" Product "), zero_padded(number, 2))
 
 
 def pick(values: Sequence[str], index: Column) -> Column:

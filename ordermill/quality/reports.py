@@ -79,71 +79,82 @@ def join_quality(orders: DataFrame, customers: DataFrame, products: DataFrame) -
 
 
 def reconcile(
-    detail: DataFrame, stored: DataFrame, keys: list[str], detail_value: str, stored_value: str
+    detail: DataFrame, stored: DataFrame, keys: list[str], measures: list[tuple[str, str]]
 ) -> DataFrame:
-    """Sums of both sides per key, and whether they agree.
+    """Sums of both sides per key and (detail column, stored column) pair, and whether they agree.
 
-    A union and one aggregate in place of a full join: NULL keys meet, a key missing on one side
-    shows, and both sides are summed before the shuffle.
+    Gives ``keys, measure, recomputed, stored, passed``. A union and one aggregate in place of a
+    full join: NULL keys meet, a key missing on one side shows, and both sides are summed before
+    the shuffle.
     """
+    amount = "decimal(28,6)"
+
+    def side(df: DataFrame, in_detail: bool) -> DataFrame:
+        own = {
+            f"{'recomputed' if in_detail else 'stored'}_{i}": F.col(pair[0 if in_detail else 1]).cast(amount)
+            for i, pair in enumerate(measures)
+        }
+        columns = [
+            own.get(name, F.lit(None).cast(amount)).alias(name)
+            for i in range(len(measures))
+            for name in (f"recomputed_{i}", f"stored_{i}")
+        ]
+        return df.select(*keys, F.lit(in_detail).alias("in_detail"), *columns)
 
-    def side(df: DataFrame, value: str, own: str, other: str) -> DataFrame:
-        return df.select(
-            *keys,
-            F.col(value).cast("decimal(28,6)").alias(own),
-            F.lit(None).cast("decimal(28,6)").alias(other),
-            F.lit(own).alias("side"),
-        )
-
-    sides = side(detail, detail_value, "recomputed", "stored").unionByName(
-        side(stored, stored_value, "stored", "recomputed")
+    sides = side(detail, True).unionAll(side(stored, False))
+    sums = [name for name in sides.columns if name not in [*keys, "in_detail"]]
+    per_key = sides.groupBy(*keys).agg(
+        *[F.sum(name).alias(name) for name in sums],
+        (F.bool_or("in_detail") & F.bool_or(~F.col("in_detail"))).alias("in_both"),
     )
+    rows = [
+        F.struct(
+            F.lit(stored_column).alias("measure"),
+            F.col(f"recomputed_{i}").alias("recomputed"),
+            F.col(f"stored_{i}").alias("stored"),
+        )
+        for i, (_, stored_column) in enumerate(measures)
+    ]
     recomputed, kept = F.col("recomputed"), F.col("stored")
-    same_sides = F.col("in_detail") & F.col("in_stored")
     return (
-        sides.groupBy(*keys)
-        .agg(
-            F.sum("recomputed").alias("recomputed"),
-            F.sum("stored").alias("stored"),
-            F.bool_or(F.col("side") == "recomputed").alias("in_detail"),
-            F.bool_or(F.col("side") == "stored").alias("in_stored"),
-        )
+        per_key.select(*keys, "in_both", F.inline(F.array(*rows)))
         .withColumn(
             "passed",
-            same_sides & (within_tolerance(recomputed, kept) | (recomputed.isNull() & kept.isNull())),
+            F.col("in_both") & (within_tolerance(recomputed, kept) | (recomputed.isNull() & kept.isNull())),
         )
-        .drop("in_detail", "in_stored")
+        .drop("in_both")
     )
 
 
 def category_recon(category_revenue: DataFrame, products_sales: DataFrame) -> DataFrame:
     """Category revenue against the product sales of the category, per run."""
-    return reconcile(products_sales, category_revenue, ["category", "run_date"], "total_revenue", "category_revenue")
+    measures = [("total_revenue", "category_revenue")]
+    return reconcile(products_sales, category_revenue, ["category", "run_date"], measures).drop("measure")
 
 
 def anomaly_report(
     enriched: DataFrame, customers_revenue: DataFrame, products_sales: DataFrame, category_revenue: DataFrame
 ) -> DataFrame:
     """Every stored total that differs from the one recomputed from the enriched table."""
+    revenue = ("total_amount", "total_revenue")
     compared = [
-        ("customers_revenue", customers_revenue, "customer_id", "total_amount", "total_revenue"),
-        ("products_sales", products_sales, "product_id", "order_quantity", "total_quantity_sold"),
-        ("products_sales", products_sales, "product_id", "total_amount", "total_revenue"),
-        ("category_revenue", category_revenue, "category", "total_amount", "category_revenue"),
+        ("customers_revenue", customers_revenue, "customer_id", [revenue]),
+        ("products_sales", products_sales, "product_id", [("order_quantity", "total_quantity_sold"), revenue]),
+        ("category_revenue", category_revenue, "category", [("total_amount", "category_revenue")]),
     ]
     found = [
-        reconcile(enriched, stored, [key, "run_date"], detail_value, stored_value)
+        reconcile(enriched, stored, [key, "run_date"], measures)
         .where(~F.col("passed"))
         .select(
             F.lit(table).alias("table_name"),
-            F.lit(stored_value).alias("measure"),
+            "measure",
             F.col(key).alias("key"),
             "run_date",
             "recomputed",
             "stored",
             (F.col("stored") - F.col("recomputed")).cast(COMPARABLE).alias("difference"),
         )
-        for table, stored, key, detail_value, stored_value in compared
+        for table, stored, key, measures in compared
     ]
     return reduce(DataFrame.unionAll, found)
 

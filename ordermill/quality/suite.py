@@ -12,58 +12,65 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from ordermill.functions.money import COMPARABLE, TOLERANCE, difference, within_tolerance
+from ordermill.functions.money import COMPARABLE, TOLERANCE
 from ordermill.quality.checks import missing_key, paired
 
 logger = logging.getLogger(__name__)
 
 
+def _gap(left: str, right: str) -> str:
+    return f"abs({left} - {right})"
+
+
+def _close(left: str, right: str) -> str:
+    return f"{_gap(left, right)} <= {TOLERANCE}"
+
+
+# Name, measured value, bound and condition; a NULL condition is a failure.
+CHECKS = [
+    ("Orders & quantities", "n_orders", "total_quantity", "n_orders <= total_quantity"),
+    ("Customers & products existence", "least(n_customers, n_products)", "1", "n_customers > 0 AND n_products > 0"),
+    ("Product name consistency", "name_conflicts", "0", "name_conflicts = 0"),
+    ("Missing customers/products", "coalesce(missing, 0)", "0", "coalesce(missing, 0) = 0"),
+    ("Duplicate orders", "duplicates", "0", "duplicates = 0"),
+    (
+        "Global revenue consistency",
+        f"greatest({_gap('orders_total', 'customers_total')}, {_gap('orders_total', 'products_total')})",
+        str(TOLERANCE),
+        f"{_close('orders_total', 'customers_total')} AND {_close('orders_total', 'products_total')}",
+    ),
+    (
+        "Customer aggregation correctness",
+        _gap("customer_recomputed", "customer_stored"),
+        str(TOLERANCE),
+        _close("customer_recomputed", "customer_stored"),
+    ),
+    (
+        "Product aggregation correctness",
+        f"greatest({_gap('quantity_recomputed', 'quantity_stored')}, {_gap('revenue_recomputed', 'revenue_stored')})",
+        str(TOLERANCE),
+        f"{_close('quantity_recomputed', 'quantity_stored')} AND {_close('revenue_recomputed', 'revenue_stored')}",
+    ),
+]
+
+
 def check_suite(enriched: DataFrame, customers_revenue: DataFrame, products_sales: DataFrame) -> DataFrame:
     """One row per check: ``check_id, check_name, measured, expected, passed``.
 
     ``expected`` is the bound: at most (1, 3 to 8) or at least (2) that value.
     """
-    one_row = _gather(
+    metrics = _gather(
         [
             _by_order(enriched),
             _by_customer(enriched, customers_revenue),
             _by_product(enriched, products_sales),
         ]
     )
-    m = F.col
-    to_customers = (m("orders_total"), m("customers_total"))
-    to_products = (m("orders_total"), m("products_total"))
-    customer = (m("customer_recomputed"), m("customer_stored"))
-    quantity = (m("quantity_recomputed"), m("quantity_stored"))
-    revenue = (m("revenue_recomputed"), m("revenue_stored"))
-    none = F.lit(0)
-    cent = F.lit(TOLERANCE)
-    checks = [
-        ("Orders & quantities", m("n_orders"), m("total_quantity"), m("n_orders") <= m("total_quantity")),
-        (
-            "Customers & products existence",
-            F.least("n_customers", "n_products"),
-            F.lit(1),
-            (m("n_customers") > 0) & (m("n_products") > 0),
-        ),
-        ("Product name consistency", m("name_conflicts"), none, m("name_conflicts") == 0),
-        ("Missing customers/products", m("missing"), none, m("missing") == 0),
-        ("Duplicate orders", m("duplicates"), none, m("duplicates") == 0),
-        ("Global revenue consistency", *_agreement(cent, to_customers, to_products)),
-        ("Customer aggregation correctness", *_agreement(cent, customer)),
-        ("Product aggregation correctness", *_agreement(cent, quantity, revenue)),
-    ]
-    rows = [
-        F.struct(
-            F.lit(number).alias("check_id"),
-            F.lit(name).alias("check_name"),
-            measured.cast("double").alias("measured"),
-            expected.cast("double").alias("expected"),
-            F.coalesce(passed, F.lit(False)).alias("passed"),
-        )
-        for number, (name, measured, expected, passed) in enumerate(checks, start=1)
-    ]
-    return one_row.select(F.inline(F.array(*rows)))
+    rows = ", ".join(
+        f"{number}, '{name}', CAST({measured} AS double), CAST({expected} AS double), coalesce({passed}, false)"
+        for number, (name, measured, expected, passed) in enumerate(CHECKS, start=1)
+    )
+    return metrics.selectExpr(f"stack({len(CHECKS)}, {rows}) AS (check_id, check_name, measured, expected, passed)")
 
 
 def assert_checks(report: DataFrame, verbose: bool = False) -> list[Row]:
@@ -169,30 +176,17 @@ def _both() -> Column:
     return _actual() & F.col("stored_rows").isNotNull()
 
 
-def _agreement(bound: Column, *pairs: tuple[Column, Column]) -> tuple[Column, Column, Column]:
-    """Largest difference, the bound, and whether every pair is there and within it."""
-    differences = [difference(left, right) for left, right in pairs]
-    measured = F.greatest(*differences) if len(differences) > 1 else differences[0]
-    passed = reduce(Column.__and__, [within_tolerance(left, right) for left, right in pairs])
-    return measured, bound, passed
-
-
 def _gather(parts: list[DataFrame]) -> DataFrame:
     """One-row frames side by side: as (metric, value) rows, put back into one row."""
-    metrics = [name for part in parts for name in part.columns]
     long = [
-        part.select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(F.lit(name).alias("metric"), F.col(name).cast(COMPARABLE).alias("value"))
-                        for name in part.columns
-                    ]
-                )
-            )
+        part.selectExpr(
+            f"stack({len(part.columns)}, "
+            + ", ".join(f"'{name}', CAST({name} AS {COMPARABLE})" for name in part.columns)
+            + ") AS (metric, value)"
         )
         for part in parts
     ]
+    metrics = [name for part in parts for name in part.columns]
     return reduce(DataFrame.unionAll, long).agg(
-        *[F.max(F.when(F.col("metric") == name, F.col("value"))).alias(name) for name in metrics]
+        *[F.expr(f"max(value) FILTER (WHERE metric = '{name}')").alias(name) for name in metrics]
     )

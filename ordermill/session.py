@@ -9,8 +9,6 @@ SETTINGS = {
     # Skewed join sides are split and small shuffle partitions merged at run time.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Merge up to the advisory size instead of to the core count: fewer, larger output files.
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # A few open files per task spare a sort by run_date before a partitioned write.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }

@@ -9,14 +9,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Up to this many runs a task still writes files of a useful size for each of them.
+FEW_RUNS = 8
+
+
 def write_runs(df: DataFrame, root: str, table: str, run_dates: Sequence[str]) -> None:
     """Replace the partitions of the runs in ``df`` and leave all other runs alone.
 
     Writing a run again gives the same partition, so a failed or repeated job is simply rerun.
     """
-    if len(run_dates) > 1:
+    if len(run_dates) > FEW_RUNS:
         # Group rows by run so that a task does not write one small file per run; Spark still
-        # splits a large run over many tasks.
+        # splits a large run over many tasks. For few runs this shuffle costs more than it saves.
         df = df.hint("rebalance", "run_date")
     (
         df.write.mode("overwrite")

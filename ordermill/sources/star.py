@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.functions.keys import days_after, display_name, order_id, padded_id, pick
+from ordermill.functions.keys import days_after, display_name, order_id, padded_id, payment_id, pick
 from ordermill.schemas import RAW
 
 # Fixed values.
@@ -73,7 +73,7 @@ def raw_orders(spark: SparkSession, sf_dir: str, run_dates: Sequence[str]) -> Da
     headers = star_table(spark, sf_dir, "orders").join(
         _customers_with_country(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"), "left"
     )
-    lines = _lines(spark, sf_dir, headers, run_dates).select(
+    return _lines(spark, sf_dir, headers, run_dates).select(
         "order_id",
         F.col("o_orderdate").cast("date").alias("order_date"),
         padded_id("C", F.col("o_custkey")).alias("customer_id"),
@@ -83,12 +83,11 @@ def raw_orders(spark: SparkSession, sf_dir: str, run_dates: Sequence[str]) -> Da
         F.col("n_name").alias("country"),
         "run_date",
     )
-    return lines
 
 
 def raw_payments(spark: SparkSession, sf_dir: str, run_dates: Sequence[str]) -> DataFrame:
     return _lines(spark, sf_dir, star_table(spark, sf_dir, "orders"), run_dates).select(
-        F.format_string("PAY%03d-%d", "l_orderkey", "l_linenumber").alias("payment_id"),
+        payment_id(F.col("l_orderkey"), F.col("l_linenumber")).alias("payment_id"),
         "order_id",
         pick(PAYMENT_METHODS, F.col("l_orderkey") + F.col("l_linenumber")).alias("payment_method"),
         days_after(F.col("o_orderdate").cast("date"), F.col("l_linenumber"), PAYMENT_DAYS).alias("payment_date"),

@@ -9,7 +9,8 @@ def spark(tmp_path_factory):
     session = build_session(
         "ordermill-tests",
         master="local[8]",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="4",
+        spark__default__parallelism="2",
         spark__sql__warehouse__dir=str(home / "warehouse"),
         spark__checkpoint__dir=str(home / "checkpoint"),
         spark__ui__enabled="false",

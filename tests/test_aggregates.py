@@ -1,0 +1,80 @@
+from decimal import Decimal
+
+from frames import NEXT_RUN, RUN, enriched, payments
+
+from ordermill.operators.aggregates import (
+    category_revenue,
+    customers_revenue,
+    enriched_preview,
+    payments_summary,
+    products_sales,
+)
+from ordermill.schemas import PROCESSED
+
+ROWS = [
+    ("O1", "C001", "P001", "Book 1", "Books", 2.0, "20.00", RUN),
+    ("O2", "C001", "P002", "Ball 2", "Sports", 1.0, "0.01", RUN),
+    ("O3", "C002", "P001", "Book 1", "Books", 1.0, "10.50", NEXT_RUN),
+    ("O4", None, "P999", None, None, 4.0, "5.00", RUN),
+    ("O5", None, "P999", None, None, None, None, RUN),
+]
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_customers_revenue(spark):
+    got = customers_revenue(enriched(spark, ROWS))
+    assert dict(got.dtypes) == PROCESSED["customers_revenue"]
+    assert rows(got) == sorted(
+        [
+            ("C001", "C001", RUN, Decimal("20.01")),
+            ("C002", "C002", NEXT_RUN, Decimal("10.50")),
+            (None, None, RUN, Decimal("5.00")),
+        ],
+        key=repr,
+    )
+
+
+def test_products_sales(spark):
+    got = products_sales(enriched(spark, ROWS))
+    assert dict(got.dtypes) == PROCESSED["products_sales"]
+    assert rows(got) == sorted(
+        [
+            ("P001", "Book 1", "Books", RUN, 2.0, Decimal("20.00")),
+            ("P001", "Book 1", "Books", NEXT_RUN, 1.0, Decimal("10.50")),
+            ("P002", "Ball 2", "Sports", RUN, 1.0, Decimal("0.01")),
+            ("P999", None, None, RUN, 4.0, Decimal("5.00")),
+        ],
+        key=repr,
+    )
+
+
+def test_category_revenue_has_a_null_group(spark):
+    got = category_revenue(enriched(spark, ROWS))
+    assert dict(got.dtypes) == PROCESSED["category_revenue"]
+    assert (None, RUN, Decimal("5.00")) in rows(got)
+    assert len(rows(got)) == 4
+
+
+def test_payments_are_not_deduplicated_and_null_amounts_not_counted(spark):
+    paid = payments(
+        spark,
+        [
+            ("PAY001", "O1", "PayPal", 1.5),
+            ("PAY001", "O1", "PayPal", 1.5),
+            ("PAY002", "O2", "PayPal", None),
+            ("PAY003", "O3", "Credit Card", None),
+        ],
+    )
+    got = payments_summary(paid)
+    assert dict(got.dtypes) == PROCESSED["payments_summary"]
+    assert rows(got) == [(RUN, "Credit Card", None, 0), (RUN, "PayPal", 3.0, 2)]
+    assert {r.run_date for r in payments_summary(paid, "2026-01-01").collect()} == {"2026-01-01"}
+
+
+def test_preview_is_repeatable(spark):
+    df = enriched(spark, ROWS)
+    assert [r.order_id for r in enriched_preview(df.repartition(4), 3).collect()] == ["O1", "O2", "O3"]
+    assert enriched_preview(df).count() == 5
