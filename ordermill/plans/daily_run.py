@@ -5,12 +5,14 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from ordermill.operators.aggregates import FROM_ENRICHED, payments_summary
 from ordermill.operators.clean import clean_customers, clean_orders, clean_products
 from ordermill.operators.enrich import enrich_orders
+from ordermill.plans.together import run_together
 from ordermill.quality.suite import assert_checks, check_suite
 from ordermill.schemas import PROCESSED, RAW
 from ordermill.sinks.partitions import run_counts, write_runs
@@ -36,8 +38,7 @@ def landing_tables(spark: SparkSession, landing: str, run_dates: Sequence[str])
 
 def ingest_raw(spark: SparkSession, tables: dict[str, DataFrame], raw: str, run_dates: Sequence[str]) -> DataFrame:
     """Write the raw tables by run and return the rows now stored per table and run."""
-    for table, df in tables.items():
-        write_runs(df, raw, table, run_dates)
+    run_together(partial(write_runs, df, raw, table, run_dates) for table, df in tables.items())
     return run_counts({table: read_runs(spark, raw, table, run_dates, RAW[table]) for table in tables})
 
 
@@ -48,12 +49,16 @@ def process_runs(spark: SparkSession, raw: str, processed: str, run_dates: Seque
     )
     single = run_dates[0] if len(run_dates) == 1 else None
     enriched = enrich_orders(clean_orders(orders), clean_customers(customers), clean_products(products), single)
-    write_runs(enriched, processed, "orders_enriched", run_dates)
-
+    run_together(
+        [
+            partial(write_runs, enriched, processed, "orders_enriched", run_dates),
+            partial(write_runs, payments_summary(payments, single), processed, "payments_summary", run_dates),
+        ]
+    )
     stored = read_runs(spark, processed, "orders_enriched", run_dates, PROCESSED["orders_enriched"])
-    for table, build in FROM_ENRICHED.items():
-        write_runs(build(stored), processed, table, run_dates)
-    write_runs(payments_summary(payments, single), processed, "payments_summary", run_dates)
+    run_together(
+        partial(write_runs, build(stored), processed, table, run_dates) for table, build in FROM_ENRICHED.items()
+    )
 
 
 def load_warehouse(
@@ -66,9 +71,10 @@ def load_warehouse(
 ) -> None:
     """Load the five processed tables and rebuild the cleaned category table."""
     ensure_database(spark, database, location)
-    for table, contract in PROCESSED.items():
-        load_table(read_runs(spark, processed, table, run_dates, contract), database, table, run_dates, mode)
-        logger.info("loaded %s.%s", database, table)
+    run_together(
+        partial(load_table, read_runs(spark, processed, table, run_dates, contract), database, table, run_dates, mode)
+        for table, contract in PROCESSED.items()
+    )
     rebuild_category_revenue_clean(spark, database)
 
 
@@ -95,4 +101,5 @@ def run_daily(
     process_runs(spark, places.raw, places.processed, run_dates)
     logger.info("processed %s", list(run_dates))
     load_warehouse(spark, places.processed, places.database, run_dates, mode, places.database_location)
+    logger.info("loaded %s", list(run_dates))
     return assert_checks(validate_warehouse(spark, places.database), verbose)

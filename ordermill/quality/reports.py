@@ -165,7 +165,8 @@ def _malformed(name: str, kind: str | None) -> Column:
     value = F.col(name)
     if name == "run_date":
         text = value.cast("string")
-        return F.count_if(text.isNotNull() & F.try_to_date(text, "yyyy-MM-dd").isNull())
+        well_formed = text.rlike(r"^\d{4}-\d{2}-\d{2}$") & text.try_cast("date").isNotNull()
+        return F.count_if(~well_formed)
     if kind == "double":
         return F.count_if(F.isnan(value) | (F.abs(value) == float("inf")))
     return F.lit(0).cast("bigint")

@@ -35,11 +35,14 @@ def test_type_format(spark):
         ("PAY1", "O1", "PayPal", None, 1.0, "2025-12-01"),
         ("PAY2", "O2", "PayPal", None, float("nan"), "01/12/2025"),
         ("PAY3", "O3", "PayPal", None, float("inf"), None),
+        ("PAY4", "O4", "PayPal", None, 1.0, "2025-02-30"),
+        ("PAY5", "O5", "PayPal", None, 1.0, "2025-2-3"),
+        ("PAY6", "O6", "PayPal", None, None, "2025-12-01 "),
     ])
     got = {r.column_name: (r.actual_type, r.malformed, r.passed)
            for r in reports.type_format({"payments": df}, RAW).collect()}
     assert got["amount"] == ("double", 2, False)
-    assert got["run_date"] == ("string", 1, False)
+    assert got["run_date"] == ("string", 4, False)
     assert got["payment_date"] == ("date", 0, True)
 
 
