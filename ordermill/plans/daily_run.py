@@ -38,7 +38,7 @@ def landing_tables(spark: SparkSession, landing: str, run_dates: Sequence[str])
 
 def ingest_raw(spark: SparkSession, tables: dict[str, DataFrame], raw: str, run_dates: Sequence[str]) -> DataFrame:
     """Write the raw tables by run and return the rows now stored per table and run."""
-    run_together(partial(write_runs, df, raw, table, run_dates) for table, df in tables.items())
+    run_together(spark, [partial(write_runs, df, raw, table, run_dates) for table, df in tables.items()])
     return run_counts({table: read_runs(spark, raw, table, run_dates, RAW[table]) for table in tables})
 
 
@@ -50,14 +50,16 @@ def process_runs(spark: SparkSession, raw: str, processed: str, run_dates: Seque
     single = run_dates[0] if len(run_dates) == 1 else None
     enriched = enrich_orders(clean_orders(orders), clean_customers(customers), clean_products(products), single)
     run_together(
+        spark,
         [
             partial(write_runs, enriched, processed, "orders_enriched", run_dates),
             partial(write_runs, payments_summary(payments, single), processed, "payments_summary", run_dates),
-        ]
+        ],
     )
     stored = read_runs(spark, processed, "orders_enriched", run_dates, PROCESSED["orders_enriched"])
     run_together(
-        partial(write_runs, build(stored), processed, table, run_dates) for table, build in FROM_ENRICHED.items()
+        spark,
+        [partial(write_runs, build(stored), processed, table, run_dates) for table, build in FROM_ENRICHED.items()],
     )
 
 
@@ -72,8 +74,11 @@ def load_warehouse(
     """Load the five processed tables and rebuild the cleaned category table."""
     ensure_database(spark, database, location)
     run_together(
-        partial(load_table, read_runs(spark, processed, table, run_dates, contract), database, table, run_dates, mode)
-        for table, contract in PROCESSED.items()
+        spark,
+        [
+            partial(load_table, read_runs(spark, processed, table, run_dates, contract), database, table, run_dates, mode)
+            for table, contract in PROCESSED.items()
+        ],
     )
     rebuild_category_revenue_clean(spark, database)
 

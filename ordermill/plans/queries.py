@@ -1,8 +1,8 @@
 """The registered queries: each takes (spark, sf_dir) and returns a DataFrame.
 
-All run over two run dates of the whole input. Queries on processed or warehouse tables share one
-daily run per session and input folder; money is cast to double at the very end, for comparison
-with engines whose decimal sums have another width.
+All run over two run dates of the whole input. Queries on written raw, processed or warehouse
+tables share one daily run per session and input folder; money is cast to double at the very end,
+for comparison with engines whose decimal sums have another width.
 """
 
 from __future__ import annotations
@@ -46,6 +46,9 @@ class Staged:
     spark: SparkSession
     places: Places
 
+    def raw(self, table: str) -> DataFrame:
+        return read_runs(self.spark, self.places.raw, table, RUN_DATES, RAW[table])
+
     def processed(self, table: str) -> DataFrame:
         return read_runs(self.spark, self.places.processed, table, RUN_DATES, PROCESSED[table])
 
@@ -77,15 +80,6 @@ def _raw(table: str) -> Callable[[SparkSession, str], DataFrame]:
     return query
 
 
-def _clean(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    raw = raw_tables(spark, sf_dir, RUN_DATES)
-    return (
-        clean.clean_orders(raw["orders"]),
-        clean.clean_customers(raw["customers"]),
-        clean.clean_products(raw["products"]),
-    )
-
-
 def _as_double(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({column: F.col(column).cast("double") for column in columns})
 
@@ -95,8 +89,8 @@ def _as_double(df: DataFrame, *columns: str) -> DataFrame:
 
 def raw_run_scan(spark, sf_dir):
     """The second of two written runs of the orders, read back alone."""
-    places = staged(spark, sf_dir).places
-    return read_runs(spark, places.raw, "orders", RUN_DATES[1:], RAW["orders"])
+    raw = staged(spark, sf_dir).places.raw
+    return read_runs(spark, raw, "orders", RUN_DATES[1:], RAW["orders"])
 
 
 def ingest(spark, sf_dir):
@@ -119,19 +113,24 @@ def safe_cast_numeric(spark, sf_dir):
 
 
 def orders_clean(spark, sf_dir):
-    return _clean(spark, sf_dir)[0]
+    return clean.clean_orders(staged(spark, sf_dir).raw("orders"))
 
 
 def customers_clean(spark, sf_dir):
-    return _clean(spark, sf_dir)[1]
+    return clean.clean_customers(staged(spark, sf_dir).raw("customers"))
 
 
 def products_clean(spark, sf_dir):
-    return _clean(spark, sf_dir)[2]
+    return clean.clean_products(staged(spark, sf_dir).raw("products"))
+
+
+def _enrich(orders: DataFrame, run: Staged) -> DataFrame:
+    return enrich_orders(orders, clean.clean_customers(run.raw("customers")), clean.clean_products(run.raw("products")))
 
 
 def orders_enriched(spark, sf_dir):
-    return _as_double(enrich_orders(*_clean(spark, sf_dir)), "total_amount")
+    run = staged(spark, sf_dir)
+    return _as_double(_enrich(clean.clean_orders(run.raw("orders")), run), "total_amount")
 
 
 def enriched_preview(spark, sf_dir):
@@ -156,7 +155,7 @@ def category_revenue(spark, sf_dir):
 
 
 def payments_summary(spark, sf_dir):
-    summary = aggregates.payments_summary(raw_tables(spark, sf_dir, RUN_DATES)["payments"])
+    summary = aggregates.payments_summary(staged(spark, sf_dir).raw("payments"))
     return summary.withColumn("total_amount", F.round("total_amount", 2))
 
 
@@ -251,12 +250,12 @@ def dq_duplicate_orders(spark, sf_dir):
 
 def dq_duplicate_orders_raw(spark, sf_dir):
     """The same check on the raw orders, where ids do repeat."""
-    return checks.duplicate_orders(raw_tables(spark, sf_dir, RUN_DATES)["orders"])
+    return checks.duplicate_orders(staged(spark, sf_dir).raw("orders"))
 
 
 def dq_product_names_by_country(spark, sf_dir):
     """The same check where it does find something: countries taken as names."""
-    orders = raw_tables(spark, sf_dir, RUN_DATES)["orders"]
+    orders = staged(spark, sf_dir).raw("orders")
     return checks.product_name_conflicts(orders.withColumn("product_name", F.col("country")))
 
 
@@ -307,21 +306,19 @@ def _without_run_date(contract: dict[str, str]) -> dict[str, str]:
 
 
 def dq_join_quality(spark, sf_dir):
-    raw = raw_tables(spark, sf_dir, RUN_DATES)
-    return reports.join_quality(raw["orders"], raw["customers"], raw["products"])
+    run = staged(spark, sf_dir)
+    return reports.join_quality(run.raw("orders"), run.raw("customers"), run.raw("products"))
 
 
 def dq_anomaly_report(spark, sf_dir):
     """Totals computed before the dedup, against the enriched table: every copy is an anomaly."""
     run = staged(spark, sf_dir)
-    orders = read_runs(spark, run.places.raw, "orders", RUN_DATES, RAW["orders"])
-    undeduplicated = orders.withColumnsRenamed(
+    undeduplicated = run.raw("orders").withColumnsRenamed(
         {"quantity": "order_quantity", "price": "order_price", "country": "order_country"}
     )
     # Written once for the four comparisons, as the daily run does.
     root = scratch_dir(spark, "copies")
-    _, customers, products = _clean(spark, sf_dir)
-    write_runs(enrich_orders(undeduplicated, customers, products), root, "orders_enriched", RUN_DATES)
+    write_runs(_enrich(undeduplicated, run), root, "orders_enriched", RUN_DATES)
     copies = read_runs(spark, root, "orders_enriched", RUN_DATES, PROCESSED["orders_enriched"])
     found = reports.anomaly_report(
         run.warehouse("orders_enriched"),

@@ -87,18 +87,14 @@ def reconcile(
     full join: NULL keys meet, a key missing on one side shows, and both sides are summed before
     the shuffle.
     """
-    amount = "decimal(28,6)"
+    kinds = [(detail.schema[left].dataType, stored.schema[right].dataType) for left, right in measures]
 
     def side(df: DataFrame, in_detail: bool) -> DataFrame:
-        own = {
-            f"{'recomputed' if in_detail else 'stored'}_{i}": F.col(pair[0 if in_detail else 1]).cast(amount)
-            for i, pair in enumerate(measures)
-        }
-        columns = [
-            own.get(name, F.lit(None).cast(amount)).alias(name)
-            for i in range(len(measures))
-            for name in (f"recomputed_{i}", f"stored_{i}")
-        ]
+        columns = []
+        for i, ((left, right), (left_kind, right_kind)) in enumerate(zip(measures, kinds)):
+            recomputed = F.col(left) if in_detail else F.lit(None).cast(left_kind)
+            kept = F.lit(None).cast(right_kind) if in_detail else F.col(right)
+            columns += [recomputed.alias(f"recomputed_{i}"), kept.alias(f"stored_{i}")]
         return df.select(*keys, F.lit(in_detail).alias("in_detail"), *columns)
 
     sides = side(detail, True).unionAll(side(stored, False))
@@ -110,8 +106,8 @@ def reconcile(
     rows = [
         F.struct(
             F.lit(stored_column).alias("measure"),
-            F.col(f"recomputed_{i}").alias("recomputed"),
-            F.col(f"stored_{i}").alias("stored"),
+            F.col(f"recomputed_{i}").cast(COMPARABLE).alias("recomputed"),
+            F.col(f"stored_{i}").cast(COMPARABLE).alias("stored"),
         )
         for i, (_, stored_column) in enumerate(measures)
     ]
@@ -166,7 +162,7 @@ def _malformed(name: str, kind: str | None) -> Column:
     if name == "run_date":
         text = value.cast("string")
         well_formed = text.rlike(r"^\d{4}-\d{2}-\d{2}$") & text.try_cast("date").isNotNull()
-        return F.count_if(~well_formed)
+        return F.count_if(text.isNotNull() & ~well_formed)
     if kind == "double":
         return F.count_if(F.isnan(value) | (F.abs(value) == float("inf")))
     return F.lit(0).cast("bigint")
