@@ -92,19 +92,30 @@ def validate_warehouse(spark: SparkSession, database: str) -> DataFrame:
     )
 
 
-def run_daily(
+def prepare_runs(
     spark: SparkSession,
     tables: dict[str, DataFrame],
     places: Places,
     run_dates: Sequence[str],
     mode: str = "reload",
-    verbose: bool = False,
-) -> list[Row]:
-    """All steps in order. Raises on a missing run and on failed checks; safe to run again."""
+) -> None:
+    """Ingest, process and load; raises on a missing run and is safe to run again."""
     ingest_raw(spark, tables, places.raw, run_dates)
     logger.info("ingested %s", list(run_dates))
     process_runs(spark, places.raw, places.processed, run_dates)
     logger.info("processed %s", list(run_dates))
     load_warehouse(spark, places.processed, places.database, run_dates, mode, places.database_location)
     logger.info("loaded %s", list(run_dates))
+
+
+def run_daily(
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    places: Places,
+    run_dates: Sequence[str],
+    mode: str = "reload",
+    verbose: bool = False,
+) -> list[Row]:
+    """All steps, then the checks over the warehouse; raises if one of them fails."""
+    prepare_runs(spark, tables, places, run_dates, mode)
     return assert_checks(validate_warehouse(spark, places.database), verbose)

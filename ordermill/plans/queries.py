@@ -17,14 +17,14 @@ from pyspark.sql import functions as F
 from ordermill.functions.money import safe_double
 from ordermill.operators import aggregates, clean
 from ordermill.operators.enrich import enrich_orders
-from ordermill.plans.daily_run import Places, ingest_raw, load_warehouse, run_daily
+from ordermill.plans.daily_run import Places, ingest_raw, load_warehouse, prepare_runs
 from ordermill.plans.scratch import scratch_dir
 from ordermill.quality import checks, reports
 from ordermill.quality.suite import check_suite
 from ordermill.schemas import PROCESSED, RAW, REQUIRED
 from ordermill.sinks.partitions import write_runs
 from ordermill.sources.runs import read_runs
-from ordermill.sources.star import raw_tables, star_table
+from ordermill.sources.star import RAW_BUILDERS, raw_tables, star_table
 
 RUN_DATES = ["2025-12-01", "2025-12-02"]
 REVENUE = {
@@ -41,7 +41,7 @@ REVENUE = {
 
 @dataclass
 class Staged:
-    """One daily run over both dates: where its tables are."""
+    """One daily run over both dates, and its tables."""
 
     spark: SparkSession
     places: Places
@@ -62,20 +62,25 @@ _staged: dict[tuple[str, str], Staged] = {}
 def staged(spark: SparkSession, sf_dir: str) -> Staged:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _staged:
-        places = _new_places(spark, "daily")
-        run_daily(spark, raw_tables(spark, sf_dir, RUN_DATES), places, RUN_DATES)
-        _staged[key] = Staged(spark, places)
+        places = new_places(spark, "daily")
+        prepare_runs(spark, raw_tables(spark, sf_dir, RUN_DATES), places, RUN_DATES)
+        use_staged(spark, sf_dir, places)
     return _staged[key]
 
 
-def _new_places(spark: SparkSession, label: str) -> Places:
+def use_staged(spark: SparkSession, sf_dir: str, places: Places) -> None:
+    """Let the queries use a daily run that is already there."""
+    _staged[(spark.sparkContext.applicationId, sf_dir)] = Staged(spark, places)
+
+
+def new_places(spark: SparkSession, label: str) -> Places:
     root = scratch_dir(spark, label)
     return Places(f"{root}/raw", f"{root}/processed", f"ordermill_{uuid.uuid4().hex}", f"{root}/warehouse")
 
 
 def _raw(table: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark, sf_dir):
-        return raw_tables(spark, sf_dir, RUN_DATES)[table]
+        return RAW_BUILDERS[table](spark, sf_dir, RUN_DATES)
 
     return query
 
@@ -195,7 +200,7 @@ def two_date_run(spark, sf_dir):
 
 def _loaded_twice(spark, sf_dir, mode: str, second: list[str]) -> DataFrame:
     run = staged(spark, sf_dir)
-    places = _new_places(spark, mode)
+    places = new_places(spark, mode)
     load_warehouse(spark, run.places.processed, places.database, RUN_DATES, mode, places.database_location)
     load_warehouse(spark, run.places.processed, places.database, second, mode)
     return _per_run({table: spark.table(f"{places.database}.{table}") for table in PROCESSED})

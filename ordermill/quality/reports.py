@@ -4,33 +4,31 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.money import COMPARABLE, within_tolerance
 
+DATE_PATTERN = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+NO_ROWS = "CAST(0 AS bigint)"
+
 
 def completeness(frames: dict[str, DataFrame], required: dict[str, list[str]]) -> DataFrame:
     """Per required column: whether it is there, rows of the table, and rows where it is filled.
 
     Passes when the table has rows and the column is filled on all of them.
     """
-    return _per_column(
-        {
-            table: (
-                df,
-                [
-                    {
-                        "column_name": F.lit(name),
-                        "present": F.lit(name in df.columns),
-                        "filled": F.count(name) if name in df.columns else F.lit(0).cast("bigint"),
-                    }
-                    for name in required[table]
-                ],
-            )
-            for table, df in frames.items()
-        },
-        passed=F.col("present") & (F.col("total_rows") > 0) & (F.col("filled") == F.col("total_rows")),
+
+    def cells(df: DataFrame, column: str) -> tuple[str, ...]:
+        present = column in df.columns
+        return f"'{column}'", str(present).lower(), f"count(`{column}`)" if present else NO_ROWS
+
+    reports = [
+        _per_column(table, df, [cells(df, column) for column in required[table]], "column_name, present, filled")
+        for table, df in frames.items()
+    ]
+    return reduce(DataFrame.unionAll, reports).withColumn(
+        "passed", F.expr("present AND total_rows > 0 AND filled = total_rows")
     )
 
 
@@ -39,24 +37,23 @@ def type_format(frames: dict[str, DataFrame], contracts: dict[str, dict[str, str
 
     Malformed are run dates that are no ``yyyy-MM-dd`` date and doubles that are no finite number.
     """
-    reports = {}
-    for table, df in frames.items():
-        actual = dict(df.dtypes)
-        reports[table] = (
+
+    def cells(actual: dict[str, str], column: str, kind: str) -> tuple[str, ...]:
+        found = actual.get(column)
+        found_cell = f"'{found}'" if found else "CAST(NULL AS string)"
+        return f"'{column}'", f"'{kind}'", found_cell, _malformed(column, found)
+
+    reports = [
+        _per_column(
+            table,
             df,
-            [
-                {
-                    "column_name": F.lit(name),
-                    "expected_type": F.lit(kind),
-                    "actual_type": F.lit(actual.get(name)).cast("string"),
-                    "malformed": _malformed(name, actual.get(name)),
-                }
-                for name, kind in contracts[table].items()
-            ],
+            [cells(dict(df.dtypes), column, kind) for column, kind in contracts[table].items()],
+            "column_name, expected_type, actual_type, malformed",
         )
-    return _per_column(
-        reports,
-        passed=F.coalesce(F.col("expected_type") == F.col("actual_type"), F.lit(False)) & (F.col("malformed") == 0),
+        for table, df in frames.items()
+    ]
+    return reduce(DataFrame.unionAll, reports).withColumn(
+        "passed", F.expr("coalesce(expected_type = actual_type, false) AND malformed = 0")
     )
 
 
@@ -155,36 +152,22 @@ def anomaly_report(
     return reduce(DataFrame.unionAll, found)
 
 
-def _malformed(name: str, kind: str | None) -> Column:
-    if kind is None:
-        return F.lit(0).cast("bigint")
-    value = F.col(name)
-    if name == "run_date":
-        text = value.cast("string")
-        well_formed = text.rlike(r"^\d{4}-\d{2}-\d{2}$") & text.try_cast("date").isNotNull()
-        return F.count_if(text.isNotNull() & ~well_formed)
+def _malformed(column: str, kind: str | None) -> str:
+    if kind is not None and column == "run_date":
+        well_formed = f"CAST({column} AS string) RLIKE '{DATE_PATTERN}' AND try_cast({column} AS date) IS NOT NULL"
+        return f"count_if({column} IS NOT NULL AND NOT ({well_formed}))"
     if kind == "double":
-        return F.count_if(F.isnan(value) | (F.abs(value) == float("inf")))
-    return F.lit(0).cast("bigint")
-
-
-def _per_column(reports: dict[str, tuple[DataFrame, list[dict[str, Column]]]], passed: Column) -> DataFrame:
-    """One aggregate per table, turned into one row per reported column."""
-    parts = []
-    for table, (df, columns) in reports.items():
-        # Aggregates first, under plain names, then the rows built from them.
-        names = list(columns[0])
-        values = [
-            value.alias(f"{name}_{index}") for index, column in enumerate(columns) for name, value in column.items()
-        ]
-        one_row = df.agg(F.count("*").alias("total_rows"), *values)
-        rows = [
-            F.struct(
-                F.lit(table).alias("table_name"),
-                F.col("total_rows"),
-                *[F.col(f"{name}_{index}").alias(name) for name in names],
-            )
-            for index in range(len(columns))
-        ]
-        parts.append(one_row.select(F.inline(F.array(*rows))))
-    return reduce(DataFrame.unionAll, parts).withColumn("passed", passed)
+        return f"count_if(isnan(`{column}`) OR abs(`{column}`) = double('infinity'))"
+    return NO_ROWS
+
+
+def _per_column(table: str, df: DataFrame, rows: list[tuple[str, ...]], names: str) -> DataFrame:
+    """One aggregate over the table, as one row per reported column.
+
+    Each of ``rows`` holds SQL cells: constants, and an aggregate as the last one.
+    """
+    values = [f"{row[-1]} AS value_{index}" for index, row in enumerate(rows)]
+    cells = ", ".join(", ".join([*row[:-1], f"value_{index}"]) for index, row in enumerate(rows))
+    return df.selectExpr("count(*) AS total_rows", *values).selectExpr(
+        f"'{table}' AS table_name", "total_rows", f"stack({len(rows)}, {cells}) AS ({names})"
+    )

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+PARTITION_BYTES = 256 * 1024**2
+LEAST_PARTITIONS, MOST_PARTITIONS = 200, 50_000
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Skewed join sides are split and small shuffle partitions merged at run time.
@@ -14,12 +17,27 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "ordermill", master: str | None = None, **settings: str) -> SparkSession:
+def shuffle_partitions(input_bytes: int) -> int:
+    """Shuffle partitions for an input: about 256 MB each, so that a task sorts in memory.
+
+    Adaptive execution merges small partitions but cannot add any, so the number has to follow
+    the input. The upper bound keeps the number of shuffle blocks workable; beyond it partitions
+    grow (2 GB at 100 TB) and the sorts spill.
+    """
+    return min(max(-(-input_bytes // PARTITION_BYTES), LEAST_PARTITIONS), MOST_PARTITIONS)
+
+
+def build_session(
+    app: str = "ordermill", master: str | None = None, input_bytes: int | None = None, **settings: str
+) -> SparkSession:
     """Create or get a session; ``settings`` use ``__`` for the dots of a Spark setting."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    overrides = {key.replace("__", "."): value for key, value in settings.items()}
-    for key, value in {**SETTINGS, **overrides}.items():
+    wanted = dict(SETTINGS)
+    if input_bytes is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
+    wanted.update({key.replace("__", "."): value for key, value in settings.items()})
+    for key, value in wanted.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

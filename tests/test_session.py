@@ -1,0 +1,7 @@
+from ordermill.session import LEAST_PARTITIONS, MOST_PARTITIONS, shuffle_partitions
+
+
+def test_shuffle_partitions_follow_the_input():
+    assert shuffle_partitions(1) == LEAST_PARTITIONS
+    assert shuffle_partitions(1024**4) == 4096
+    assert shuffle_partitions(100 * 1024**4) == MOST_PARTITIONS
