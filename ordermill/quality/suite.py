@@ -101,64 +101,62 @@ def _by_order(enriched: DataFrame) -> DataFrame:
 
 def _by_customer(enriched: DataFrame, customers_revenue: DataFrame) -> DataFrame:
     keys = ["customer_id", "run_date"]
-    actual = enriched.groupBy(*keys).agg(
-        F.sum("total_amount").alias("true_revenue"),
-        F.count_if(missing_key()).alias("missing"),
-        F.count("*").alias("order_rows"),
+    groups = _side_by_side(
+        enriched.select(*keys, "total_amount", missing_key().alias("missing")),
+        customers_revenue.select(*keys, "total_revenue"),
     )
-    stored = customers_revenue.groupBy(*keys).agg(
-        F.sum("total_revenue").alias("total_revenue"), F.count("*").alias("stored_rows")
+    per_run = groups.groupBy(*keys).agg(
+        F.sum("total_amount").alias("true_revenue"),
+        F.count_if("missing").alias("missing"),
+        F.count("in_orders").alias("order_rows"),
+        F.sum("total_revenue").alias("total_revenue"),
+        F.count("in_stored").alias("stored_rows"),
     )
-    return actual.join(stored, keys, "full").agg(
-        F.count_distinct(F.when(_actual(), F.col("customer_id"))).alias("n_customers"),
+    both = _joined(*keys)
+    return per_run.agg(
+        F.count_distinct(F.when(_ordered(), F.col("customer_id"))).alias("n_customers"),
         F.sum("missing").alias("missing"),
         F.sum("true_revenue").alias("orders_total"),
         F.sum("total_revenue").alias("customers_total"),
-        F.sum(F.when(_both(), paired("true_revenue"))).alias("customer_recomputed"),
-        F.sum(F.when(_both(), F.col("total_revenue"))).alias("customer_stored"),
+        F.sum(F.when(both, paired("true_revenue"))).alias("customer_recomputed"),
+        F.sum(F.when(both, F.col("total_revenue"))).alias("customer_stored"),
     )
 
 
 def _by_product(enriched: DataFrame, products_sales: DataFrame) -> DataFrame:
     keys = ["product_id", "run_date"]
-    # By name first: hash aggregates all the way, and the name comparison sees few rows.
-    actual = (
-        enriched.groupBy(*keys, "product_name")
-        .agg(
-            F.sum("order_quantity").alias("true_quantity"),
-            F.sum("total_amount").alias("true_revenue"),
-            F.count("*").alias("order_rows"),
-        )
-        .groupBy(*keys)
-        .agg(
-            F.sum("true_quantity").alias("true_quantity"),
-            F.sum("true_revenue").alias("true_revenue"),
-            F.sum("order_rows").alias("order_rows"),
-            F.min("product_name").alias("low_name"),
-            F.max("product_name").alias("high_name"),
-        )
+    groups = _side_by_side(
+        enriched.select(*keys, "product_name", "order_quantity", "total_amount"),
+        products_sales.select(*keys, "total_quantity_sold", "total_revenue"),
     )
-    stored = products_sales.groupBy(*keys).agg(
+    # By name first: hash aggregates on the large side, and the name comparison sees few rows.
+    per_name = groups.groupBy(*keys, "product_name").agg(
+        F.sum("order_quantity").alias("true_quantity"),
+        F.sum("total_amount").alias("true_revenue"),
+        F.count("in_orders").alias("order_rows"),
         F.sum("total_quantity_sold").alias("total_quantity_sold"),
         F.sum("total_revenue").alias("total_revenue"),
-        F.count("*").alias("stored_rows"),
+        F.count("in_stored").alias("stored_rows"),
     )
-    products = (
-        actual.join(stored, keys, "full")
-        .groupBy("product_id")
-        .agg(
-            F.sum("order_rows").alias("order_rows"),
-            F.min("low_name").alias("low_name"),
-            F.max("high_name").alias("high_name"),
-            F.sum("total_revenue").alias("total_revenue"),
-            F.sum(F.when(_both(), paired("true_quantity"))).alias("true_quantity"),
-            F.sum(F.when(_both(), F.col("total_quantity_sold"))).alias("stored_quantity"),
-            F.sum(F.when(_both(), paired("true_revenue"))).alias("true_revenue"),
-            F.sum(F.when(_both(), F.col("total_revenue"))).alias("stored_revenue"),
-        )
+    summed = [name for name in per_name.columns if name not in [*keys, "product_name"]]
+    per_run = per_name.groupBy(*keys).agg(
+        *[F.sum(name).alias(name) for name in summed],
+        F.min("product_name").alias("low_name"),
+        F.max("product_name").alias("high_name"),
+    )
+    both = _joined(*keys)
+    per_product = per_run.groupBy("product_id").agg(
+        F.sum("order_rows").alias("order_rows"),
+        F.min("low_name").alias("low_name"),
+        F.max("high_name").alias("high_name"),
+        F.sum("total_revenue").alias("total_revenue"),
+        F.sum(F.when(both, paired("true_quantity"))).alias("true_quantity"),
+        F.sum(F.when(both, F.col("total_quantity_sold"))).alias("stored_quantity"),
+        F.sum(F.when(both, paired("true_revenue"))).alias("true_revenue"),
+        F.sum(F.when(both, F.col("total_revenue"))).alias("stored_revenue"),
     )
-    return products.agg(
-        F.count(F.when(_actual(), F.col("product_id"))).alias("n_products"),
+    return per_product.agg(
+        F.count(F.when(_ordered(), F.col("product_id"))).alias("n_products"),
         F.count_if(F.col("low_name") != F.col("high_name")).alias("name_conflicts"),
         F.sum("total_revenue").alias("products_total"),
         F.sum("true_quantity").alias("quantity_recomputed"),
@@ -168,12 +166,21 @@ def _by_product(enriched: DataFrame, products_sales: DataFrame) -> DataFrame:
     )
 
 
-def _actual() -> Column:
-    return F.col("order_rows").isNotNull()
+def _side_by_side(orders: DataFrame, stored: DataFrame) -> DataFrame:
+    """Order rows and stored rows in one frame, to be summed by key in one shuffle, without a join."""
+    return orders.withColumn("in_orders", F.lit(1)).unionByName(
+        stored.withColumn("in_stored", F.lit(1)), allowMissingColumns=True
+    )
+
+
+def _ordered() -> Column:
+    return F.col("order_rows") > 0
 
 
-def _both() -> Column:
-    return _actual() & F.col("stored_rows").isNotNull()
+def _joined(*keys: str) -> Column:
+    """Whether an equi-join of the two sides would give this key: on both, and no part NULL."""
+    condition = _ordered() & (F.col("stored_rows") > 0)
+    return reduce(Column.__and__, [F.col(key).isNotNull() for key in keys], condition)
 
 
 def _gather(parts: list[DataFrame]) -> DataFrame:
