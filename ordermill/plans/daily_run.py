@@ -71,13 +71,13 @@ def load_warehouse(
     mode: str = "reload",
     location: str | None = None,
 ) -> None:
-    """Load the five processed tables and rebuild the cleaned category table."""
+    """Load the five processed tables, as their files are, and rebuild the cleaned category table."""
     ensure_database(spark, database, location)
     run_together(
         spark,
         [
-            partial(load_table, read_runs(spark, processed, table, run_dates, contract), database, table, run_dates, mode)
-            for table, contract in PROCESSED.items()
+            partial(load_table, read_runs(spark, processed, table, run_dates), database, table, run_dates, mode)
+            for table in PROCESSED
         ],
     )
     rebuild_category_revenue_clean(spark, database)

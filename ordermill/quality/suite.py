@@ -1,6 +1,6 @@
 """All eight checks as one report, from three passes over the enriched table.
 
-Run one by one the checks scan the enriched table nine times. Here those that need the same
+Run one by one the checks scan the enriched table eight times. Here those that need the same
 grouping share it: by order (1, 5), by customer (2, 4, 6, 7) and by product (2, 3, 6, 8).
 """
 

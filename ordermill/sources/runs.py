@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ordermill.schemas import ddl
 
@@ -15,19 +16,21 @@ def read_runs(
     table: str,
     run_dates: Sequence[str] | None = None,
     contract: dict[str, str] | None = None,
+    merge_schema: bool = False,
 ) -> DataFrame:
     """The given runs of a table, or all of them.
 
     Named runs are read by path, so that only their folders are listed, and a missing run raises
-    instead of reading as empty. With a contract the schema is fixed and ``run_date`` a string;
-    without one it is taken from the files.
+    instead of reading as empty. With a contract the schema is fixed; without one it is taken from
+    the files, from all of them if ``merge_schema`` says that they differ. ``run_date`` is a string
+    either way.
     """
     base = f"{root}/{table}"
+    if run_dates is not None and not run_dates:
+        raise ValueError("name at least one run date")
+    paths = [base] if run_dates is None else [f"{base}/run_date={run_date}" for run_date in run_dates]
     reader = spark.read.option("basePath", base)
     if contract:
-        reader = reader.schema(ddl(contract))
-    if run_dates is None:
-        return reader.parquet(base)
-    if not run_dates:
-        raise ValueError("name at least one run date")
-    return reader.parquet(*[f"{base}/run_date={run_date}" for run_date in run_dates])
+        return reader.schema(ddl(contract)).parquet(*paths)
+    found = reader.option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
+    return found.withColumn("run_date", F.col("run_date").cast("string"))

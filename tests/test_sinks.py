@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from frames import NEXT_RUN, RUN, orders
 
@@ -47,6 +49,18 @@ def test_read_gives_string_run_date_and_a_missing_run_raises(spark, tmp_path):
         read_runs(spark, root, "orders", [])
 
 
+def test_schema_from_the_files(spark, tmp_path):
+    root = str(tmp_path)
+    write_runs(run_of(spark, RUN, "A").drop("country"), root, "orders", [RUN])
+    write_runs(run_of(spark, NEXT_RUN, "B"), root, "orders", [NEXT_RUN])
+    one = read_runs(spark, root, "orders", [RUN])
+    assert "country" not in one.columns and dict(one.dtypes)["run_date"] == "string"
+    merged = read_runs(spark, root, "orders", merge_schema=True)
+    assert sorted((r.run_date, r.country) for r in merged.collect()) == [(RUN, None), (NEXT_RUN, "FR")]
+    text = merged.where("run_date = '2025-12-02'")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*2025-12-02", text)
+
+
 def test_run_counts(spark, tmp_path):
     write_runs(run_of(spark, RUN, "A", "B").unionAll(run_of(spark, NEXT_RUN, "C")), str(tmp_path), "orders", [RUN, NEXT_RUN])
     counts = run_counts({"orders": read_runs(spark, str(tmp_path), "orders", None, RAW["orders"])})
