@@ -157,7 +157,8 @@ def _anomalies() -> str:
     ]
     return " UNION ALL ".join(
         f"""
-        SELECT '{table}' AS table_name, '{measure}' AS measure, e.key, e.run_date,
+        SELECT '{table}' AS table_name, '{measure}' AS measure, coalesce(e.key, s.key) AS key,
+               coalesce(e.run_date, s.run_date) AS run_date,
                CAST(e.total AS DOUBLE) AS recomputed, CAST(s.total AS DOUBLE) AS stored,
                CAST(CAST(s.total AS DECIMAL(38, 2)) - CAST(e.total AS DECIMAL(38, 2)) AS DOUBLE) AS difference
         FROM (SELECT {key} AS key, run_date, sum({value}) AS total FROM enriched GROUP BY ALL) e
