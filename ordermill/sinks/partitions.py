@@ -33,7 +33,9 @@ def write_runs(df: DataFrame, root: str, table: str, run_dates: Sequence[str]) -
 def run_counts(frames: dict[str, DataFrame]) -> DataFrame:
     """Rows per table and run; on Parquet this reads row counts from file footers."""
     counts = [
-        df.groupBy("run_date").count().select(F.lit(table).alias("table_name"), "run_date", F.col("count").alias("row_count"))
+        df.groupBy("run_date")
+        .agg(F.count("*").alias("row_count"))
+        .select(F.lit(table).alias("table_name"), "run_date", "row_count")
         for table, df in frames.items()
     ]
     return reduce(DataFrame.unionAll, counts)

@@ -77,7 +77,7 @@ def test_dedup_reduces_copies_before_the_shuffle(spark):
     orders = raw_tables(spark, SF_DIR, RUN_DATES)["orders"]
     text = plan(clean_orders(orders))
     assert text.index("min(struct") < text.index("Exchange hashpartitioning(order_id") < text.index("partial_min(struct")
-    # One key on every row: each of the eight tasks sends at most one row.
+    # One key on every row.
     hot = spark.range(0, 10_000, 1, 8).select(F.lit("k").alias("k"), F.col("id").alias("v"))
     df = dedup_first(hot, ["k"])
     assert [tuple(r) for r in df.collect()] == [("k", 0)]
