@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.llm.common import table
+from ordermill.llm.html import extract_main_text
 from ordermill.llm.mixing import pfair_mix
-from ordermill.llm.quality import apply_rules
+from ordermill.llm.neardup import near_duplicates
 from ordermill.llm.oracle import quality_sql
+from ordermill.llm.quality import apply_rules
 from ordermill.llm.sharding import shuffle_to_shards
+from ordermill.llm.tiling import find_contaminated
+from ordermill.llm.tokens import section_token_counts
+from ordermill.llm.toxicity import held_out, score_texts, train
+from ordermill.llm.warc import read_archives, write_archives
+from ordermill.plans.scratch import scratch_dir
 
 SHARDS = 16
+TOKENIZER = os.environ.get("TOKENIZER_RANKS", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 
 
 def op1_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +42,15 @@ def op1_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_section_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document."""
+    return section_token_counts(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op3_chosen_path_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return apply_rules(documents).select(
@@ -49,15 +68,57 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_block_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_main_text(pages).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def op6_zstd_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = write_archives(table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
+    return read_archives(manifest, with_payload=False).select(
+        F.col("key").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
+def op7_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(documents, table(spark, sf_dir, "labels"))
+    return score_texts(documents, model, score="score").select(
+        "doc_id",
+        held_out(F.col("doc_id"), 5).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op9_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sources to equal weights."""
     return pfair_mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
+def op10_greedy_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contaminated documents, with each benchmark item that they cover by half or more."""
+    found = find_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash", "tiles")
+
+
 QUERIES = {
-    "op1_hypergeometric_shards": op1_hypergeometric_shards,
-    "op4_quality_rules": op4_quality_rules,
-    "op9_pfair_mixing": op9_pfair_mixing,
+    query.__name__: query
+    for query in (
+        op1_hypergeometric_shards,
+        op2_section_token_counts,
+        op3_chosen_path_near_duplicates,
+        op4_quality_rules,
+        op5_line_block_extraction,
+        op6_zstd_warc_roundtrip,
+        op7_kneser_ney_toxicity,
+        op9_pfair_mixing,
+        op10_greedy_string_tiling,
+    )
 }
 
 ORACLE_SQL = {
