@@ -27,8 +27,10 @@ def order_id(run_date: Column, order_number: Column, line_number: Column) -> Col
     return F.concat(F.lit("O"), day, zero_padded(order_number, 3), F.lit("-"), line_number.cast("string"))
 
 
-def payment_id(order_number: Column, line_number: Column) -> Column:
-    return F.concat(padded_id("PAY", order_number), F.lit("-"), line_number.cast("string"))
+def line_key(order_id: Column) -> tuple[Column, Column]:
+    """Order and line number of an ``order_id``."""
+    parts = F.split(F.substring(order_id, 10, 1000), "-")
+    return F.get(parts, 0).cast("bigint"), F.get(parts, 1).cast("int")
 
 
 def display_name(category: Column, number: Column) -> Column:

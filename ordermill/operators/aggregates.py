@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Wide enough for amounts up to 10^22; a larger one raises.
+SUMMED = "decimal(28,6)"
+
 
 def customers_revenue(enriched: DataFrame) -> DataFrame:
     return enriched.groupBy("customer_id", "customer_name", "run_date").agg(
@@ -29,13 +32,19 @@ def category_revenue(enriched: DataFrame) -> DataFrame:
 
 
 def payments_summary(payments: DataFrame, run_date: str | None = None) -> DataFrame:
-    """Sum and count of the non-NULL amounts per method; payments are not deduplicated."""
+    """Sum and count of the non-NULL amounts per method; payments are not deduplicated.
+
+    Amounts are summed as decimals with six places, so the sum is the same to the last bit however the
+    rows lie in tasks and whatever task is repeated, and then given as double.
+    """
     if run_date is not None:
         payments = payments.withColumn("run_date", F.lit(run_date))
     return (
-        payments.withColumn("amount", F.col("amount").cast("double"))
-        .groupBy("run_date", "payment_method")
-        .agg(F.sum("amount").alias("total_amount"), F.count("amount").alias("total_count"))
+        payments.groupBy("run_date", "payment_method")
+        .agg(
+            F.sum(F.col("amount").cast(SUMMED)).cast("double").alias("total_amount"),
+            F.count("amount").alias("total_count"),
+        )
     )
 
 

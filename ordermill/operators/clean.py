@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+ORDER_NAMES = {"quantity": "order_quantity", "price": "order_price", "country": "order_country"}
+
+
 def dedup_first(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep one row per key: the smallest by the other columns in their order, NULLs first.
 
@@ -27,9 +30,7 @@ def _run_keys(df: DataFrame, key: str) -> list[str]:
 
 
 def clean_orders(df: DataFrame) -> DataFrame:
-    return dedup_first(df, _run_keys(df, "order_id")).withColumnsRenamed(
-        {"quantity": "order_quantity", "price": "order_price", "country": "order_country"}
-    )
+    return dedup_first(df, _run_keys(df, "order_id")).withColumnsRenamed(ORDER_NAMES)
 
 
 def clean_customers(df: DataFrame) -> DataFrame:

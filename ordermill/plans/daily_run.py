@@ -3,24 +3,30 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from ordermill.operators.aggregates import FROM_ENRICHED, payments_summary
 from ordermill.operators.clean import clean_customers, clean_orders, clean_products
 from ordermill.operators.enrich import enrich_orders
 from ordermill.plans.together import run_together
+from ordermill.quality import reports
 from ordermill.quality.suite import assert_checks, check_suite
-from ordermill.schemas import PROCESSED, RAW
+from ordermill.schemas import PROCESSED, RAW, REQUIRED, WAREHOUSE
+from ordermill.session import size_shuffles
 from ordermill.sinks.partitions import run_counts, write_runs
 from ordermill.sinks.warehouse import ensure_database, load_table, rebuild_category_revenue_clean
-from ordermill.sources.runs import read_runs
+from ordermill.sources.runs import checked_runs, read_runs
 
 logger = logging.getLogger(__name__)
 
+# A raw table, or how it is derived from raw tables already stored, given a reader of these.
+RawTable = DataFrame | Callable[[Callable[[str], DataFrame]], DataFrame]
+
 
 @dataclass(frozen=True)
 class Places:
@@ -33,20 +39,32 @@ class Places:
 
 
 def landing_tables(spark: SparkSession, landing: str, run_dates: Sequence[str]) -> dict[str, DataFrame]:
-    return {table: read_runs(spark, landing, table, run_dates, contract) for table, contract in RAW.items()}
+    """The landing files; raises, naming the column, if they do not keep to the contract."""
+    return {table: checked_runs(spark, landing, table, run_dates, contract) for table, contract in RAW.items()}
 
 
-def ingest_raw(spark: SparkSession, tables: dict[str, DataFrame], raw: str, run_dates: Sequence[str]) -> DataFrame:
+def ingest_raw(spark: SparkSession, tables: dict[str, RawTable], raw: str, run_dates: Sequence[str]) -> DataFrame:
     """Write the raw tables by run and return the rows now stored per table and run."""
-    run_together(spark, [partial(write_runs, df, raw, table, run_dates) for table, df in tables.items()])
-    return run_counts({table: read_runs(spark, raw, table, run_dates, RAW[table]) for table in tables})
+    given = {table: df for table, df in tables.items() if isinstance(df, DataFrame)}
+    size_shuffles(spark, *given.values())
+    run_together(spark, [partial(write_runs, df, raw, table, run_dates) for table, df in given.items()])
+    stored = partial(_stored_raw, spark, raw, run_dates)
+    derived = {table: derive(stored) for table, derive in tables.items() if table not in given}
+    if derived:
+        run_together(spark, [partial(write_runs, df, raw, table, run_dates) for table, df in derived.items()])
+    return run_counts({table: stored(table) for table in tables})
+
+
+def _stored_raw(spark: SparkSession, raw: str, run_dates: Sequence[str], table: str) -> DataFrame:
+    return read_runs(spark, raw, table, run_dates, RAW[table])
 
 
 def process_runs(spark: SparkSession, raw: str, processed: str, run_dates: Sequence[str]) -> None:
     """Raw to processed tables. The enriched table is written once and the totals read it back."""
     orders, customers, products, payments = (
-        read_runs(spark, raw, table, run_dates, RAW[table]) for table in ("orders", "customers", "products", "payments")
+        _stored_raw(spark, raw, run_dates, table) for table in ("orders", "customers", "products", "payments")
     )
+    size_shuffles(spark, orders, customers, products, payments)
     single = run_dates[0] if len(run_dates) == 1 else None
     enriched = enrich_orders(clean_orders(orders), clean_customers(customers), clean_products(products), single)
     run_together(
@@ -83,18 +101,44 @@ def load_warehouse(
     rebuild_category_revenue_clean(spark, database)
 
 
-def validate_warehouse(spark: SparkSession, database: str) -> DataFrame:
-    """The report of the eight checks over the loaded tables, all runs."""
-    return check_suite(
-        spark.table(f"{database}.orders_enriched"),
-        spark.table(f"{database}.customers_revenue"),
-        spark.table(f"{database}.products_sales"),
-    )
+def loaded_runs(spark: SparkSession, database: str, table: str, run_dates: Sequence[str] | None) -> DataFrame:
+    """A warehouse table, or the partitions of some of its runs."""
+    df = spark.table(f"{database}.{table}")
+    return df if run_dates is None or "run_date" not in df.columns else df.where(F.col("run_date").isin(*run_dates))
+
+
+def validate_warehouse(spark: SparkSession, database: str, run_dates: Sequence[str] | None = None) -> DataFrame:
+    """The report of the eight checks over the loaded tables: over some runs, or over all.
+
+    The names of a product are compared over all runs in any case, from the product sales, which have
+    a row per product and run.
+    """
+    frames = (loaded_runs(spark, database, t, run_dates) for t in ("orders_enriched", "customers_revenue", "products_sales"))
+    names = None if run_dates is None else spark.table(f"{database}.products_sales").select("product_id", "product_name")
+    return check_suite(*frames, names)
+
+
+def validation_reports(
+    spark: SparkSession, database: str, run_dates: Sequence[str] | None = None
+) -> dict[str, DataFrame]:
+    """Completeness, types and category totals of the loaded tables."""
+    frames = {table: loaded_runs(spark, database, table, run_dates) for table in WAREHOUSE}
+    return {
+        "completeness": reports.completeness(frames, REQUIRED),
+        "type_format": reports.type_format(frames, WAREHOUSE),
+        "category_recon": reports.category_recon(frames["category_revenue"], frames["products_sales"]),
+    }
+
+
+def differing_totals(spark: SparkSession, database: str, run_dates: Sequence[str] | None = None) -> DataFrame:
+    """Every stored total that differs from the enriched table: what failed checks 6 to 8 are about."""
+    tables = ("orders_enriched", "customers_revenue", "products_sales", "category_revenue")
+    return reports.anomaly_report(*(loaded_runs(spark, database, table, run_dates) for table in tables))
 
 
 def prepare_runs(
     spark: SparkSession,
-    tables: dict[str, DataFrame],
+    tables: dict[str, RawTable],
     places: Places,
     run_dates: Sequence[str],
     mode: str = "reload",
@@ -110,12 +154,32 @@ def prepare_runs(
 
 def run_daily(
     spark: SparkSession,
-    tables: dict[str, DataFrame],
+    tables: dict[str, RawTable],
     places: Places,
     run_dates: Sequence[str],
     mode: str = "reload",
     verbose: bool = False,
+    all_runs: bool = False,
 ) -> list[Row]:
-    """All steps, then the checks over the warehouse; raises if one of them fails."""
+    """All steps, then the checks and reports over what was loaded; raises if one of them fails.
+
+    Checked are the runs of ``run_dates``, or with ``all_runs`` all that the warehouse has. The error of
+    a failed check has the totals that differ as ``differences``, a DataFrame. Columns that are not
+    filled on every row, or have no rows, are logged: a day without payments is no failure.
+    """
     prepare_runs(spark, tables, places, run_dates, mode)
-    return assert_checks(validate_warehouse(spark, places.database), verbose)
+    checked = None if all_runs else run_dates
+    try:
+        rows = assert_checks(validate_warehouse(spark, places.database, checked), verbose)
+    except AssertionError as failure:
+        failure.differences = differing_totals(spark, places.database, checked)
+        raise
+    found = validation_reports(spark, places.database, checked)
+    for name, report in found.items():
+        # One row per column or per category and run.
+        failed = report.where("NOT coalesce(passed, false)").limit(50).collect()
+        for row in failed:
+            logger.warning("%s: %s", name, row.asDict())
+        if failed and name != "completeness":
+            raise AssertionError(f"{name} failed: {[row.asDict() for row in failed]}")
+    return rows

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ordermill.schemas import PROCESSED, RAW, REQUIRED
+from ordermill.schemas import PROCESSED, RAW, REQUIRED, WAREHOUSE
 
 COMMON = """
 WITH runs(run_date) AS (VALUES ('2025-12-01'), ('2025-12-02')),
@@ -13,8 +13,7 @@ raw_customers AS (
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey CROSS JOIN runs
 ),
 part_category AS (
-  SELECT *, ['Electronics', 'Clothing', 'Books', 'Sports'][CAST(p_partkey % 4 + 1 AS INTEGER)] AS category
-  FROM part
+  SELECT *, p_type AS category FROM part
 ),
 raw_products AS (
   SELECT printf('P%03d', p_partkey) AS product_id, category,
@@ -26,7 +25,7 @@ lines AS (
   SELECT *, CASE WHEN l_orderkey % 2 = 0 THEN '2025-12-01' ELSE '2025-12-02' END AS run_date,
          printf('O%s%03d-%d', CASE WHEN l_orderkey % 2 = 0 THEN '20251201' ELSE '20251202' END,
                 l_orderkey, l_linenumber) AS order_id
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
 ),
 raw_orders AS (
   SELECT order_id, CAST(o_orderdate AS DATE) AS order_date, printf('C%03d', o_custkey) AS customer_id,
@@ -91,7 +90,8 @@ category_revenue AS (
   SELECT category, run_date, sum(total_amount) AS category_revenue FROM enriched GROUP BY category, run_date
 ),
 payments_summary AS (
-  SELECT run_date, payment_method, sum(amount) AS total_amount, count(amount) AS total_count
+  SELECT run_date, payment_method, CAST(sum(CAST(amount AS DECIMAL(28, 6))) AS DOUBLE) AS total_amount,
+         count(amount) AS total_count
   FROM raw_payments GROUP BY run_date, payment_method
 ),
 per_run AS (
@@ -171,6 +171,8 @@ def _anomalies() -> str:
 
 
 def _stored(table: str) -> str:
+    if table == "category_revenue_clean":
+        return "(SELECT category, CAST(category_revenue AS DOUBLE) AS category_revenue FROM category_revenue)"
     return "enriched" if table == "orders_enriched" else table
 
 
@@ -184,7 +186,11 @@ def _completeness() -> str:
     return f"SELECT *, present AND total_rows > 0 AND filled = total_rows AS passed FROM ({rows})"
 
 
-def _types(contracts: dict[str, dict[str, str]], relation) -> str:
+def _types(contracts: dict[str, dict[str, str]], relation, found: dict[str, str | None] | None = None) -> str:
+    def actual(column: str, kind: str) -> str:
+        kind = (found or {}).get(column, kind)
+        return f"'{kind}'" if kind else "NULL::VARCHAR"
+
     def malformed(column: str, kind: str) -> str:
         if column == "run_date":
             return "count(*) FILTER (run_date IS NOT NULL AND TRY_CAST(run_date AS DATE) IS NULL)"
@@ -194,12 +200,12 @@ def _types(contracts: dict[str, dict[str, str]], relation) -> str:
 
     rows = " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, count(*) AS total_rows, '{column}' AS column_name, "
-        f"'{kind}' AS expected_type, '{kind}' AS actual_type, {malformed(column, kind)} AS malformed "
+        f"'{kind}' AS expected_type, {actual(column, kind)} AS actual_type, {malformed(column, kind)} AS malformed "
         f"FROM {relation(table)}"
         for table, contract in contracts.items()
         for column, kind in contract.items()
     )
-    return f"SELECT *, malformed = 0 AS passed FROM ({rows})"
+    return f"SELECT *, coalesce(expected_type = actual_type, FALSE) AND malformed = 0 AS passed FROM ({rows})"
 
 
 SUITE = """
@@ -261,10 +267,19 @@ SELECTS = {
         SELECT category, run_date, CAST(category_revenue AS DOUBLE) AS category_revenue FROM category_revenue
     """,
     "payments_summary": """
-        SELECT run_date, payment_method, round(total_amount, 2) AS total_amount, total_count FROM payments_summary
+        SELECT run_date, payment_method, total_amount, total_count FROM payments_summary
     """,
     "processed_roundtrip": "SELECT * FROM per_run",
     "two_date_run": "SELECT * FROM per_run",
+    "rerun_with_empty_table": " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, run_date, count(*) AS row_count, NULL::DOUBLE AS revenue "
+        f"FROM raw_{table} {where} GROUP BY run_date"
+        for table, where in {
+            "customers": "", "products": "",
+            "orders": "WHERE run_date = '2025-12-02'", "payments": "WHERE run_date = '2025-12-02'",
+        }.items()
+    )
+    + " UNION ALL SELECT * FROM per_run WHERE run_date = '2025-12-02'",
     "warehouse_append": """
         SELECT table_name, run_date, 2 * row_count AS row_count, round(2 * revenue, 2) AS revenue FROM per_run
     """,
@@ -313,11 +328,16 @@ SELECTS = {
         ON c.category = p.category AND c.run_date = p.run_date
     """,
     "dq_completeness": _completeness(),
-    "dq_type_format": _types(PROCESSED, _stored),
+    "dq_type_format": _types(WAREHOUSE, _stored),
     "dq_raw_schema": _types(
         {t: {c: k for c, k in contract.items() if c != "run_date"} for t, contract in RAW.items()},
         lambda table: f"raw_{table}",
     ),
+    "dq_raw_schema_differs": _types(
+        {"orders": {c: k for c, k in RAW["orders"].items() if c != "run_date"}},
+        lambda table: f"raw_{table}",
+        {"country": None, "quantity": "string"},
+    ),
     "dq_join_quality": """
         SELECT 'customers' AS dimension, count(*) AS unmatched, count(*) = 0 AS passed
         FROM raw_orders o WHERE NOT EXISTS (

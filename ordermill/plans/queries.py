@@ -1,8 +1,9 @@
 """The registered queries: each takes (spark, sf_dir) and returns a DataFrame.
 
 All run over two run dates of the whole input. Queries on written raw, processed or warehouse
-tables share one daily run per session and input folder; money is cast to double at the very end,
-for comparison with engines whose decimal sums have another width.
+tables share them per session and input folder: each layer is written when a query first needs it.
+Money is cast to double at the very end, for comparison with engines whose decimal sums have
+another width.
 """
 
 from __future__ import annotations
@@ -17,12 +18,19 @@ from pyspark.sql import functions as F
 from ordermill.functions.money import safe_double
 from ordermill.operators import aggregates, clean
 from ordermill.operators.enrich import enrich_orders
-from ordermill.plans.daily_run import Places, ingest_raw, load_warehouse, prepare_runs
+from ordermill.plans.daily_run import (
+    Places,
+    ingest_raw,
+    load_warehouse,
+    prepare_runs,
+    process_runs,
+    run_daily,
+)
 from ordermill.plans.scratch import scratch_dir
 from ordermill.quality import checks, reports
 from ordermill.quality.suite import check_suite
-from ordermill.schemas import PROCESSED, RAW, REQUIRED
-from ordermill.sinks.partitions import write_runs
+from ordermill.schemas import PROCESSED, RAW, REQUIRED, WAREHOUSE
+from ordermill.sinks.partitions import run_counts, write_runs
 from ordermill.sources.runs import read_runs
 from ordermill.sources.star import RAW_BUILDERS, raw_tables, star_table
 
@@ -41,18 +49,36 @@ REVENUE = {
 
 @dataclass
 class Staged:
-    """One daily run over both dates, and its tables."""
+    """The steps of one daily run over both dates, each taken when its tables are asked for."""
 
     spark: SparkSession
+    sf_dir: str
     places: Places
+    steps_done: int = 0
+
+    def _up_to(self, step: int) -> None:
+        spark, places = self.spark, self.places
+        steps = [
+            lambda: ingest_raw(spark, raw_tables(spark, self.sf_dir, RUN_DATES), places.raw, RUN_DATES),
+            lambda: process_runs(spark, places.raw, places.processed, RUN_DATES),
+            lambda: load_warehouse(
+                spark, places.processed, places.database, RUN_DATES, location=places.database_location
+            ),
+        ]
+        while self.steps_done < step:
+            steps[self.steps_done]()
+            self.steps_done += 1
 
     def raw(self, table: str) -> DataFrame:
+        self._up_to(1)
         return read_runs(self.spark, self.places.raw, table, RUN_DATES, RAW[table])
 
     def processed(self, table: str) -> DataFrame:
+        self._up_to(2)
         return read_runs(self.spark, self.places.processed, table, RUN_DATES, PROCESSED[table])
 
     def warehouse(self, table: str) -> DataFrame:
+        self._up_to(3)
         return self.spark.table(f"{self.places.database}.{table}")
 
 
@@ -62,15 +88,13 @@ _staged: dict[tuple[str, str], Staged] = {}
 def staged(spark: SparkSession, sf_dir: str) -> Staged:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _staged:
-        places = new_places(spark, "daily")
-        prepare_runs(spark, raw_tables(spark, sf_dir, RUN_DATES), places, RUN_DATES)
-        use_staged(spark, sf_dir, places)
+        _staged[key] = Staged(spark, sf_dir, new_places(spark, "daily"))
     return _staged[key]
 
 
 def use_staged(spark: SparkSession, sf_dir: str, places: Places) -> None:
     """Let the queries use a daily run that is already there."""
-    _staged[(spark.sparkContext.applicationId, sf_dir)] = Staged(spark, places)
+    _staged[(spark.sparkContext.applicationId, sf_dir)] = Staged(spark, sf_dir, places, steps_done=3)
 
 
 def new_places(spark: SparkSession, label: str) -> Places:
@@ -94,8 +118,9 @@ def _as_double(df: DataFrame, *columns: str) -> DataFrame:
 
 def raw_run_scan(spark, sf_dir):
     """The second of two written runs of the orders, read back alone."""
-    raw = staged(spark, sf_dir).places.raw
-    return read_runs(spark, raw, "orders", RUN_DATES[1:], RAW["orders"])
+    run = staged(spark, sf_dir)
+    run.raw("orders")
+    return read_runs(spark, run.places.raw, "orders", RUN_DATES[1:], RAW["orders"])
 
 
 def ingest(spark, sf_dir):
@@ -160,8 +185,7 @@ def category_revenue(spark, sf_dir):
 
 
 def payments_summary(spark, sf_dir):
-    summary = aggregates.payments_summary(staged(spark, sf_dir).raw("payments"))
-    return summary.withColumn("total_amount", F.round("total_amount", 2))
+    return aggregates.payments_summary(staged(spark, sf_dir).raw("payments"))
 
 
 # --- sinks and warehouse -------------------------------------------------------------------
@@ -193,13 +217,27 @@ def processed_roundtrip(spark, sf_dir):
 
 
 def two_date_run(spark, sf_dir):
-    """The whole daily run over both dates: what the warehouse tables then hold."""
-    run = staged(spark, sf_dir)
-    return _per_run({table: run.warehouse(table) for table in PROCESSED})
+    """The whole daily run over both dates, checks included: what the warehouse tables then hold."""
+    places = new_places(spark, "two-dates")
+    run_daily(spark, raw_tables(spark, sf_dir, RUN_DATES), places, RUN_DATES)
+    return _per_run({table: spark.table(f"{places.database}.{table}") for table in PROCESSED})
+
+
+def rerun_with_empty_table(spark, sf_dir):
+    """Both dates run, then the first one again without orders and payments: rows per raw table, and totals."""
+    places = new_places(spark, "rerun")
+    prepare_runs(spark, raw_tables(spark, sf_dir, RUN_DATES), places, RUN_DATES)
+    again = {table: build(spark, sf_dir, RUN_DATES[:1]) for table, build in RAW_BUILDERS.items()}
+    again |= {table: again[table].limit(0) for table in ("orders", "payments")}
+    prepare_runs(spark, again, places, RUN_DATES[:1])
+    raw = run_counts({table: read_runs(spark, places.raw, table, RUN_DATES, RAW[table]) for table in RAW})
+    kept = raw.select("table_name", "run_date", "row_count", F.lit(None).cast("double").alias("revenue"))
+    return kept.unionAll(_per_run({table: spark.table(f"{places.database}.{table}") for table in PROCESSED}))
 
 
 def _loaded_twice(spark, sf_dir, mode: str, second: list[str]) -> DataFrame:
     run = staged(spark, sf_dir)
+    run.processed("orders_enriched")
     places = new_places(spark, mode)
     load_warehouse(spark, run.places.processed, places.database, RUN_DATES, mode, places.database_location)
     load_warehouse(spark, run.places.processed, places.database, second, mode)
@@ -290,19 +328,29 @@ def dq_category_recon(spark, sf_dir):
 
 def dq_completeness(spark, sf_dir):
     run = staged(spark, sf_dir)
-    return reports.completeness({table: run.warehouse(table) for table in PROCESSED}, REQUIRED)
+    return reports.completeness({table: run.warehouse(table) for table in WAREHOUSE}, REQUIRED)
 
 
 def dq_type_format(spark, sf_dir):
     run = staged(spark, sf_dir)
-    return reports.type_format({table: run.warehouse(table) for table in PROCESSED}, PROCESSED)
+    return reports.type_format({table: run.warehouse(table) for table in WAREHOUSE}, WAREHOUSE)
 
 
 def dq_raw_schema(spark, sf_dir):
     """The raw files as they are, against the contract."""
-    raw = staged(spark, sf_dir).places.raw
-    contracts = {table: _without_run_date(contract) for table, contract in RAW.items()}
-    return reports.type_format({table: read_runs(spark, raw, table, RUN_DATES) for table in RAW}, contracts)
+    run = staged(spark, sf_dir)
+    run.raw("orders")
+    files = {table: read_runs(spark, run.places.raw, table, RUN_DATES) for table in RAW}
+    return reports.type_format(files, {table: _without_run_date(contract) for table, contract in RAW.items()})
+
+
+def dq_raw_schema_differs(spark, sf_dir):
+    """The same report on order files without a country and with quantities as text."""
+    root = scratch_dir(spark, "differs")
+    orders = staged(spark, sf_dir).raw("orders").drop("country")
+    write_runs(orders.withColumn("quantity", F.col("quantity").cast("string")), root, "orders", RUN_DATES)
+    files = {"orders": read_runs(spark, root, "orders", RUN_DATES)}
+    return reports.type_format(files, {"orders": _without_run_date(RAW["orders"])})
 
 
 def _without_run_date(contract: dict[str, str]) -> dict[str, str]:
@@ -318,18 +366,16 @@ def dq_join_quality(spark, sf_dir):
 def dq_anomaly_report(spark, sf_dir):
     """Totals computed before the dedup, against the enriched table: every copy is an anomaly."""
     run = staged(spark, sf_dir)
-    undeduplicated = run.raw("orders").withColumnsRenamed(
-        {"quantity": "order_quantity", "price": "order_price", "country": "order_country"}
+    copies = _enrich(run.raw("orders").withColumnsRenamed(clean.ORDER_NAMES), run)
+    # Written once for the comparisons: the compared columns only, summed by all keys at once.
+    by_all = copies.groupBy("customer_id", "product_id", "category", "run_date").agg(
+        F.sum("order_quantity").alias("total_quantity_sold"), F.sum("total_amount").alias("total_revenue")
     )
-    # Written once for the four comparisons, as the daily run does.
     root = scratch_dir(spark, "copies")
-    write_runs(_enrich(undeduplicated, run), root, "orders_enriched", RUN_DATES)
-    copies = read_runs(spark, root, "orders_enriched", RUN_DATES, PROCESSED["orders_enriched"])
+    by_all.write.parquet(root)
+    by_all = spark.read.parquet(root)
     found = reports.anomaly_report(
-        run.warehouse("orders_enriched"),
-        aggregates.customers_revenue(copies),
-        aggregates.products_sales(copies),
-        aggregates.category_revenue(copies),
+        run.warehouse("orders_enriched"), by_all, by_all, by_all.withColumnRenamed("total_revenue", "category_revenue")
     )
     return _as_double(found, "recomputed", "stored", "difference")
 
@@ -353,6 +399,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "payments_summary": payments_summary,
     "processed_roundtrip": processed_roundtrip,
     "two_date_run": two_date_run,
+    "rerun_with_empty_table": rerun_with_empty_table,
     "warehouse_append": warehouse_append,
     "warehouse_truncate": warehouse_truncate,
     "warehouse_reload_idempotent": warehouse_reload_idempotent,
@@ -372,6 +419,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_completeness": dq_completeness,
     "dq_type_format": dq_type_format,
     "dq_raw_schema": dq_raw_schema,
+    "dq_raw_schema_differs": dq_raw_schema_differs,
     "dq_join_quality": dq_join_quality,
     "dq_anomaly_report": dq_anomaly_report,
 }

@@ -2,26 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder under the cluster's shared ``spark.checkpoint.dir``.
-
-    Only a local session may do without that setting; it gets a temporary folder.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = _local_folder().name
+    """A new folder under the shared ``spark.checkpoint.dir``, or where that is unset under the warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/ordermill/{label}-{uuid.uuid4().hex}"
 
-
-@lru_cache(maxsize=1)
-def _local_folder() -> tempfile.TemporaryDirectory:
-    return tempfile.TemporaryDirectory(prefix="ordermill-")

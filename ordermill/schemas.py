@@ -86,6 +86,9 @@ PROCESSED = {
     },
 }
 
+# The tables of the warehouse: the processed ones and the cleaned category table.
+WAREHOUSE = PROCESSED | {"category_revenue_clean": {"category": "string", "category_revenue": "double"}}
+
 # Columns that must be filled on every row.
 REQUIRED = {
     "orders_enriched": ["order_id", "customer_id", "product_id", "run_date"],
@@ -93,6 +96,7 @@ REQUIRED = {
     "products_sales": ["product_id", "run_date"],
     "category_revenue": ["category", "run_date"],
     "payments_summary": ["payment_method", "run_date"],
+    "category_revenue_clean": ["category", "category_revenue"],
 }
 
 

@@ -2,41 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-PARTITION_BYTES = 256 * 1024**2
-LEAST_PARTITIONS, MOST_PARTITIONS = 200, 50_000
+PARTITION_BYTES = 128 * 1024**2
+
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Skewed join sides are split and small shuffle partitions merged at run time.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Merged partitions, and so files, get about this size where there is enough for every core.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
     # A few open files per task spare a sort by run_date before a partitioned write.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 
-def shuffle_partitions(input_bytes: int) -> int:
-    """Shuffle partitions for an input: about 256 MB each, so that a task sorts in memory.
+def size_shuffles(spark: SparkSession, *frames: DataFrame) -> int:
+    """Raise the number of partitions that shuffles begin with to what the frames need; returns it.
 
-    Adaptive execution merges small partitions but cannot add any, so the number has to follow
-    the input. The upper bound keeps the number of shuffle blocks workable; beyond it partitions
-    grow (2 GB at 100 TB) and the sorts spill.
+    Their sizes are Spark's own estimates, from the files. Adaptive execution then merges small
+    partitions. A larger number that is already set stays.
     """
-    return min(max(-(-input_bytes // PARTITION_BYTES), LEAST_PARTITIONS), MOST_PARTITIONS)
+    estimated = sum(_estimated_bytes(df) for df in frames)
+    needed = -(-estimated // PARTITION_BYTES)
+    known = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    if needed > int(known):
+        spark.conf.set(INITIAL_PARTITIONS, str(needed))
+    return max(needed, int(known))
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    """Bytes of all that the frame reads; Spark's estimate of a join itself is a product of its sides."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.length()))
 
 
 def build_session(
-    app: str = "ordermill", master: str | None = None, input_bytes: int | None = None, **settings: str
+    app: str = "ordermill", master: str | None = None, **settings: str
 ) -> SparkSession:
     """Create or get a session; ``settings`` use ``__`` for the dots of a Spark setting."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     wanted = dict(SETTINGS)
-    if input_bytes is not None:
-        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
     wanted.update({key.replace("__", "."): value for key, value in settings.items()})
     for key, value in wanted.items():
         builder = builder.config(key, value)

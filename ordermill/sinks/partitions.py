@@ -3,31 +3,44 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.plans.together import run_together
 
-# Up to this many runs a task still writes files of a useful size for each of them.
-FEW_RUNS = 8
 
+def write_runs(
+    df: DataFrame, root: str, table: str, run_dates: Sequence[str], one_file_each: bool = False
+) -> None:
+    """Replace the partitions of the runs ``run_dates`` by the rows of ``df``; other runs stay.
 
-def write_runs(df: DataFrame, root: str, table: str, run_dates: Sequence[str]) -> None:
-    """Replace the partitions of the runs in ``df`` and leave all other runs alone.
+    A run without rows becomes an empty folder with the schema, so nothing of an earlier attempt is
+    left and the run reads as empty. A row of a run that is not named raises. Writing again gives the
+    same partitions, so a failed or repeated job is simply rerun.
 
-    Writing a run again gives the same partition, so a failed or repeated job is simply rerun.
+    One run is overwritten in place. Several are emptied first and then written in one job, which
+    needs no dynamic partition overwrite. ``one_file_each`` groups the rows by run before that, at
+    the cost of a shuffle, for many runs of few rows.
     """
-    if len(run_dates) > FEW_RUNS:
-        # Group rows by run so that a task does not write one small file per run; Spark still
-        # splits a large run over many tasks. For few runs this shuffle costs more than it saves.
+    if not run_dates:
+        raise ValueError("name at least one run date")
+    named = F.coalesce(F.col("run_date").isin(*run_dates), F.lit(False))
+    strange = F.concat(F.lit(f"{table}: row of a run that is not written, "), F.coalesce("run_date", F.lit("NULL")))
+    df = df.where(F.when(named, F.lit(True)).otherwise(F.raise_error(strange).cast("boolean")))
+    if len(run_dates) == 1:
+        _overwrite(df, root, table, run_dates[0])
+        return
+    none = df.limit(0)
+    run_together(df.sparkSession, [partial(_overwrite, none, root, table, run_date) for run_date in run_dates])
+    if one_file_each:
         df = df.hint("rebalance", "run_date")
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date")
-        .parquet(f"{root}/{table}")
-    )
+    df.write.mode("append").partitionBy("run_date").parquet(f"{root}/{table}")
+
+
+def _overwrite(df: DataFrame, root: str, table: str, run_date: str) -> None:
+    df.drop("run_date").write.mode("overwrite").parquet(f"{root}/{table}/run_date={run_date}")
 
 
 def run_counts(frames: dict[str, DataFrame]) -> DataFrame:

@@ -15,34 +15,63 @@ RUN_DATE = re.compile(r"\d{4}-\d{2}-\d{2}")
 
 
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
-    where = f" LOCATION '{location}'" if location else ""
+    escaped = (location or "").replace("\\", "\\\\").replace("'", "\\'")
+    where = f" LOCATION '{escaped}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
 
 
-def load_table(df: DataFrame, database: str, table: str, run_dates: Sequence[str], mode: str = "reload") -> None:
+def load_table(
+    df: DataFrame,
+    database: str,
+    table: str,
+    run_dates: Sequence[str],
+    mode: str = "reload",
+    add_columns: bool = False,
+) -> None:
     """Load the runs in ``df`` into ``database.table``.
 
     ``append`` adds the rows to what is there, ``truncate`` replaces the whole table, ``reload``
     replaces the given runs only, so that loading a run twice does not double it.
+
+    Into a table that stays (append, reload), ``df`` must have the same columns, in any order, or this
+    raises. With ``add_columns`` new columns are added to the table, where earlier runs have NULL.
     """
     if mode not in MODES:
         raise ValueError(f"mode is one of {MODES}, not {mode!r}")
+    spark = df.sparkSession
     name = f"{database}.{table}"
-    if mode != "reload" or not df.sparkSession.catalog.tableExists(name):
+    exists = spark.catalog.tableExists(name)
+    if exists and mode != "truncate":
+        _match_columns(df, name, add_columns)
+    if mode != "reload" or not exists:
         how = "append" if mode == "append" else "overwrite"
         df.write.mode(how).format("parquet").partitionBy("run_date").saveAsTable(name)
         return
-    columns = [column for column in df.sparkSession.table(name).columns if column != "run_date"]
+    columns = [column for column in spark.table(name).columns if column != "run_date"]
     for run_date in run_dates:
         if not RUN_DATE.fullmatch(run_date):
             raise ValueError(f"not a run date: {run_date!r}")
         # A static partition overwrite: the other runs stay whatever the session settings are.
-        df.sparkSession.sql(
+        spark.sql(
             f"INSERT OVERWRITE TABLE {name} PARTITION (run_date = '{run_date}') SELECT * FROM {{run}}",
             run=df.where(F.col("run_date") == run_date).select(*columns),
         )
 
 
+def _match_columns(df: DataFrame, name: str, add_columns: bool) -> None:
+    there = set(df.sparkSession.table(name).columns)
+    absent = sorted(there - set(df.columns))
+    new = [field for field in df.schema.fields if field.name not in there]
+    if absent or (new and not add_columns):
+        raise ValueError(
+            f"{name}: new columns {[field.name for field in new]}, absent columns {absent}; "
+            "add_columns=True adds the new ones"
+        )
+    if new:
+        listed = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in new)
+        df.sparkSession.sql(f"ALTER TABLE {name} ADD COLUMNS ({listed})")
+
+
 def category_revenue_clean(category_revenue: DataFrame) -> DataFrame:
     """Category and revenue as double. The run date is dropped: one row per category and run."""
     return category_revenue.select(

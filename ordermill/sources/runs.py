@@ -9,6 +9,13 @@ from pyspark.sql import functions as F
 
 from ordermill.schemas import ddl
 
+# What a contract type may be in the files: the type itself or one that widens to it without loss.
+NARROWER = {"bigint": {"tinyint", "smallint", "int"}, "double": {"float"}}
+
+
+class SchemaMismatch(ValueError):
+    """Files that do not have the columns of their contract."""
+
 
 def read_runs(
     spark: SparkSession,
@@ -34,3 +41,33 @@ def read_runs(
         return reader.schema(ddl(contract)).parquet(*paths)
     found = reader.option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
     return found.withColumn("run_date", F.col("run_date").cast("string"))
+
+
+def checked_runs(
+    spark: SparkSession, root: str, table: str, run_dates: Sequence[str], contract: dict[str, str]
+) -> DataFrame:
+    """The given runs, of files by others: every run must have the columns of the contract and no other.
+
+    Types must be those of the contract or widen to them. Raises ``SchemaMismatch`` that names table,
+    run, column, expected and found type, before any row is read.
+    """
+    problems = []
+    for run_date in run_dates:
+        found = dict(read_runs(spark, root, table, [run_date], merge_schema=True).dtypes)
+        for column, kind in contract.items():
+            actual = found.get(column)
+            if actual != kind and actual not in NARROWER.get(kind, ()):
+                problems.append(f"{table}, run {run_date}: {column} should be {kind} and is {actual or 'absent'}")
+        problems += [
+            f"{table}, run {run_date}: {column} ({found[column]}) is not in the contract"
+            for column in found
+            if column not in contract
+        ]
+    if problems:
+        raise SchemaMismatch("; ".join(problems))
+    runs = [read_runs(spark, root, table, [run_date], merge_schema=True) for run_date in run_dates]
+    typed = [df.select(*[F.col(column).cast(kind).alias(column) for column, kind in contract.items()]) for df in runs]
+    combined = typed[0]
+    for df in typed[1:]:
+        combined = combined.unionAll(df)
+    return combined
