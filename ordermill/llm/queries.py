@@ -7,8 +7,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ordermill.llm.common import table
 from ordermill.llm.html import extract_main_text
+from ordermill.llm.katz import katz_scores
 from ordermill.llm.mixing import pfair_mix
 from ordermill.llm.neardup import near_duplicates
 from ordermill.llm.oracle import quality_sql
@@ -95,6 +97,10 @@ def op7_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz_scores(table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 10))
+
+
 def op9_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sources to equal weights."""
     return pfair_mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
@@ -116,10 +122,11 @@ QUERIES = {
         op5_line_block_extraction,
         op6_zstd_warc_roundtrip,
         op7_kneser_ney_toxicity,
+        op8_katz_backoff,
         op9_pfair_mixing,
         op10_greedy_string_tiling,
     )
-}
+} | {"pipeline": corpus_pipeline.run}
 
 ORACLE_SQL = {
     # Sizes and fixed columns of the other operators follow from their methods only; see the tests.

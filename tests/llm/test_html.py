@@ -1,0 +1,69 @@
+import re
+from html import unescape
+
+from ordermill.llm.html import extract_main_text, main_lines, main_text, page_lines
+
+SF = "/root/testdata/sf0.01"
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head>
+<body class="page"><header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></ul></nav>
+<div class="cookie-notice"><div>We use cookies</div> and more</div>
+<div id="main"><h1>Fish &amp; chips</h1><p>First   <b>bold</b>&nbsp;words<br>go on
+here and are long enough to be the surge of the page, as they should be.</p>
+<!-- <p>no</p> --><div class='ad-box'><p>Buy!</p></div><p>Short.</p><ul><li>One<li>Two</ul>
+<form><p>Name</p></form><p class=sponsored>Paid<p>Last &lt;line&gt; &#8212; end.</div>
+<aside>Side</aside><section id="comments"><p>Nice and long comment, longer than many an article, indeed it is.</p></section>
+<footer>&copy; me</footer></body></html>"""
+
+
+def test_a_page_without_marked_main_part():
+    assert main_text(PAGE).split("\n") == [
+        "Fish & chips",
+        "First bold words go on here and are long enough to be the surge of the page, as they should be.",
+        "Short.",
+        "One",
+        "Two",
+        "Last <line> — end.",
+    ]
+
+
+def test_a_marked_main_part_bounds_the_text():
+    page = "<div>Teaser text that is long, longer than sixty characters for sure, it really is.</div><article>A<p>b</p></article><p>x</p>"
+    assert main_text(page) == "A\nb"
+    assert main_text("<article><article class='comment'>no</article><p>yes</p></article>") == "yes"
+
+
+def test_windows_bridge_short_gaps_and_dive_at_long_ones():
+    page = "<p>" + "body " * 20 + "</p>" + "<nav>x</nav>" * 2 + "<p>more</p>" + "<nav>x</nav>" * 3 + "<p>tail</p>"
+    assert main_lines(page_lines(page)) == [("body " * 20).strip(), "more"]
+
+
+def test_broken_markup_and_odd_pages():
+    assert main_text(None) == main_text("") == main_text("<p></p><script>x") == ""
+    assert main_text("plain & simple") == "plain & simple"
+    assert main_text("a < b and <b>c") == "a < b and c"
+    assert main_text('<p title="a>b">x</p>') == "x"
+    assert main_text("<p>open <a href='") == "open <a href='"
+    assert main_text("<article><p>never closed") == "never closed"
+    assert main_text("<div>" * 2000 + "deep") == "deep"
+    assert main_text("<div class='menu'><div>a</div>b</div>c") == "c"
+
+
+def test_whole_table_against_the_article_of_each_page(spark):
+    """These pages have one article of headings and paragraphs, which a few patterns can read."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    got = {r.page_id: r.text for r in extract_main_text(pages.select("page_id", "html")).collect()}
+    for page in pages.collect():
+        article = re.search("<article>(.*)</article>", page.html, re.DOTALL)[1]
+        blocks = (re.sub("<[^>]*>", "", b.replace("<br>", " ")) for b in re.split("</?(?:p|h1)>", article))
+        blocks = (re.sub(r"\s+", " ", unescape(b)).strip() for b in blocks)
+        assert got[page.page_id] == "\n".join(b for b in blocks if b)
+
+
+def test_columns_nulls_repeats_and_empty(spark):
+    rows = [(1, "u", None, "old"), (None, None, "<p>a</p>", "old"), (1, "u", "<p>" + "w " * 200_000 + "</p>", "old")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    out = extract_main_text(df)
+    assert out.columns == ["page_id", "url", "text"]
+    assert sorted(len(r.text) for r in out.collect()) == [0, 1, 399_999]
+    assert extract_main_text(df.limit(0)).count() == 0

@@ -1,0 +1,105 @@
+import random
+import re
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline
+from ordermill.llm.queries import QUERIES
+
+DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def words(seed, n):
+    rng = random.Random(seed)
+    return [f"{rng.choice('abcdefgh')}{rng.randrange(600)}" for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def planted(spark, tmp_path_factory):
+    """Tables with toxic documents, copies and benchmark passages at known places."""
+    folder = tmp_path_factory.mktemp("corpus")
+    rng = random.Random(7)
+    item = words(999, 40)
+    clean = {i: words(i, 120) for i in range(240)}
+    texts = dict(clean)
+    toxic = set(range(1000, 1120))
+    for i in toxic:
+        texts[i] = words(i, 80)
+        for _ in range(6):
+            texts[i].insert(rng.randrange(80), rng.choice(["vile", "foul", "crud"]))
+    copies = {2000 + i: clean[i % 20] for i in range(60)}
+    near = {3000 + i: clean[20 + i][:118] + ["changed"] for i in range(20)}
+    leaks = {4000 + i: words(4000 + i, 60) + item[20:] + words(i, 30) + item[:20] for i in range(10)}
+    texts |= copies | near | leaks
+    rows = [(i, " ".join(text), "en", f"src{i % 3}", 0) for i, text in texts.items()]
+    rows += [(5000, None, None, None, None), (5001, "", "en", "src0", 0), (None, " ".join(words(5, 9)), "en", None, 1)]
+    spark.createDataFrame(rows, DOCUMENT).repartition(4).write.parquet(f"{folder}/documents.parquet")
+    labelled = [(i, 1, int(i in toxic)) for i in [*clean, *toxic]]
+    spark.createDataFrame(labelled, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, " ".join(item))], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return f"{folder}", {*clean, 5000, 5001, None}, clean
+
+
+def test_run_keeps_exactly_the_clean_documents(spark, planted):
+    folder, expected, clean = planted
+    rows = corpus_pipeline.run(spark, folder).collect()
+    assert len(rows) == len(expected) and {r.doc_id for r in rows} == expected
+    assert all(r.text == " ".join(clean[r.doc_id]) for r in rows if r.doc_id in clean)
+    sizes = Counter(r.shard for r in rows)
+    assert sorted(sizes) == list(range(16)) and max(sizes.values()) - min(sizes.values()) <= 1
+    for shard, size in sizes.items():
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(size))
+
+
+def test_each_stage_on_its_own_input(spark, planted, tmp_path):
+    folder, _, _ = planted
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    ids = lambda df: {r.doc_id for r in df.collect()}
+    stages = dict(corpus_pipeline.STAGES)
+    every = ids(docs)
+    assert every - ids(stages["toxicity"](spark, docs, folder)) == set(range(1000, 1120))
+    assert every - ids(stages["near_duplicates"](spark, docs, folder)) == {*range(2000, 2060), *range(3000, 3020)}
+    assert every - ids(stages["decontamination"](spark, docs, folder)) == set(range(4000, 4010))
+    stages["mixing"](spark, docs, folder).write.parquet(f"{tmp_path}/mixed")
+    assert ids(spark.read.parquet(f"{tmp_path}/mixed")) == every
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, folder).columns == docs.columns, name
+
+
+def test_mixed_rows_lie_in_the_order_of_the_mix(spark, planted):
+    folder, _, _ = planted
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 240")
+    order = [r.source for r in dict(corpus_pipeline.STAGES)["mixing"](spark, docs, folder).collect()]
+    for at in range(96, 241, 96):  # blocks of 32 rows of three sources
+        assert set(Counter(order[:at]).values()) == {at // 3}
+
+
+def test_empty_documents(spark, planted, tmp_path):
+    folder, _, _ = planted
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, folder).count() == 0
+
+
+def test_registered_and_near_brute_force(spark):
+    """On the given tables: what is dropped is toxic, a five-word near copy of something kept, or a leak."""
+    sf = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    kept = {r.doc_id for r in QUERIES["pipeline"](spark, sf).collect()}
+    items = [r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    split = lambda text: re.findall(r"[0-9a-z\x80-\U0010ffff]+", text.lower())
+
+    def shingles(text):
+        seq = text.lower().split()
+        return {tuple(seq[i : i + 5]) for i in range(max(1, len(seq) - 4))}
+
+    sets = {i: shingles(text) for i, text in docs.items()}
+    leak = {i for i, text in docs.items() if any(" ".join(split(item)) in " ".join(split(text)) for item in items)}
+    assert not leak & kept
+    rude = {"idiot", "pathetic", "moron", "disgusting", "loser", "clown", "worthless", "trash", "stupid", "scum"}
+    for i in set(docs) - kept - leak:
+        near = any(len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for j in docs if j < i)
+        assert near or len(rude & set(split(docs[i]))) >= 2
+    for i in kept:
+        assert not any(len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for j in kept if j < i)

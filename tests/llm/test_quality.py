@@ -1,0 +1,80 @@
+import re
+from collections import Counter
+
+from ordermill.llm.quality import RULES, Rule, apply_rules, quality_counts
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+GOOD = "the ship of the line was in port and it had to wait for wind with a crew on board " * 1
+
+
+def brute(text):
+    words = WORD.findall(text or "")
+    grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    times = Counter(grams)
+    covered = {i + step for i, gram in enumerate(grams) if times[gram] > 1 for step in range(3)}
+    lines = [line for line in (text or "").split("\n") if WORD.search(line)]
+    return {
+        "n_words": len(words),
+        "word_chars": sum(map(len, words)),
+        "n_symbols": len(re.findall(r"[#*$%&|<>]", text or "")),
+        "n_lines": len(lines),
+        "n_dup_lines": len(lines) - len(set(lines)),
+        "n_repeat_words": len(covered),
+    }
+
+
+TEXTS = [
+    None,
+    "",
+    " \n\t\x0b ",
+    "a b",
+    "a b c a b c a b c a b c",
+    "a a a a a",
+    "one two three four one two three five\none two three",
+    "### x | y\n\nx\n x\nx\n#",
+    "naïve 漢字 😀   nbsp em",
+    "tail  ",
+    "  head\r\nb\r\nb\r\n",
+    " ".join(f"w{i % 700}" for i in range(30_000)),
+]
+
+
+def test_counts_against_brute_force(spark, documents):
+    rows = quality_counts(documents(TEXTS, extra=True)).collect()
+    for row in rows:
+        assert {k: row[k] for k in brute("")} == brute(TEXTS[row.doc_id]), TEXTS[row.doc_id]
+
+
+def test_verdicts(spark, documents):
+    fine = " ".join(f"{w} the thing{i}" for i, w in enumerate(["ship", "wind", "port", "crew"] * 8))
+    texts = [fine, " ".join(["|"] * 200), "word " * 200, "few words", fine.replace(" the ", " qq "), " ".join(f"{i} the" for i in range(60))]
+    rows = {r.doc_id: (r.base_failed, r.kept) for r in apply_rules(documents(texts)).collect()}
+    assert rows == {0: (False, True), 1: (True, False), 2: (True, False), 3: (True, False), 4: (False, False), 5: (False, False)}
+
+
+def test_base_rules_at_their_limits(spark, documents):
+    unique = [f"u{i}" for i in range(49)]
+    texts = [" ".join(unique + ["the"]), " ".join(unique)]
+    assert [r.base_failed for r in apply_rules(documents(texts)).orderBy("doc_id").collect()] == [False, True]
+    # 26 + 26 of 104 words repeat: 50 percent, which passes.
+    half = [f"h{i}" for i in range(26)]
+    texts = [" ".join(half * 2 + [f"z{i}" for i in range(52)]), " ".join(half * 2 + [f"z{i}" for i in range(51)])]
+    rows = apply_rules(documents(texts)).orderBy("doc_id").collect()
+    assert [(r.n_repeat_words, r.base_failed) for r in rows] == [(52, False), (52, True)]
+
+
+def test_the_table_decides(spark, documents):
+    df = documents([" ".join(f"w{i}" for i in range(80))])
+    kept = lambda *rules: apply_rules(df, rules).first().kept
+    assert kept() and not apply_rules(df, RULES).first().kept
+    assert kept(Rule("n_words", 80, 80)) and not kept(Rule("n_words", 81, None)) and not kept(Rule("n_words", None, 79))
+
+
+def test_one_projection_without_python(spark, documents, capsys):
+    apply_rules(documents(["a"])).explain()
+    plan = capsys.readouterr().out
+    assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_empty_table(spark, documents):
+    assert apply_rules(documents(["a"]).limit(0)).count() == 0

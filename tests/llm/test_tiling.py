@@ -1,0 +1,120 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from ordermill.llm.queries import QUERIES
+from ordermill.llm.tiling import decontaminate, find_contaminated, greedy_tiles
+
+SF = "/root/testdata/sf0.01"
+ITEMS = "item_id long, text string"
+
+
+def brute_tiles(doc, item, least):
+    """Greedy string tiling as first described: scan all pairs of places for the longest unmarked match."""
+    doc_marked, item_marked, tiles = set(), set(), []
+    while True:
+        best = []
+        longest = least
+        for j in range(len(item)):
+            for i in range(len(doc)):
+                n = 0
+                while (
+                    i + n < len(doc) and j + n < len(item) and doc[i + n] == item[j + n]
+                    and i + n not in doc_marked and j + n not in item_marked
+                ):
+                    n += 1
+                if n > longest:
+                    longest, best = n, [(i, j)]
+                elif n == longest:
+                    best.append((i, j))
+        if not best:
+            return tiles
+        for i, j in best:
+            if not doc_marked & set(range(i, i + longest)) and not item_marked & set(range(j, j + longest)):
+                doc_marked |= set(range(i, i + longest))
+                item_marked |= set(range(j, j + longest))
+                tiles.append((i, j, longest))
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_tiles_against_brute_force(seed):
+    rng = random.Random(seed)
+    vocabulary = [np.uint64(rng.getrandbits(64)) for _ in range(rng.choice([2, 4, 30]))]
+    item = [rng.choice(vocabulary) for _ in range(rng.randrange(1, 25))]
+    doc = [rng.choice(vocabulary) for _ in range(30)] + item[8:] + [rng.choice(vocabulary)] + item[:8]
+    tiles = greedy_tiles(np.array(doc), np.array(item), 3)
+    expected = brute_tiles(doc, item, 3)
+    for i, j, n in tiles:
+        assert doc[i : i + n] == item[j : j + n]
+    for side in (0, 1):
+        places = [at + k for tile in tiles for k, at in ((k, tile[side]) for k in range(tile[2]))]
+        assert len(places) == len(set(places))
+    # Among matches of one length any may be marked first, which can change what is left.
+    assert tiles[:1] and expected[:1] or not tiles and not expected
+    if tiles:
+        assert tiles[0][2] == expected[0][2]
+        assert abs(sum(n for *_, n in tiles) - sum(n for *_, n in expected)) <= 3
+
+
+def words(seed, n):
+    rng = random.Random(seed)
+    return [f"{rng.choice('abcdefg')}{rng.randrange(400)}" for _ in range(n)]
+
+
+def test_reordered_and_altered_passages_are_found(spark, documents):
+    item, other = words(1, 40), words(2, 40)
+    filler = words(3, 200)
+    cases = {
+        0: filler + item + filler,
+        1: filler[:50] + item[20:] + filler[50:90] + item[:20],  # parts in another order
+        2: [w.upper() + "!" if i % 2 else f"({w}," for i, w in enumerate(item)],  # case and punctuation
+        3: item[:10] + ["zz"] + item[11:20] + ["yy"] + item[21:],  # words replaced
+        4: filler + item[:12] + filler,  # less than half
+        5: filler,
+        6: item[::-1],
+        7: item + other,
+    }
+    df = documents([(i, " ".join(text)) for i, text in cases.items()], extra=True)
+    items = spark.createDataFrame([(10, " ".join(item)), (11, " ".join(other)), (12, "too short"), (13, None)], ITEMS)
+    found = find_contaminated(df, items)
+    got = {(r.doc_id, r.item_id): r for r in found.collect()}
+    assert set(got) == {(0, 10), (1, 10), (2, 10), (3, 10), (7, 10), (7, 11)}
+    assert got[1, 10].coverage == 1.0 and got[1, 10].n_tiles == 2 and got[1, 10].longest_tile == 20
+    assert got[3, 10].covered_words == 38
+    kept = decontaminate(df, items)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [4, 5, 6]
+
+
+def test_nulls_empty_repeats_and_long_texts(spark, documents):
+    item = " ".join(words(4, 30))
+    long = " ".join(words(5, 150_000)) + " " + item
+    texts = [(None, item), (1, None), (2, ""), (3, item), (3, item), (3, "clean"), (4, long), (5, "a " * 5000)]
+    items = spark.createDataFrame([(1, item), (1, item), (None, "a " * 40), (2, "")], ITEMS)
+    found = find_contaminated(documents(texts), items)
+    assert sorted((r.doc_id or 0, r.item_id or 0) for r in found.collect()) == [(0, 1), (3, 1), (3, 1), (4, 1), (5, 0)]
+    kept = decontaminate(documents(texts), items)
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == [(1, ""), (2, ""), (3, "clean")]
+    none = documents(texts).limit(0)
+    assert find_contaminated(none, items).count() == 0 and decontaminate(none, items).count() == 0
+    assert find_contaminated(documents(texts), items.limit(0)).count() == 0
+
+
+def test_query_against_brute_force(spark):
+    """Items found by their six-word windows, document by document."""
+    split = lambda text: re.findall(r"[0-9a-z\x80-\U0010ffff]+", (text or "").lower())
+    items = {r.item_id: split(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    windows = {}
+    for item, seq in items.items():
+        for at in range(len(seq) - 5):
+            windows.setdefault(tuple(seq[at : at + 6]), []).append((item, at))
+    expected = set()
+    for row in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        seq, covered = split(row.text), {}
+        for at in range(len(seq) - 5):
+            for item, start in windows.get(tuple(seq[at : at + 6]), ()):
+                covered.setdefault(item, set()).update(range(start, start + 6))
+        expected |= {(row.doc_id, item) for item, places in covered.items() if 2 * len(places) >= len(items[item])}
+    rows = QUERIES["op10_greedy_string_tiling"](spark, SF).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == expected and len(rows) == len(expected)

@@ -1,0 +1,82 @@
+from pathlib import Path
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from ordermill.llm.queries import TOKENIZER
+from ordermill.llm.tokens import BETWEEN, attribute, section_token_counts, token_spans
+
+TEXTS = [
+    "One line.\n\nAnother, with ünïcödé and 漢字 and 😀!\n  spaced   out\t end ",
+    "",
+    None,
+    "\n",
+    "x" * 3000 + "\nyes",
+    "don't we'll\r\nI'm   \n\n\n",
+]
+
+
+def brute(text, sections):
+    """Section of each token, character by character, by the other library's own offsets."""
+    reference = Tokenizer.from_file(str(Path(TOKENIZER).parent / "byte_bpe_50k.json"))
+    reference.encode_special_tokens = True
+    counts = {BETWEEN: [0, 0]} | {i: [0, 0] for i in range(len(sections))}
+    for start, end in reference.encode(text, add_special_tokens=False).offsets:
+        shares = [sum(low <= at < high for at in range(start, end)) for low, high in sections]
+        owner = shares.index(max(shares)) if shares and max(shares) else BETWEEN
+        counts[owner][0] += 1
+        counts[owner][1] += owner != BETWEEN and shares[owner] < end - start
+    return {section: tuple(pair) for section, pair in counts.items()}
+
+
+def lines_of(text):
+    out, at = [], 0
+    for line in text.split("\n"):
+        out.append((at, at + len(line)))
+        at += len(line) + 1
+    return out
+
+
+def test_lines_against_the_other_library(spark, documents):
+    rows = section_token_counts(documents(TEXTS, extra=True), TOKENIZER).collect()
+    for i, text in enumerate(TEXTS):
+        got = {r.section: (r.n_tokens, r.n_crossing) for r in rows if r.doc_id == i}
+        assert got == brute(text or "", lines_of(text or ""))
+        assert sum(r.n_chars for r in rows if r.doc_id == i) == len(text or "")
+
+
+def test_given_sections_split_tokens_by_characters(spark):
+    text = "internationalization matters"
+    sections = [(0, 5), (5, 20), (22, 28)]
+    df = spark.createDataFrame([(7, text, sections)], "doc_id long, text string, parts array<struct<start:int,end:int>>")
+    rows = section_token_counts(df, TOKENIZER, sections="parts").collect()
+    assert {r.section: (r.n_tokens, r.n_crossing) for r in rows} == brute(text, sections)
+
+
+def test_boundary_rule():
+    low, high = np.array([0, 4, 10]), np.array([4, 8, 11])
+    start, end = np.array([0, 2, 3, 8, 7, 9, 3]), np.array([4, 6, 8, 9, 9, 12, 11])
+    owner, crossing = attribute(start, end, low, high)
+    # Most characters; the earlier of two with as many; none in a gap.
+    assert owner.tolist() == [0, 0, 1, BETWEEN, 1, 2, 1]
+    assert crossing.tolist() == [False, True, True, False, True, True, True]
+
+
+def test_spans_cover_the_text_with_shared_characters():
+    start, end = token_spans("a😀b", TOKENIZER)
+    assert start[0] == 0 and end[-1] == 3 and (start < end).all() and (start[1:] <= end[:-1]).all()
+
+
+def test_nulls_repeats_and_empty(spark, documents):
+    rows = section_token_counts(documents([(None, "a b"), (1, None), (1, None)]), TOKENIZER).collect()
+    assert sorted((r.doc_id is None, r.section, r.n_tokens) for r in rows) == [
+        (False, -1, 0), (False, -1, 0), (False, 0, 0), (False, 0, 0), (True, -1, 0), (True, 0, 2),
+    ]
+    assert section_token_counts(documents([(1, "a")]).limit(0), TOKENIZER).count() == 0
+
+
+@pytest.mark.parametrize("missing", ["/nowhere/ranks"])
+def test_a_missing_tokenizer_raises(spark, documents, missing):
+    with pytest.raises(Exception, match="nowhere"):
+        section_token_counts(documents(["a"]), missing).collect()
