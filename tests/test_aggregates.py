@@ -10,6 +10,7 @@ from ordermill.operators.aggregates import (
     products_sales,
 )
 from ordermill.schemas import PROCESSED
+from ordermill.sources.star import RAW_BUILDERS
 
 ROWS = [
     ("O1", "C001", "P001", "Book 1", "Books", 2.0, "20.00", RUN),
@@ -78,3 +79,9 @@ def test_preview_is_repeatable(spark):
     df = enriched(spark, ROWS)
     assert [r.order_id for r in enriched_preview(df.repartition(4), 3).collect()] == ["O1", "O2", "O3"]
     assert enriched_preview(df).count() == 5
+
+
+def test_payment_sums_are_the_same_bits_for_any_partitioning(spark):
+    paid = RAW_BUILDERS["payments"](spark, "/root/testdata/sf0.1", [RUN, NEXT_RUN])
+    sums = [sorted(map(tuple, payments_summary(paid.repartition(n)).collect())) for n in (1, 3, 7)]
+    assert sums[0] == sums[1] == sums[2] and len(sums[0]) == 6

@@ -1,11 +1,23 @@
+import re
+
 import pandas as pd
 import pytest
 from frames import DAY, NEXT_RUN, RUN
 
 from ordermill.__main__ import main
-from ordermill.plans.daily_run import Places, ingest_raw, landing_tables, load_warehouse, run_daily, validate_warehouse
+from ordermill.plans.daily_run import (
+    Places,
+    differing_totals,
+    ingest_raw,
+    landing_tables,
+    load_warehouse,
+    run_daily,
+    validate_warehouse,
+)
 from ordermill.plans.scratch import scratch_dir
 from ordermill.schemas import PROCESSED
+from ordermill.sinks.warehouse import load_table
+from ordermill.sources.runs import SchemaMismatch
 
 
 def land(root, run_date, suffix=""):
@@ -83,6 +95,66 @@ def test_appending_a_run_again_is_found(spark, tmp_path, places):
     assert all(r.passed for r in validate_warehouse(spark, places.database).collect())
 
 
+def test_a_day_without_payments_goes_on_and_is_replaced(spark, tmp_path, places):
+    landing = tmp_path / "landing"
+    land(landing, RUN)
+    tables = landing_tables(spark, str(landing), [RUN])
+    none = tables | {"payments": tables["payments"].limit(0)}
+    run_daily(spark, none, places, [RUN])  # the first run of a date
+    counts = lambda t: spark.table(f"{places.database}.{t}").count()
+    assert (counts("payments_summary"), counts("orders_enriched")) == (0, 3)
+    run_daily(spark, tables, places, [RUN])
+    assert counts("payments_summary") == 2
+    run_daily(spark, none, places, [RUN])  # a rerun
+    assert (counts("payments_summary"), counts("orders_enriched")) == (0, 3)
+
+
+def test_a_rerun_without_orders_leaves_none_and_fails_the_checks(spark, tmp_path, places):
+    landing = tmp_path / "landing"
+    for run_date in (RUN, NEXT_RUN):
+        land(landing, run_date)
+        run_daily(spark, landing_tables(spark, str(landing), [run_date]), places, [run_date])
+    tables = landing_tables(spark, str(landing), [RUN])
+    with pytest.raises(AssertionError, match="Customers & products existence") as raised:
+        run_daily(spark, tables | {"orders": tables["orders"].limit(0)}, places, [RUN])
+    assert raised.value.differences.count() == 0
+    left = {r.run_date for r in spark.table(f"{places.database}.orders_enriched").select("run_date").collect()}
+    assert left == {NEXT_RUN}
+
+
+def test_failed_totals_come_with_the_rows_that_differ(spark, tmp_path, places):
+    land(tmp_path / "landing", RUN)
+    run_daily(spark, landing_tables(spark, str(tmp_path / "landing"), [RUN]), places, [RUN])
+    wrong = spark.table(f"{places.database}.customers_revenue").collect()
+    rows = [(*r[:-2], r.total_revenue + (5 if r.customer_id == "C001" else 0), r.run_date) for r in wrong]
+    columns = [c for c in spark.table(f"{places.database}.customers_revenue").columns]
+    fixed = spark.createDataFrame(rows, spark.table(f"{places.database}.customers_revenue").select(*columns).schema)
+    load_table(fixed, places.database, "customers_revenue", [RUN])
+    found = differing_totals(spark, places.database, [RUN]).collect()
+    assert [(r.table_name, r.key, float(r.difference)) for r in found] == [("customers_revenue", "C001", 5.0)]
+
+
+def test_checks_read_their_runs_only(spark, tmp_path, places):
+    landing = tmp_path / "landing"
+    for run_date in (RUN, NEXT_RUN):
+        land(landing, run_date)
+    both = [RUN, NEXT_RUN]
+    run_daily(spark, landing_tables(spark, str(landing), both), places, both)
+    plan = validate_warehouse(spark, places.database, [NEXT_RUN])._jdf.queryExecution().executedPlan().toString()
+    scans = re.findall(r"FileScan parquet \S*orders_enriched.*?PartitionFilters: \[([^\]]*)\]", plan)
+    assert len(scans) == 3 and all(NEXT_RUN in filters for filters in scans)
+    assert [r.passed for r in validate_warehouse(spark, places.database).collect()] == [True] * 8
+
+
+def test_landing_files_that_differ_raise_before_ingest(spark, tmp_path):
+    landing = tmp_path / "landing"
+    land(landing, RUN)
+    file = landing / "customers" / f"run_date={RUN}" / "customers.parquet"
+    pd.read_parquet(file).drop(columns=["email", "country"]).to_parquet(file, index=False)
+    with pytest.raises(SchemaMismatch, match="email should be string and is absent.*country"):
+        landing_tables(spark, str(landing), [RUN])
+
+
 def test_missing_run_raises(spark, tmp_path, places):
     land(tmp_path / "landing", RUN)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):

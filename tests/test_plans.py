@@ -24,7 +24,9 @@ def plan(df, executed=False):
 
 
 def enriched(spark):
-    raw = staged(spark, SF_DIR).places.raw
+    run = staged(spark, SF_DIR)
+    run.raw("orders")
+    raw = run.places.raw
     orders, customers, products = (read_runs(spark, raw, t, RUN_DATES, RAW[t]) for t in ("orders", "customers", "products"))
     return enrich_orders(clean_orders(orders), clean_customers(customers), clean_products(products))
 
@@ -52,7 +54,9 @@ def test_no_cross_join_and_no_python_rows(spark, name):
 
 
 def test_only_asked_runs_are_listed_and_filters_prune_partitions(spark):
-    raw = staged(spark, SF_DIR).places.raw
+    run = staged(spark, SF_DIR)
+    run.raw("orders")
+    raw = run.places.raw
     one = read_runs(spark, raw, "orders", RUN_DATES[:1], RAW["orders"])
     assert all(f"run_date={RUN_DATES[0]}" in path for path in one.inputFiles())
     text = plan(read_runs(spark, raw, "orders", None, RAW["orders"]).where(F.col("run_date") == RUN_DATES[1]))
@@ -84,7 +88,9 @@ def test_dedup_reduces_copies_before_the_shuffle(spark):
 
 
 def test_single_run_write_needs_no_sort_by_run(spark):
-    raw = staged(spark, SF_DIR).places.raw
+    run = staged(spark, SF_DIR)
+    run.raw("orders")
+    raw = run.places.raw
     orders, customers, products = (
         read_runs(spark, raw, t, RUN_DATES[:1], RAW[t]) for t in ("orders", "customers", "products")
     )

@@ -1,7 +1,34 @@
-from ordermill.session import LEAST_PARTITIONS, MOST_PARTITIONS, shuffle_partitions
+import os
 
+import pytest
 
-def test_shuffle_partitions_follow_the_input():
-    assert shuffle_partitions(1) == LEAST_PARTITIONS
-    assert shuffle_partitions(1024**4) == 4096
-    assert shuffle_partitions(100 * 1024**4) == MOST_PARTITIONS
+from ordermill.session import INITIAL_PARTITIONS, size_shuffles
+
+LINES = "/root/testdata/sf0.001/lineitem.parquet"
+
+
+@pytest.fixture
+def restored(spark):
+    yield
+    spark.conf.unset(INITIAL_PARTITIONS)
+
+
+def test_partitions_follow_the_input_without_a_bound(spark, monkeypatch, restored):
+    lines = spark.read.parquet(LINES)
+    known = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert size_shuffles(spark, lines) == known and spark.conf.get(INITIAL_PARTITIONS, None) is None
+    monkeypatch.setattr("ordermill.session.PARTITION_BYTES", 1)
+    size = os.path.getsize(LINES)
+    assert size_shuffles(spark, lines, lines.join(lines.limit(1), "l_orderkey")) >= 3 * size
+    joined = int(spark.conf.get(INITIAL_PARTITIONS))
+    assert joined < 10 * size  # sides of a join are added up, not multiplied
+    monkeypatch.setattr("ordermill.session.PARTITION_BYTES", 1000)
+    assert size_shuffles(spark, lines) == joined  # a larger number stays
+
+
+def test_a_large_input_gets_its_partitions_in_the_plan(spark, monkeypatch, restored):
+    monkeypatch.setattr("ordermill.session.PARTITION_BYTES", 1000)
+    lines = spark.read.parquet(LINES)
+    wanted = size_shuffles(spark, lines)
+    plan = lines.groupBy("l_orderkey").count()._jdf.queryExecution().executedPlan().toString()
+    assert wanted > 100 and f", {wanted})" in plan

@@ -2,11 +2,12 @@ import re
 
 import pytest
 from frames import NEXT_RUN, RUN, orders
+from pyspark.sql import functions as F
 
 from ordermill.schemas import RAW, ddl
-from ordermill.sinks.partitions import FEW_RUNS, run_counts, write_runs
+from ordermill.sinks.partitions import run_counts, write_runs
 from ordermill.sinks.warehouse import category_revenue_clean, ensure_database, load_table
-from ordermill.sources.runs import read_runs
+from ordermill.sources.runs import SchemaMismatch, checked_runs, read_runs
 
 
 def run_of(spark, run_date, *ids):
@@ -26,17 +27,52 @@ def test_writing_a_run_again_replaces_only_that_run(spark, tmp_path):
 
 
 def test_many_runs_make_few_files_each(spark, tmp_path):
-    dates = [f"2025-12-{day:02d}" for day in range(1, FEW_RUNS + 2)]
+    dates = [f"2025-12-{day:02d}" for day in range(1, 10)]
     frames = [run_of(spark, date, *map(str, range(5))) for date in dates]
     combined = frames[0]
     for df in frames[1:]:
         combined = combined.unionAll(df)
-    write_runs(combined, str(tmp_path), "orders", dates)
+    write_runs(combined, str(tmp_path), "orders", dates, one_file_each=True)
     for date in dates:
-        assert len(list((tmp_path / "orders" / f"run_date={date}").glob("*.parquet"))) == 1
+        # One with the rows and the empty one that the run was cleared with.
+        assert len(list((tmp_path / "orders" / f"run_date={date}").glob("*.parquet"))) == 2
     assert read_runs(spark, str(tmp_path), "orders").count() == 5 * len(dates)
 
 
+@pytest.mark.parametrize("dates", [[RUN], [RUN, NEXT_RUN]])
+def test_runs_without_rows_are_emptied(spark, tmp_path, dates):
+    root = str(tmp_path)
+    write_runs(run_of(spark, RUN, "A").unionAll(run_of(spark, NEXT_RUN, "B")), root, "orders", [RUN, NEXT_RUN])
+    rows = run_of(spark, RUN, "A").limit(0) if len(dates) == 1 else run_of(spark, NEXT_RUN, "C")
+    write_runs(rows, root, "orders", dates)
+    left = [(NEXT_RUN, "B")] if len(dates) == 1 else [(NEXT_RUN, "C")]
+    assert stored(read_runs(spark, root, "orders", [RUN, NEXT_RUN], RAW["orders"])) == left
+    assert read_runs(spark, root, "orders", [RUN]).columns == run_of(spark, RUN).columns
+
+
+def test_rows_of_runs_that_are_not_named_raise(spark, tmp_path):
+    for rows in (run_of(spark, NEXT_RUN, "B"), run_of(spark, None, "B")):
+        for dates in ([RUN], [RUN, "2025-12-03"]):
+            with pytest.raises(Exception, match="run that is not written"):
+                write_runs(rows, str(tmp_path), "orders", dates)
+    with pytest.raises(ValueError):
+        write_runs(run_of(spark, RUN, "A"), str(tmp_path), "orders", [])
+
+
+def test_files_must_keep_to_the_contract(spark, tmp_path):
+    good = run_of(spark, RUN, "A").withColumn("quantity", F.col("quantity").cast("int"))
+    write_runs(good, str(tmp_path), "orders", [RUN])
+    checked = checked_runs(spark, str(tmp_path), "orders", [RUN], RAW["orders"])
+    assert dict(checked.dtypes) == RAW["orders"] and stored(checked) == [(RUN, "A")]
+    bad = run_of(spark, NEXT_RUN, "B").drop("country").withColumn("price", F.col("price").cast("string"))
+    write_runs(bad.withColumn("colour", F.lit("red")), str(tmp_path), "orders", [NEXT_RUN])
+    with pytest.raises(SchemaMismatch) as raised:
+        checked_runs(spark, str(tmp_path), "orders", [RUN, NEXT_RUN], RAW["orders"])
+    for part in (NEXT_RUN, "country should be string and is absent", "price should be double and is string", "colour"):
+        assert part in str(raised.value)
+    assert f"run {RUN}" not in str(raised.value)
+
+
 def test_read_gives_string_run_date_and_a_missing_run_raises(spark, tmp_path):
     root = str(tmp_path)
     write_runs(run_of(spark, RUN, "A"), root, "orders", [RUN])
@@ -105,6 +141,24 @@ def test_reload_matches_columns_by_name(spark, database):
     assert (row.order_id, row.customer_id, row.product_id, row.quantity) == ("B", "C001", "P001", 1)
 
 
+@pytest.mark.parametrize("mode", ["append", "reload"])
+def test_columns_are_never_left_out(spark, database, mode):
+    load_table(run_of(spark, RUN, "A"), database, "orders", [RUN])
+    wider = run_of(spark, NEXT_RUN, "B").withColumn("colour", F.lit("red"))
+    with pytest.raises(ValueError, match="colour"):
+        load_table(wider, database, "orders", [NEXT_RUN], mode)
+    with pytest.raises(ValueError, match="country"):
+        load_table(run_of(spark, NEXT_RUN, "B").drop("country"), database, "orders", [NEXT_RUN], mode)
+    load_table(wider, database, "orders", [NEXT_RUN], mode, add_columns=True)
+    rows = spark.table(f"{database}.orders").collect()
+    assert sorted((r.order_id, r.colour) for r in rows) == [("A", None), ("B", "red")]
+
+
+def test_a_location_with_a_quote(spark, tmp_path):
+    ensure_database(spark, "quoted_place", str(tmp_path / "it's"))
+    spark.sql("DROP DATABASE quoted_place")
+
+
 def test_bad_mode_and_bad_run_date(spark, database):
     with pytest.raises(ValueError):
         load_table(run_of(spark, RUN, "A"), database, "orders", [RUN], "merge")
