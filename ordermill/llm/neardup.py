@@ -28,6 +28,8 @@ from ordermill.llm.components import components
 from ordermill.llm.words import Words, bounds, combine, mix, words
 
 SKETCH_BITS = 128
+#: In nodes of so many documents, where every two may be somewhat similar, finer sketches screen first.
+CROWDED_NODE, FINE_BITS = 16, 1024
 #: Two documents are compared on full sets if so many of their sketch bits agree, four and a half
 #: standard deviations below what is expected at the wanted similarity.
 SCREEN_DEVIATIONS = 4.5
@@ -36,13 +38,15 @@ BACKGROUND, SMALL_NODE = 0.05, 16
 #: A node is compared exhaustively if that takes so many pairs for each of its documents at most.
 PAIRS_EACH = 64
 MORE_LEVELS = 12
-FILTER_BITS = 1 << 23
-BLOCK = 4096
+#: So many ids are broadcast at most, about 1 MB; for more, a bitmap of this size is.
+BROADCAST_IDS, FILTER_BITS = 1 << 17, 1 << 23
+#: Shingles hashed at a time; the hashes of a block fit a core's cache.
+BLOCK = 512
 
 SALT = np.uint64(0x2545F4914F6CDD1D)
 STEP = np.uint64(0x9E3779B97F4A7C15)
-SEEDS = mix(np.arange(1, 2 * SKETCH_BITS + 1, dtype=np.uint64) * STEP)
-FLIPS, FACTORS = SEEDS[:SKETCH_BITS], SEEDS[SKETCH_BITS:] | np.uint64(1)
+SEEDS = mix(np.arange(1, 2 * FINE_BITS + 1, dtype=np.uint64) * STEP)
+FLIPS, FACTORS = SEEDS[:FINE_BITS], SEEDS[FINE_BITS:] | np.uint64(1)
 
 
 def shingle_sets(found: Words, size: int) -> list[np.ndarray]:
@@ -74,8 +78,8 @@ def minwise(tokens: np.ndarray, flips: np.ndarray, factors: np.ndarray) -> np.nd
     return low
 
 
-def sketch(tokens: np.ndarray) -> np.ndarray:
-    bits = (minwise(tokens, FLIPS, FACTORS) >> np.uint64(24)) & np.uint64(1)
+def sketch(tokens: np.ndarray, size: int = SKETCH_BITS) -> np.ndarray:
+    bits = (minwise(tokens, FLIPS[:size], FACTORS[:size]) >> np.uint64(24)) & np.uint64(1)
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
@@ -148,27 +152,34 @@ def keyed_texts(df: DataFrame, key: str, text: str) -> DataFrame:
 def full_sets(df: DataFrame, key: str, text: str, size: int, wanted: DataFrame) -> DataFrame:
     """``key`` and ``tokens`` of the documents with an ``id`` in ``wanted``.
 
-    A bitmap of fixed size tells which texts to cut up; the few others that pass it find no partner later.
+    Few ids are broadcast, so that only their texts reach Python. Beyond ``BROADCAST_IDS`` a bitmap of
+    fixed size tells which texts to cut up; the few others that pass it find no partner later.
     """
+    texts = keyed_texts(df, key, text).where(F.col("key").isNotNull())
+    schema = StructType([StructField("key", df.schema[key].dataType), StructField("tokens", ArrayType(LongType()))])
+    ids = written(wanted.distinct(), "ids")
+    if ids.count() <= BROADCAST_IDS:
+        chosen = texts.join(F.broadcast(ids.withColumnRenamed("id", "key")), "key", "left_semi")
+        return chosen.mapInArrow(lambda batches: cut_sets(batches, size), schema)
     bit = lambda column: F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).cast("int")
-    bits = wanted.select(bit("id").alias("bit")).distinct().toArrow()  # at most FILTER_BITS numbers
+    bits = ids.select(bit("id").alias("bit")).distinct().toArrow()  # at most FILTER_BITS numbers
     bitmap = np.zeros(FILTER_BITS, dtype=bool)
     bitmap[bits.column("bit").to_numpy()] = True
     shared = df.sparkSession.sparkContext.broadcast(np.packbits(bitmap, bitorder="little"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filled = np.unpackbits(shared.value, bitorder="little").view(bool)
-        for batch in batches:
-            batch = batch.filter(pa.array(filled[batch.column("bit").to_numpy()]))
-            for found in words(batch.column("text")):
-                sets = [s.view(np.int64) for s in shingle_sets(found, size)]
-                keys = batch.column("key").slice(found.first, found.texts)
-                yield pa.RecordBatch.from_arrays([keys, pa.array(sets, pa.list_(pa.int64()))], ["key", "tokens"])
+        yield from cut_sets((batch.filter(pa.array(filled[batch.column("bit").to_numpy()])) for batch in batches), size)
 
-    texts = keyed_texts(df, key, text).where(F.col("key").isNotNull()).withColumn("bit", bit("key"))
-    return texts.mapInArrow(
-        read, StructType([StructField("key", df.schema[key].dataType), StructField("tokens", ArrayType(LongType()))])
-    )
+    return texts.withColumn("bit", bit("key")).mapInArrow(read, schema)
+
+
+def cut_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for found in words(batch.column("text")):
+            sets = [s.view(np.int64) for s in shingle_sets(found, size)]
+            keys = batch.column("key").slice(found.first, found.texts)
+            yield pa.RecordBatch.from_arrays([keys, pa.array(sets, pa.list_(pa.int64()))], ["key", "tokens"])
 
 
 def similar(common: Column, left: Column, right: Column, percent: int) -> Column:
@@ -179,7 +190,7 @@ def confirmed(pairs: DataFrame, df: DataFrame, key: str, text: str, size: int, p
     """The pairs (``a``, ``b``) whose full sets are similar."""
     pairs = written(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
-    sets = full_sets(df, key, text, size, wanted)
+    sets = written(full_sets(df, key, text, size, wanted), "full-sets")
     of = lambda side: sets.select(F.col("key").alias(side), F.col("tokens").alias(f"tokens_{side}"))
     both = pairs.join(of("b"), "b").join(of("a"), "a")
     common = F.size(F.array_intersect("tokens_a", "tokens_b"))
@@ -190,13 +201,17 @@ def confirmed(pairs: DataFrame, df: DataFrame, key: str, text: str, size: int, p
 
 def screened(left: str, right: str, percent: int) -> Column:
     """Whether the sizes allow the similarity and the sketches make it likely."""
-    agree = (1 + percent / 100) / 2
-    most = SKETCH_BITS * (1 - agree) + SCREEN_DEVIATIONS * math.sqrt(SKETCH_BITS * agree * (1 - agree))
     apart = F.bit_count(F.col(f"{left}mark_a").bitwiseXOR(F.col(f"{right}mark_a"))) + F.bit_count(
         F.col(f"{left}mark_b").bitwiseXOR(F.col(f"{right}mark_b"))
     )
     small, large = F.least(f"{left}n", f"{right}n"), F.greatest(f"{left}n", f"{right}n")
-    return (100 * small >= percent * large) & (apart <= int(most))
+    return (100 * small >= percent * large) & (apart <= most_apart(SKETCH_BITS, percent))
+
+
+def most_apart(bits: int, percent: int) -> int:
+    """Sketch bits in which two similar documents differ at the most."""
+    differ = (1 - percent / 100) / 2
+    return int(bits * differ + SCREEN_DEVIATIONS * math.sqrt(bits * differ * (1 - differ)))
 
 
 def mixed_nodes(members: DataFrame) -> DataFrame:
@@ -210,23 +225,39 @@ def mixed_nodes(members: DataFrame) -> DataFrame:
             "node",
             F.col("major.label").alias("major"),
             ((F.col("size") - F.col("major.count")) <= PAIRS_EACH).alias("leaf"),
+            (F.col("size") >= CROWDED_NODE).alias("crowded"),
         )
     )
 
 
-def node_pairs(members: DataFrame, percent: int) -> DataFrame:
+def fine_sketches(sets: DataFrame) -> DataFrame:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fine = [sketch(tokens.values.to_numpy().view(np.uint64), FINE_BITS) for tokens in batch.column("tokens")]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(fine, pa.list_(pa.int64()))], ["rep", "fine"])
+
+    schema = StructType([StructField("rep", sets.schema["key"].dataType), StructField("fine", ArrayType(LongType()))])
+    return sets.mapInArrow(read, schema).dropDuplicates(["rep"])
+
+
+def node_pairs(members: DataFrame, fine: DataFrame, percent: int) -> DataFrame:
     """Screened pairs of different labels in each node.
 
     Documents of the commonest label meet the others only, so that a large group costs its size.
+    ``fine`` has the finer sketches of some documents.
     """
-    side = lambda prefix: members.select(
-        "node", *[F.col(name).alias(f"{prefix}{name}") for name in ("rep", "n", "mark_a", "mark_b", "label", "major")]
+    members = members.join(fine, "rep", "left")
+    names = ("rep", "n", "mark_a", "mark_b", "label", "major", "fine")
+    side = lambda prefix: members.select("node", *[F.col(name).alias(f"{prefix}{name}") for name in names])
+    apart = F.aggregate(
+        F.zip_with("l_fine", "r_fine", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b
     )
     left, right = side("l_").where("l_label <> l_major"), side("r_")
     pairs = left.join(right, "node").where(
         (F.col("l_label") != F.col("r_label"))
         & ((F.col("l_rep") < F.col("r_rep")) | (F.col("r_label") == F.col("r_major")))
         & screened("l_", "r_", percent)
+        & F.coalesce(apart <= most_apart(FINE_BITS, percent), F.lit(True))
     )
     return pairs.select(F.least("l_rep", "r_rep").alias("b"), F.greatest("l_rep", "r_rep").alias("a")).distinct()
 
@@ -306,11 +337,14 @@ def near_duplicates(
         unsettled = written(members.join(mixed, "node"), "nodes")
         # On the last level there is nothing left to tell the documents of a node apart by.
         leaves = unsettled if level == MORE_LEVELS else unsettled.where("leaf")
-        links = links.union(confirmed(node_pairs(leaves, percent), df, key, text, shingle_words, percent))
+        crowd = leaves.where("crowded").select(F.col("rep").alias("id"))
+        fine = written(fine_sketches(full_sets(df, key, text, shingle_words, crowd)), "sketches")
+        pairs = node_pairs(leaves.drop("leaf", "crowded"), fine, percent)
+        links = links.union(confirmed(pairs, df, key, text, shingle_words, percent))
         larger = unsettled.where("not leaf")
         if level == MORE_LEVELS or larger.isEmpty():
             break
-        members = written(branch(larger, df, key, text, shingle_words, similarity), "nodes")
+        members = written(branch(larger.drop("major", "leaf", "crowded"), df, key, text, shingle_words, similarity), "nodes")
 
     classes = components(links).withColumnRenamed("id", "rep")
     of_set = reps.select(*set_id, "rep").join(classes, "rep", "left")

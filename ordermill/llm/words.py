@@ -23,7 +23,7 @@ LOWERED[65:91] += 32
 
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 2**64)
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 STEM_BYTES = 4
 
 

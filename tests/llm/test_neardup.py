@@ -55,8 +55,10 @@ def varied(seed, groups, copies, words=80, vocabulary=60, edits=6):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize(("seed", "size"), [(1, 2), (2, 2), (3, 5)])
-def test_same_classes_as_all_pairs(spark, documents, seed, size):
+@pytest.mark.parametrize(("seed", "size", "crowded", "most_ids"), [(1, 2, 16, 1 << 17), (2, 2, 2, 0), (3, 5, 2, 1 << 17)])
+def test_same_classes_as_all_pairs(spark, documents, monkeypatch, seed, size, crowded, most_ids):
+    monkeypatch.setattr(neardup, "CROWDED_NODE", crowded)
+    monkeypatch.setattr(neardup, "BROADCAST_IDS", most_ids)
     texts = varied(seed, 12, 8)
     assert found(documents(texts), size) == brute(texts, size)
 
