@@ -55,6 +55,7 @@ def pfair_mix(
     most_blocks: int = 2**20,
     rows_each: int = 500,
     seed: int = 29,
+    within: str | None = None,
 ) -> DataFrame:
     """``df`` with ``mix_block``, ``mix_phase`` and ``mix_position`` (from 0 without gaps).
 
@@ -63,6 +64,9 @@ def pfair_mix(
     Every row appears once. A block has ``block_rows`` rows, the last of a source maybe fewer; blocks grow
     where there would be more than ``most_blocks``, so the schedule, made in one task, is bounded.
 
+    With ``within``, the rows of each value of that column are mixed on their own, and positions start
+    from 0 in each.
+
     A null source is a source of its own with ``other_weight``. Texts and other columns are carried
     along unread, equal rows are placed one by one, an empty table gives an empty result, and input
     columns with the three names are replaced.
@@ -73,24 +77,27 @@ def pfair_mix(
     rows = numbered(replace_columns(df, "mix_block", "mix_phase", "mix_position"), "mix")
     total = rows.count()
     size = max(block_rows, -(-total // most_blocks))
+    named = lambda name: F.coalesce(F.concat(F.lit("="), F.col(f"`{name}`").cast("string")), F.lit("null"))
+    part = named(within) if within else F.lit("all")
+    parts = max(rows.select(part).distinct().count(), 1) if within else 1
     # Rows of one source are ranked in buckets, so that a hot source is ranked by many tasks.
-    buckets = groups_for(total, rows_each, 4096)
-    key = F.coalesce(F.concat(F.lit("="), F.col(f"`{source}`").cast("string")), F.lit("null"))
+    buckets = groups_for(total, parts * rows_each, max(1, 4096 // parts))
     narrow = rows.select(
         ROW,
-        key.alias("source_key"),
+        named(source).alias("source_key"),
+        part.alias("part"),
         F.pmod(F.xxhash64(F.lit(seed), ROW), F.lit(buckets)).cast("int").alias("bucket"),
     )
-    counts = written(narrow.groupBy("source_key", "bucket").count(), "mix-counts")
-    before = Window.partitionBy("source_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = written(narrow.groupBy("source_key", "part", "bucket").count(), "mix-counts")
+    before = Window.partitionBy("source_key", "part").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        "source_key", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset")
+        "source_key", "part", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset")
     )
-    inside = Window.partitionBy("source_key", "bucket").orderBy(F.xxhash64(F.lit(seed + 1), ROW), ROW)
+    inside = Window.partitionBy("source_key", "part", "bucket").orderBy(F.xxhash64(F.lit(seed + 1), ROW), ROW)
     ranked = (
         narrow.withColumn("rank", F.row_number().over(inside) - 1)
-        .join(offsets, ["source_key", "bucket"])
-        .select(ROW, "source_key", (F.col("offset") + F.col("rank")).alias("rank"))
+        .join(offsets, ["source_key", "part", "bucket"])
+        .select(ROW, "source_key", "part", (F.col("offset") + F.col("rank")).alias("rank"))
         .withColumn("mix_block", F.floor(F.col("rank") / size))
     )
 
@@ -103,16 +110,19 @@ def pfair_mix(
         return pd.DataFrame(
             {
                 "source_key": [pdf.source_key[i] for i, _, _ in slots],
+                "part": pdf.part[0],
                 "mix_block": [k for _, k, _ in slots],
                 "mix_phase": [phase for _, _, phase in slots],
                 "first": np.cumsum(filled) - filled,
             }
         )
 
-    # One row per source goes into the schedule, one row per block comes out.
-    sizes = counts.groupBy("source_key").agg(F.sum("count").alias("rows"))
-    slots = sizes.groupBy().applyInPandas(schedule, "source_key string, mix_block long, mix_phase int, first long")
-    placed = ranked.join(slots, ["source_key", "mix_block"]).select(
+    # One row per source goes into the schedule of a part, one row per block comes out.
+    sizes = counts.groupBy("source_key", "part").agg(F.sum("count").alias("rows"))
+    slots = sizes.groupBy("part").applyInPandas(
+        schedule, "source_key string, part string, mix_block long, mix_phase int, first long"
+    )
+    placed = ranked.join(slots, ["source_key", "part", "mix_block"]).select(
         ROW, "mix_block", "mix_phase", (F.col("first") + F.col("rank") % size).alias("mix_position")
     )
     return rows.join(placed, ROW).drop(ROW)

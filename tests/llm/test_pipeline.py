@@ -75,6 +75,27 @@ def test_mixed_rows_lie_in_the_order_of_the_mix(spark, planted):
         assert set(Counter(order[:at]).values()) == {at // 3}
 
 
+def test_slots_of_every_shard_hold_the_weights_although_one_source_is_hot(spark, tmp_path):
+    sources = ["hot"] * 4 + ["a", "b"]
+    rows = [(i, f"text {i}", "en", sources[i % 6], 0) for i in range(1920)]
+    spark.createDataFrame(rows, DOCUMENT).repartition(5).write.parquet(f"{tmp_path}/documents")
+    docs = spark.read.parquet(f"{tmp_path}/documents")
+    stages = dict(corpus_pipeline.STAGES)
+    stages["mixing"](spark, docs, "").write.parquet(f"{tmp_path}/mixed")
+    out = stages["sharding"](spark, spark.read.parquet(f"{tmp_path}/mixed"), "").collect()
+    assert sorted(r.doc_id for r in out) == list(range(1920))
+    for shard in range(16):
+        order = [r.source for r in sorted((r for r in out if r.shard == shard), key=lambda r: r.slot)]
+        assert len(order) == 120
+        left, counts = Counter(order), Counter()
+        for n, source in enumerate(order, 1):
+            counts[source] += 1
+            assert all(abs(counts[s] - n / 3) < 1 for s in left)
+            if counts[source] == left[source]:
+                break
+        assert n > 20
+
+
 def test_empty_documents(spark, planted, tmp_path):
     folder, _, _ = planted
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
