@@ -31,6 +31,8 @@ MOST_TRAINING_ROWS = 10_000
 FITTING_SHARE = 5
 #: The discount: so many times the expected count, so many of its standard deviations, and a count.
 EXPECTED, DEVIATIONS, DISCOUNT = 2.0, 2.0, 1.0
+#: Up to the first share of toxic words this discount holds, from the second on the one for balanced classes.
+LOPSIDED, BALANCED = 0.25, 0.3
 START = np.uint64(0x5851F42D4C957F2D)
 SIDES = ("ordinary", "toxic")
 COUNTS = "head long, word long, stem long, ordinary long, toxic long"
@@ -139,16 +141,29 @@ def fit_curve(features: np.ndarray, toxic: np.ndarray, rounds: int = 50) -> np.n
     return np.append(w[:-1] / scale, w[-1])
 
 
-def own_counts(df: DataFrame, totals: dict[str, Column]) -> DataFrame:
+def balance(toxic_share: float) -> float:
+    """How far the discount is that of balanced classes, 0 to 1."""
+    return float(np.interp(toxic_share, [LOPSIDED, BALANCED], [0.0, 1.0]))
+
+
+def own_counts(df: DataFrame, totals: dict[str, Column], balanced: float) -> DataFrame:
     """Rows where a class has more than the discount, with ``extra`` and ``own`` count of each class.
 
     ``totals`` are the counts of all expressions, by class, among which those of a row are shared out.
+    Twice a share of a half is more than a class can ever have. So between balanced classes the expected
+    count grows by half of what is left of the row at the most, and chance has its binomial deviation and is
+    not added to that: whichever is larger counts.
     """
     both = F.col("ordinary") + F.col("toxic")
     whole = totals["ordinary"] + totals["toxic"]
     for side in SIDES:
         expected = totals[side] * both / whole
-        own = F.col(side) - EXPECTED * expected - DEVIATIONS * F.sqrt(expected) - DISCOUNT
+        lopsided = EXPECTED * expected + DEVIATIONS * F.sqrt(expected)
+        deviation = F.sqrt(F.greatest(expected * (1 - totals[side] / whole), F.lit(0.0)))
+        even = F.greatest(
+            F.least(EXPECTED * expected, (expected + both) / 2), expected + DEVIATIONS * deviation
+        )
+        own = F.col(side) - (1 - balanced) * lopsided - balanced * even - DISCOUNT
         df = df.withColumn(f"own_{side}", F.greatest(own, F.lit(0.0)))
     df = df.where("own_ordinary > 0 OR own_toxic > 0")
     for side in SIDES:
@@ -179,11 +194,13 @@ def count_levels(sample: DataFrame) -> Model:
     by_word = written(pairs.groupBy("word").agg(F.first("stem").alias("stem"), *kinds), "toxicity-words")
     got = by_word.agg(*sums).first()
     totals = (got["ordinary"] or 0, got["toxic"] or 0)
+    balanced = balance(totals[1] / max(sum(totals), 1))
     fixed = {side: F.lit(float(total)) for side, total in zip(SIDES, totals)}
-    stems = as_level(own_counts(by_word.groupBy("stem").agg(*sums), fixed), "stem", totals)
-    single = as_level(own_counts(by_word, fixed), "word", totals)
+    stems = as_level(own_counts(by_word.groupBy("stem").agg(*sums), fixed, balanced), "stem", totals)
+    single = as_level(own_counts(by_word, fixed, balanced), "word", totals)
     heads = written(pairs.groupBy("head").agg(*[F.sum(side).alias(f"head_{side}") for side in SIDES]), "toxicity-heads")
-    following = own_counts(pairs.join(heads, "head"), {side: F.col(f"head_{side}") for side in SIDES}).toArrow()
+    before = {side: F.col(f"head_{side}") for side in SIDES}
+    following = own_counts(pairs.join(heads, "head"), before, balanced).toArrow()
     head, word = (following.column(name).to_numpy().view(np.uint64) for name in ("head", "word"))
     key = combine(head, word)
     order = np.argsort(key)

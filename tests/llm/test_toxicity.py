@@ -107,6 +107,25 @@ def test_levels_against_brute_force(spark):
         assert np.allclose(evidence(model, found), expected)
 
 
+@pytest.mark.parametrize("share", [0.3, 0.5, 0.7])
+def test_labels_of_any_balance(spark, share):
+    """Rare toxic expressions are found and clean texts kept, however many labelled rows are toxic."""
+    rng, rows = random.Random(11), []
+    rare = [f"{a}{b}zz" for a in "qxj" for b in "qxjv"]
+    for i, text, _ in corpus(900, seed=9):
+        seq = [w for w in text.split() if w[0] in "cr" and w[1:].isdigit()]
+        toxic = int(rng.random() < share)
+        for _ in range(toxic * 3):
+            seq.insert(rng.randrange(len(seq)), rng.choice(rare))
+        rows.append((i, " ".join(seq), toxic))
+    docs = spark.createDataFrame([(i, text) for i, text, _ in rows], "doc_id long, text string")
+    model = train(docs, spark.createDataFrame([(i, 1, toxic) for i, _, toxic in rows], LABELS))
+    scores = {r.doc_id: r.toxicity for r in score_texts(docs, model).collect()}
+    held = [(scores[i] >= 0.5, toxic) for i, _, toxic in rows if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert np.mean([p for p, toxic in held if toxic]) > 0.85
+    assert np.mean([p for p, toxic in held if not toxic]) < 0.05
+
+
 def test_nulls_empty_repeats_long_and_clashing(spark, documents, trained):
     _, _, model = trained
     texts = [(1, None), (2, ""), (3, "?!"), (4, "vile foul nasty " * 3), (4, "vile foul nasty " * 3), (None, "c1 c2 c3 c4"), (5, "c1 c2 " * 100_000)]
