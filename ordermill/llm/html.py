@@ -41,6 +41,18 @@ ASIDE_WORDS = frozenset(
     "login share sharing social related recommended comment comments commentlist disqus reply replies pagination "
     "pager toolbar skip copyright".split()
 )
+#: Of these, what a text element or the last part of a longer name is called after them says too little.
+WEAK_WORDS = frozenset("alert notice related widget".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies".split())
+#: Parts that go with such a word, and parts of names that state what a page has.
+NEUTRAL_WORDS = frozenset(
+    "area bar block box btn button buttons container content form inner item items link links list panel post posts "
+    "section slot text wrap wrapper".split()
+)
+STATING_WORDS = frozenset("has have no non not with without hide show is open single".split())
+TEXT_ELEMENTS = frozenset("p li dt dd blockquote pre td th h1 h2 h3 h4 h5 h6 figcaption".split())
+#: Lines of so many characters are running text.
+SURGE = 60
 
 ATTRIBUTES = r"""(?:[^<>"']|"[^"]*"|'[^']*')*+"""
 MARKUP = re.compile(
@@ -54,31 +66,55 @@ SPACE = re.compile(r"\s+")
 class Line(NamedTuple):
     text: str
     aside: bool  # in a part that is not the article
-    main: bool  # in an element that marks the main part
+    main: int  # number of the outermost element around it that marks the main part, or 0
 
 
-def is_aside(name: str, attributes: str) -> bool:
-    if name in ASIDE:
-        return True
-    if name in ("html", "body") or "=" not in attributes:
+class Aside(NamedTuple):
+    """An element that is not the article by what it is called."""
+
+    by_class: bool
+    comments: bool
+
+
+def marked_aside(name: str, token: str) -> bool:
+    """Whether a class, id or role is that of an aside: as a whole, or by its last part."""
+    parts = [part.lower() for part in PART.findall(token)]
+    if not parts or STATING_WORDS.intersection(parts):
         return False
-    words = (part.lower() for value in MARKED.findall(attributes) for part in PART.findall(value))
-    return any(word in ASIDE_WORDS for word in words)
+    known = [part for part in parts if part in ASIDE_WORDS]
+    if "".join(parts) in ASIDE_WORDS or (known and all(p in ASIDE_WORDS or p in NEUTRAL_WORDS for p in parts)):
+        return name not in TEXT_ELEMENTS or not WEAK_WORDS.issuperset(known or parts)
+    return name not in MAIN and parts[-1] in ASIDE_WORDS and parts[-1] not in WEAK_WORDS
+
+
+def aside_of(name: str, attributes: str) -> Aside | None:
+    if name in ASIDE:
+        return Aside(False, False)
+    if name in ("html", "body", "main") or "=" not in attributes:
+        return None
+    tokens = [token for value in MARKED.findall(attributes) for token in value.strip("\"'").split()]
+    found = [token for token in tokens if marked_aside(name, token)]
+    if not found:
+        return None
+    return Aside(True, any(part.lower() in COMMENT_WORDS for token in found for part in PART.findall(token)))
 
 
 def page_lines(html: str) -> list[Line]:
     """One line per block of text. Unclosed elements end with the element around them."""
-    lines: list[Line] = []
+    lines: list[tuple[str, tuple[int, ...], int]] = []
     text: list[str] = []
-    # Open elements that matter: (name, aside, main). Same-named elements inside are counted along.
-    opened: list[tuple[str, bool, bool]] = []
-    aside = main = False
+    # Open elements that matter: (name, number as an aside, number as main). Same-named elements inside are counted.
+    opened: list[tuple[str, int, int]] = []
+    asides: list[Aside] = []
+    holds_main: set[int] = set()
+    around: tuple[int, ...] = ()
+    main = mains = 0
 
     def end_line() -> None:
         if text:
             joined = SPACE.sub(" ", unescape("".join(text))).strip()
             if joined:
-                lines.append(Line(joined, aside, main))
+                lines.append((joined, around, main))
             text.clear()
 
     at = 0
@@ -105,22 +141,55 @@ def page_lines(html: str) -> list[Line]:
             last = opened[-1][0] if opened else ""
             if (last in UNCLOSED and last == name) or (last == "p" and name not in INLINE):
                 opened.pop()  # a paragraph ends where the next block begins, a list item where the next one does
-            hidden = is_aside(name, found[3])
+            hidden = aside_of(name, found[3])
             if hidden or name in MAIN or any(name == other for other, _, _ in opened):
                 if hidden:
                     end_line()
-                opened.append((name, hidden, name in MAIN))
+                    asides.append(hidden)
+                if name == "main":
+                    holds_main.update(number for _, number, _ in opened if number)
+                mains += name in MAIN
+                opened.append((name, len(asides) if hidden else 0, mains if name in MAIN else 0))
         else:
             for depth in range(len(opened) - 1, -1, -1):
                 if opened[depth][0] == name:
                     end_line()
                     del opened[depth:]
                     break
-        aside = any(entry[1] for entry in opened)
-        main = any(entry[2] for entry in opened)
+        around = tuple(number for _, number, _ in opened if number)
+        main = next((number for _, _, number in opened if number), 0)
     text.append(html[at:])
     end_line()
-    return lines
+    spared = holds_main | spared_asides(lines, asides)
+    return [Line(body, any(number not in spared for number in inside), of) for body, inside, of in lines]
+
+
+def spared_asides(lines: list[tuple[str, tuple[int, ...], int]], asides: list[Aside]) -> set[int]:
+    """Elements called an aside that hold running text and most of the page's, or its article.
+
+    Reader comments may be longer than the article; they are spared only if there is no other running text.
+    """
+    if not asides:
+        return set()
+    size, dense, articles = ([0] * (len(asides) + 1) for _ in range(3))
+    total = shown = longest = 0
+    for body, inside, main in lines:
+        total += len(body)
+        if not inside:
+            shown, longest = shown + len(body), max(longest, len(body))
+        for number in inside:
+            size[number] += len(body)
+            dense[number] = max(dense[number], len(body))
+            # The article is inside the element, not around it, and is no aside itself.
+            articles[number] += len(body) if main and number == inside[-1] else 0
+    most = lambda n: asides[n - 1].by_class and 2 * size[n] > total
+    return {
+        number
+        for number in range(1, len(asides) + 1)
+        if dense[number] >= SURGE
+        and not (asides[number - 1].comments and longest >= SURGE)
+        and (most(number) or (asides[number - 1].by_class and articles[number] > shown))
+    }
 
 
 def main_lines(lines: list[Line], window: int = 3, surge: int = 60) -> list[str]:

@@ -67,3 +67,25 @@ def test_columns_nulls_repeats_and_empty(spark):
     assert out.columns == ["page_id", "url", "text"]
     assert sorted(len(r.text) for r in out.collect()) == [0, 1, 399_999]
     assert extract_main_text(df.limit(0)).count() == 0
+
+
+LONG = "Running text of the page that goes on for quite a while, well beyond the surge of sixty characters."
+
+
+def test_wrappers_named_after_asides_are_no_asides():
+    for tag in ('div class="has-sidebar"', 'main class="content no-sidebar"', 'div class="elementor-widget elementor-widget-text-editor"'):
+        name = tag.split()[0]
+        assert main_text(f"<{tag}><h1>Title</h1><p>{LONG}</p></{name}><div class='sidebar'>Side</div>") == f"Title\n{LONG}"
+    widgets = f'<div class="elementor-widget elementor-widget-text-editor"><p>{LONG}</p></div>' * 3
+    assert main_text(widgets) == "\n".join([LONG] * 3)
+    assert main_text(f'<div class="sidebar"><article><p>{LONG}</p></article></div><div>Foot</div>') == LONG
+    assert main_text(f"<form><main><p>{LONG}</p></main></form>") == LONG
+    for name in ("alert", "notice", "related"):
+        assert main_text(f'<p>{LONG}</p><p class="{name}">Mind the gap.</p>') == f"{LONG}\nMind the gap."
+
+
+def test_asides_by_whole_name_or_last_part():
+    for name in ("ad", "cookie-notice", "site-footer", "nav-links", "related-posts", "mainMenu", "comments"):
+        assert main_text(f'<p>{LONG}</p><div class="{name}">Aside</div>') == LONG, name
+    thread = '<section id="comments">' + f"<article class='comment-body'><p>{LONG} {LONG}</p></article>" * 3 + "</section>"
+    assert main_text(f"<div><p>{LONG}</p></div>{thread}") == LONG
