@@ -6,7 +6,7 @@ follows is a surge, where they fall to nothing is a dive; the text between is th
 
 Lines of menus, headers, footers, sidebars, notices, adverts, forms and reader comments have length 0,
 known by their element or by the words of its class, id or role. If a page marks its main part by
-``article`` or ``main``, lines outside have length 0, too.
+``article`` or ``main``, lines outside have length 0, too, unless the text is clearly denser there.
 """
 
 from __future__ import annotations
@@ -53,6 +53,8 @@ STATING_WORDS = frozenset("has have no non not with without hide show is open si
 TEXT_ELEMENTS = frozenset("p li dt dd blockquote pre td th h1 h2 h3 h4 h5 h6 figcaption".split())
 #: Lines of so many characters are running text.
 SURGE = 60
+#: Text outside the marked part has to be so many times as long as it and as the surge.
+OUTWEIGHS = 2
 
 ATTRIBUTES = r"""(?:[^<>"']|"[^"]*"|'[^']*')*+"""
 MARKUP = re.compile(
@@ -192,29 +194,50 @@ def spared_asides(lines: list[tuple[str, tuple[int, ...], int]], asides: list[As
     }
 
 
-def main_lines(lines: list[Line], window: int = 3, surge: int = 60) -> list[str]:
-    """Lines between surge and dive points of the line-block distribution."""
-    marked = any(line.main and not line.aside for line in lines)
-    length = [0 if line.aside or (marked and not line.main) else len(line.text) for line in lines]
-    block = [sum(length[i : i + window]) for i in range(len(lines))]
+def dense_parts(length: list[int], window: int, surge: int) -> list[tuple[int, int]]:
+    """Runs of lines from surge to dive."""
+    block = [sum(length[i : i + window]) for i in range(len(length))]
     if not any(block):
         return []
     # A page of short lines only still has its highest block.
-    threshold = min(surge, max(block)) if not marked else 1
-    kept: list[str] = []
+    threshold = min(surge, max(block))
+    parts: list[tuple[int, int]] = []
     i = 0
-    while i < len(lines):
+    while i < len(length):
         if block[i] < threshold:
             i += 1
             continue
         start, end = i, i  # surge; the text may begin with shorter lines right before it
         while start > 0 and length[start - 1]:
             start -= 1
-        while end < len(lines) and block[end]:  # dive: a whole window without text
+        while end < len(length) and block[end]:  # dive: a whole window without text
             end += 1
-        kept += [line.text for line, size in zip(lines[start:end], length[start:end]) if size]
+        parts.append((start, end))
         i = end
-    return kept
+    return parts
+
+
+def main_lines(lines: list[Line], window: int = 3, surge: int = SURGE) -> list[str]:
+    """Lines between surge and dive points of the line-block distribution.
+
+    On a page with a marked part these are its lines. Where a single dense run outside outweighs every
+    marked element, as on a page with articles as teasers only, they are the lines outside.
+    """
+    length = [0 if line.aside else len(line.text) for line in lines]
+    inside = [size if line.main else 0 for line, size in zip(lines, length)]
+    if any(inside):
+        outside = [0 if line.main else size for line, size in zip(lines, length)]
+        marked: dict[int, int] = {}
+        for line, size in zip(lines, inside):
+            marked[line.main] = marked.get(line.main, 0) + size
+        densest = max((sum(outside[a:b]) for a, b in dense_parts(outside, window, surge)), default=0)
+        length = outside if densest > OUTWEIGHS * max(surge, *marked.values()) else inside
+    return [
+        line.text
+        for start, end in dense_parts(length, window, surge)
+        for line, size in zip(lines[start:end], length[start:end])
+        if size
+    ]
 
 
 def main_text(html: str | None) -> str:

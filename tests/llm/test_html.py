@@ -89,3 +89,16 @@ def test_asides_by_whole_name_or_last_part():
         assert main_text(f'<p>{LONG}</p><div class="{name}">Aside</div>') == LONG, name
     thread = '<section id="comments">' + f"<article class='comment-body'><p>{LONG} {LONG}</p></article>" * 3 + "</section>"
     assert main_text(f"<div><p>{LONG}</p></div>{thread}") == LONG
+
+
+def test_articles_as_teasers_do_not_bound_the_text():
+    body = "".join(f"<p>{LONG} {n}</p>" for n in range(4))
+    cards = "<article class='card'><h3>Other</h3><p>Read more about it</p></article>" * 4
+    assert main_text(f"<div id='content'>{body}</div><div>{cards}</div>") == "\n".join(f"{LONG} {n}" for n in range(4))
+    # A short text outside does not outweigh the article.
+    assert main_text(f"<article>{body}</article><div>{LONG}</div>") == "\n".join(f"{LONG} {n}" for n in range(4))
+
+
+def test_surge_and_dive_decide_inside_an_article():
+    page = f"<article><p>{LONG}</p>" + "<nav>x</nav>" * 3 + "<p>tail</p></article>"
+    assert main_lines(page_lines(page)) == [LONG]
