@@ -24,10 +24,12 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ordermill.llm.common import replace_columns
 
 # Elements by their part in a page.
-UNREAD = frozenset("script style noscript template svg math iframe object canvas textarea select option title".split())
-ASIDE = frozenset("nav header footer aside form menu dialog button fieldset".split())
+UNREAD = frozenset("script style noscript template svg math iframe object canvas textarea select title".split())
+#: Without an end tag these run to the end of the page; of the other unread elements only the tag is skipped.
+RAW = frozenset(("script", "style", "textarea"))
+ASIDE = frozenset("nav header footer aside form menu dialog button fieldset option".split())
 MAIN = frozenset(("article", "main"))
-UNCLOSED = frozenset(("p", "li", "dt", "dd"))
+UNCLOSED = frozenset(("p", "li", "dt", "dd", "option"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
@@ -101,6 +103,19 @@ def aside_of(name: str, attributes: str) -> Aside | None:
     return Aside(True, any(part.lower() in COMMENT_WORDS for token in found for part in PART.findall(token)))
 
 
+def element_ends(html: str, name: str) -> dict[int, int]:
+    """Where the end tag of each such element ends, by where its start tag ends."""
+    ends: dict[int, int] = {}
+    starts: list[int] = []
+    for tag in re.finditer(rf"<(/?){re.escape(name)}(?=[\s/>])({ATTRIBUTES})>", html, re.IGNORECASE):
+        if not tag[1]:
+            if not tag[2].endswith("/"):
+                starts.append(tag.end())
+        elif starts:
+            ends[starts.pop()] = tag.end()
+    return ends
+
+
 def page_lines(html: str) -> list[Line]:
     """One line per block of text. Unclosed elements end with the element around them."""
     lines: list[tuple[str, tuple[int, ...], int]] = []
@@ -109,6 +124,7 @@ def page_lines(html: str) -> list[Line]:
     opened: list[tuple[str, int, int]] = []
     asides: list[Aside] = []
     holds_main: set[int] = set()
+    ends: dict[str, dict[int, int]] = {}
     around: tuple[int, ...] = ()
     main = mains = 0
 
@@ -132,10 +148,19 @@ def page_lines(html: str) -> list[Line]:
             continue
         if name not in INLINE:
             end_line()
+        if opened and opened[-1][0] == "option" and name not in INLINE and not (closing and name == "option"):
+            opened.pop()  # has text only
+            around = tuple(number for _, number, _ in opened if number)
         if name in UNREAD:
-            if not closing and not found[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(html, at)
+            if closing or found[3].endswith("/"):
+                continue
+            if name in RAW:
+                end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(html, at)
                 at = end.end() if end else len(html)
+            else:
+                if name not in ends:
+                    ends[name] = element_ends(html, name)
+                at = max(at, ends[name].get(at, at))
             continue
         if name in VOID:
             continue

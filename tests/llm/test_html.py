@@ -102,3 +102,15 @@ def test_articles_as_teasers_do_not_bound_the_text():
 def test_surge_and_dive_decide_inside_an_article():
     page = f"<article><p>{LONG}</p>" + "<nav>x</nav>" * 3 + "<p>tail</p></article>"
     assert main_lines(page_lines(page)) == [LONG]
+
+
+def test_unclosed_unread_elements_do_not_end_the_page():
+    for start in ('<datalist><option value="a">A<option value="b">B</datalist>', "<select><option>A<option>B</select>"):
+        assert main_text(f"{start}<article>{LONG}</article>") == LONG
+    for name in ("svg", "object", "canvas", "noscript", "math", "iframe", "template"):
+        assert main_text(f"<{name}><p>{LONG}</p>") == LONG, name
+        assert main_text(f"<{name}><p>{LONG}</p><{name}>no</{name}>") == LONG, name
+        assert main_text(f"<{name}>no</{name}><p>{LONG}</p>") == LONG, name
+    assert main_text(f"<option>A<div><p>{LONG}</p></div>") == LONG
+    for name in ("script", "style", "textarea"):
+        assert main_text(f"<p>{LONG}</p><{name}>no") == LONG
