@@ -8,7 +8,8 @@ while others soon part. Branching starts at the depth where nodes are small for
 
 In every node, documents are first compared with the smallest id in it. What they are linked to is a label,
 and only documents of different labels still need comparing: a node with few such pairs is compared
-exhaustively, a larger one branches on. Pairs are screened by sizes and one-bit minhash sketches and
+exhaustively, a larger one branches on. The deeper it gets, the more often two similar documents have parted,
+so documents that branch on beyond the planned depth are given further trees. Pairs are screened by sizes and one-bit minhash sketches and
 confirmed on their full sets. Classes are the connected components of the links.
 """
 
@@ -38,6 +39,8 @@ BACKGROUND, SMALL_NODE = 0.05, 16
 #: A node is compared exhaustively if that takes so many pairs for each of its documents at most.
 PAIRS_EACH = 64
 MORE_LEVELS = 12
+#: The first trees are planned for so many levels of them; for deeper ones further trees are started.
+PLANNED_LEVELS = 2
 #: So many ids are broadcast at most, about 1 MB; for more, a bitmap of this size is.
 BROADCAST_IDS, FILTER_BITS = 1 << 17, 1 << 23
 #: Shingles hashed at a time; the hashes of a block fit a core's cache.
@@ -91,8 +94,9 @@ def children(tokens: np.ndarray, nodes: np.ndarray, similarity: float) -> np.nda
     return combine(functions, minwise(tokens, functions, mix(functions) | np.uint64(1)))
 
 
-def first_nodes(tokens: np.ndarray, trees: int, depth: int, similarity: float) -> np.ndarray:
-    nodes = mix(np.arange(1, trees + 1, dtype=np.uint64) * SALT)
+def first_nodes(tokens: np.ndarray, trees: int, depth: int, similarity: float, begun: int = 0) -> np.ndarray:
+    """Nodes at the depth in the trees after the first ``begun``."""
+    nodes = mix(np.arange(begun + 1, trees + 1, dtype=np.uint64) * SALT)
     for _ in range(depth):
         nodes = children(tokens, nodes, similarity)
     return np.unique(nodes)
@@ -107,10 +111,15 @@ def missed(similarity: float, depth: int) -> float:
     return lost
 
 
+def trees_for(similarity: float, recall: float, depth: int) -> int:
+    """Trees that reach the recall if nodes are settled at the depth."""
+    return math.ceil(math.log(1 - recall) / math.log(missed(similarity, depth)))
+
+
 def plan_trees(documents: int, similarity: float, recall: float) -> tuple[int, int]:
-    """Depth to start at, and trees that reach the recall even if two more levels are needed."""
+    """Depth to start at, and trees that reach the recall even if the planned levels are needed."""
     depth = max(1, math.ceil(math.log(max(documents, SMALL_NODE) / SMALL_NODE, 1 / BACKGROUND)))
-    return depth, math.ceil(math.log(1 - recall) / math.log(missed(similarity, depth + 2)))
+    return depth, trees_for(similarity, recall, depth + PLANNED_LEVELS)
 
 
 def scan(df: DataFrame, key: str, text: str, size: int, trees: int, depth: int, similarity: float) -> DataFrame:
@@ -262,21 +271,22 @@ def node_pairs(members: DataFrame, fine: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("l_rep", "r_rep").alias("b"), F.greatest("l_rep", "r_rep").alias("a")).distinct()
 
 
-def branch(members: DataFrame, df: DataFrame, key: str, text: str, size: int, similarity: float) -> DataFrame:
-    """Members of the nodes one level down."""
+def branch(
+    members: DataFrame, df: DataFrame, key: str, text: str, size: int, similarity: float, begun: int, trees: int, depth: int
+) -> DataFrame:
+    """Members of the nodes one level down, at ``depth``, and there of the trees after the first ``begun``."""
     nodes = members.groupBy("rep").agg(F.collect_set("node").alias("nodes"))  # nodes of a document: a few dozen
     sets = full_sets(df, key, text, size, members.select(F.col("rep").alias("id")))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            below = [
-                np.unique(
-                    children(
-                        tokens.values.to_numpy().view(np.uint64), at.values.to_numpy().view(np.uint64), similarity
-                    )
-                ).view(np.int64)
-                for tokens, at in zip(batch.column("tokens"), batch.column("nodes"))
-            ]
+            below = []
+            for values, at in zip(batch.column("tokens"), batch.column("nodes")):
+                tokens, parents = (column.values.to_numpy().view(np.uint64) for column in (values, at))
+                found = children(tokens, parents, similarity)
+                if trees > begun:
+                    found = np.concatenate([found, first_nodes(tokens, trees, depth, similarity, begun)])
+                below.append(np.unique(found).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(below, pa.list_(pa.int64()))], ["rep", "below"])
 
     schema = StructType([StructField("rep", members.schema["rep"].dataType), StructField("below", ArrayType(LongType()))])
@@ -297,7 +307,7 @@ def near_duplicates(
 
     Documents are linked if 100 times the size of the intersection of their shingle sets is at least
     ``percent`` times that of the union. ``component_id`` is the smallest key reachable over links, and the
-    row that has it as key is kept. ``target_recall`` is for a pair right at that similarity; links that are
+    row that has it as key is kept. ``target_recall`` is for a pair right at that similarity, at whatever depth it is settled; links that are
     found are always true ones.
 
     Null, empty and blank texts have no shingles, are linked with nothing and kept. Rows with a null key are
@@ -344,7 +354,11 @@ def near_duplicates(
         larger = unsettled.where("not leaf")
         if level == MORE_LEVELS or larger.isEmpty():
             break
-        members = written(branch(larger.drop("major", "leaf", "crowded"), df, key, text, shingle_words, similarity), "nodes")
+        # A pair that is not settled yet is in these nodes with both documents, or has parted in all trees so far.
+        deeper, begun = depth + level + 1, trees
+        trees = max(trees, trees_for(similarity, target_recall, deeper))
+        larger = larger.drop("major", "leaf", "crowded")
+        members = written(branch(larger, df, key, text, shingle_words, similarity, begun, trees, deeper), "nodes")
 
     classes = components(links).withColumnRenamed("id", "rep")
     of_set = reps.select(*set_id, "rep").join(classes, "rep", "left")

@@ -120,3 +120,17 @@ def test_components_of_chains_stars_and_rings(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 140)}, **{200 + i: 200 for i in range(9)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_recall_where_crowded_nodes_branch_on(spark, monkeypatch):
+    """Pairs right at the similarity, all in one dense group that is settled on the last level only."""
+    monkeypatch.setattr(neardup, "PAIRS_EACH", 0)
+    monkeypatch.setattr(neardup, "MORE_LEVELS", 8)
+    rows = []
+    for i in range(300):
+        common = [f"c{n}" for n in range(50)] + [f"p{i}x{n}" for n in range(30)]
+        rows += [(2 * i + side, " ".join(common + [f"own{i}s{side}n{n}" for n in range(10)])) for side in (0, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = neardup.near_duplicates(df, shingle_words=1, target_recall=0.66).collect()
+    linked = sum(r.component_id != r.doc_id for r in found)
+    assert linked >= 0.66 * 300
