@@ -14,6 +14,7 @@ from ordermill.llm.katz import katz_scores
 from ordermill.llm.mixing import pfair_mix
 from ordermill.llm.neardup import near_duplicates
 from ordermill.llm.oracle import quality_sql
+from ordermill.llm.pieces import encoding_digests
 from ordermill.llm.quality import apply_rules
 from ordermill.llm.sharding import shuffle_to_shards
 from ordermill.llm.tiling import find_contaminated
@@ -24,6 +25,7 @@ from ordermill.plans.scratch import scratch_dir
 
 SHARDS = 16
 TOKENIZER = os.environ.get("TOKENIZER_RANKS", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+PIECES_MODEL = os.environ.get("TOKENIZER_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 
 
 def op1_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +114,10 @@ def op10_greedy_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_hash", "tiles")
 
 
+def op11_offset_preserving_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding_digests(table(spark, sf_dir, "documents"), PIECES_MODEL)
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -125,6 +131,7 @@ QUERIES = {
         op8_katz_backoff,
         op9_pfair_mixing,
         op10_greedy_string_tiling,
+        op11_offset_preserving_pieces,
     )
 } | {"pipeline": corpus_pipeline.run}
 
