@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ordermill.llm.common import table
+from ordermill.llm.divergence import divergence_audit
+from ordermill.llm.hardneg import mine_hard_negatives
 from ordermill.llm.html import extract_main_text
 from ordermill.llm.katz import katz_scores
 from ordermill.llm.mixing import pfair_mix
 from ordermill.llm.neardup import near_duplicates
-from ordermill.llm.oracle import quality_sql
+from ordermill.llm.oracle import divergence_sql, hard_negatives_sql, quality_sql
 from ordermill.llm.pieces import encoding_digests
 from ordermill.llm.quality import apply_rules
 from ordermill.llm.sharding import shuffle_to_shards
@@ -118,6 +120,14 @@ def op11_offset_preserving_pieces(spark: SparkSession, sf_dir: str) -> DataFrame
     return encoding_digests(table(spark, sf_dir, "documents"), PIECES_MODEL)
 
 
+def op12_one_hot_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+def op13_hilbert_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -132,10 +142,14 @@ QUERIES = {
         op9_pfair_mixing,
         op10_greedy_string_tiling,
         op11_offset_preserving_pieces,
+        op12_one_hot_divergence,
+        op13_hilbert_hard_negatives,
     )
 } | {"pipeline": corpus_pipeline.run}
 
 ORACLE_SQL = {
     # Sizes and fixed columns of the other operators follow from their methods only; see the tests.
     "op4_quality_rules": quality_sql(),
+    "op12_one_hot_divergence": divergence_sql(),
+    "op13_hilbert_hard_negatives": hard_negatives_sql(),
 }
