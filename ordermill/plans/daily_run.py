@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ordermill.operators.aggregates import FROM_ENRICHED, payments_summary
 from ordermill.operators.clean import clean_customers, clean_orders, clean_products
 from ordermill.operators.enrich import enrich_orders
+from ordermill.plans.ledger import Ledger, digest, input_fingerprint
 from ordermill.plans.together import run_together
 from ordermill.quality import reports
 from ordermill.quality.suite import assert_checks, check_suite
@@ -37,6 +38,10 @@ class Places:
     database: str
     database_location: str | None = None
 
+    @property
+    def ledger(self) -> str:
+        return f"{self.processed}/_ledger"
+
 
 def landing_tables(spark: SparkSession, landing: str, run_dates: Sequence[str]) -> dict[str, DataFrame]:
     """The landing files; raises, naming the column, if they do not keep to the contract."""
@@ -88,19 +93,21 @@ def load_warehouse(
     run_dates: Sequence[str],
     mode: str = "reload",
     location: str | None = None,
+    widen: bool = False,
 ) -> None:
     """Load the five processed tables, as their files are, and rebuild the cleaned category table."""
     ensure_database(spark, database, location)
-    run_together(
-        spark,
-        [
-            partial(load_table, read_runs(spark, processed, table, run_dates), database, table, run_dates, mode)
-            for table in PROCESSED
-        ],
-    )
+    load = partial(_load_processed, spark, processed, database, mode=mode, widen=widen)
+    run_together(spark, [partial(load, table, run_dates) for table in PROCESSED])
     rebuild_category_revenue_clean(spark, database)
 
 
+def _load_processed(
+    spark: SparkSession, processed: str, database: str, table: str, run_dates: Sequence[str], mode: str, widen: bool
+) -> None:
+    load_table(read_runs(spark, processed, table, run_dates), database, table, run_dates, mode, widen=widen)
+
+
 def loaded_runs(spark: SparkSession, database: str, table: str, run_dates: Sequence[str] | None) -> DataFrame:
     """A warehouse table, or the partitions of some of its runs."""
     df = spark.table(f"{database}.{table}")
@@ -136,20 +143,71 @@ def differing_totals(spark: SparkSession, database: str, run_dates: Sequence[str
     return reports.anomaly_report(*(loaded_runs(spark, database, table, run_dates) for table in tables))
 
 
+@dataclass(frozen=True)
+class Steps:
+    """The steps of a daily run, noted in the ledger; with ``resume`` only what is not done for its input.
+
+    A step that is done again has the steps after it done again, too. ``before`` is called with the name of
+    each step and its dates; what it raises counts as a failure of the step.
+    """
+
+    ledger: Ledger
+    inputs: dict[str, str]
+    resume: bool
+    before: Callable[[str, Sequence[str]], None] | None
+    redone: set[str]
+
+    def run(self, step: str, work: Callable[[Sequence[str]], None], after: str = "") -> None:
+        wanted = {run_date: digest(fingerprint, step, after) for run_date, fingerprint in self.inputs.items()}
+        if self.resume:
+            done = {d for d, f in wanted.items() if d not in self.redone and self.ledger.is_done(d, step, f)}
+            wanted = {run_date: fingerprint for run_date, fingerprint in wanted.items() if run_date not in done}
+        if not wanted:
+            logger.info("%s: nothing to do", step)
+            return
+        with self.ledger.working(step, wanted):
+            if self.before:
+                self.before(step, list(wanted))
+            work(list(wanted))
+        if not step.startswith("load"):
+            self.redone.update(wanted)
+        logger.info("%s: %s", step, list(wanted))
+
+
+def _of_runs(tables: dict[str, RawTable], run_dates: Sequence[str]) -> dict[str, RawTable]:
+    return {t: df.where(F.col("run_date").isin(*run_dates)) if isinstance(df, DataFrame) else df for t, df in tables.items()}
+
+
 def prepare_runs(
     spark: SparkSession,
     tables: dict[str, RawTable],
     places: Places,
     run_dates: Sequence[str],
     mode: str = "reload",
-) -> None:
-    """Ingest, process and load; raises on a missing run and is safe to run again."""
-    ingest_raw(spark, tables, places.raw, run_dates)
-    logger.info("ingested %s", list(run_dates))
-    process_runs(spark, places.raw, places.processed, run_dates)
-    logger.info("processed %s", list(run_dates))
-    load_warehouse(spark, places.processed, places.database, run_dates, mode, places.database_location)
-    logger.info("loaded %s", list(run_dates))
+    resume: bool = False,
+    before_step: Callable[[str, Sequence[str]], None] | None = None,
+    widen: bool = False,
+) -> Steps:
+    """Ingest, process and load; raises on a missing run and is safe to run again.
+
+    Every step is noted in the ledger of ``places``, the load table by table. With ``resume`` a run goes on
+    at the step that failed, and a date whose input files are the same as when it was done is left alone.
+    """
+    inputs = {run_date: input_fingerprint(spark, tables, run_date) for run_date in run_dates}
+    steps = Steps(Ledger(spark, places.ledger), inputs, resume, before_step, set())
+    whole = set(run_dates)
+
+    def ingest(dates: Sequence[str]) -> None:
+        ingest_raw(spark, tables if set(dates) == whole else _of_runs(tables, dates), places.raw, dates)
+
+    steps.run("ingest", ingest)
+    steps.run("process", lambda dates: process_runs(spark, places.raw, places.processed, dates))
+    ensure_database(spark, places.database, places.database_location)
+    load = partial(_load_processed, spark, places.processed, places.database, mode=mode, widen=widen)
+    run_together(spark, [partial(steps.run, f"load {table}", partial(load, table), mode) for table in PROCESSED])
+    rebuild = lambda _: rebuild_category_revenue_clean(spark, places.database)
+    steps.run("load category_revenue_clean", rebuild, mode)
+    return steps
 
 
 def run_daily(
@@ -160,26 +218,51 @@ def run_daily(
     mode: str = "reload",
     verbose: bool = False,
     all_runs: bool = False,
+    resume: bool = False,
+    before_step: Callable[[str, Sequence[str]], None] | None = None,
+    widen: bool = False,
 ) -> list[Row]:
     """All steps, then the checks and reports over what was loaded; raises if one of them fails.
 
     Checked are the runs of ``run_dates``, or with ``all_runs`` all that the warehouse has. The error of
-    a failed check has the totals that differ as ``differences``, a DataFrame. Columns that are not
-    filled on every row, or have no rows, are logged: a day without payments is no failure.
+    a failed check has the totals that differ as ``differences``, a DataFrame, and that of a failed report its
+    failing rows. Columns that are not filled on every row, or have no rows, are logged: a day without
+    payments is no failure. With ``resume`` steps that are done for the same input are left out; the checks
+    are always made.
     """
-    prepare_runs(spark, tables, places, run_dates, mode)
+    steps = prepare_runs(spark, tables, places, run_dates, mode, resume, before_step, widen)
     checked = None if all_runs else run_dates
-    try:
-        rows = assert_checks(validate_warehouse(spark, places.database, checked), verbose)
-    except AssertionError as failure:
-        failure.differences = differing_totals(spark, places.database, checked)
-        raise
-    found = validation_reports(spark, places.database, checked)
-    for name, report in found.items():
-        # One row per column or per category and run.
-        failed = report.where("NOT coalesce(passed, false)").limit(50).collect()
-        for row in failed:
-            logger.warning("%s: %s", name, row.asDict())
-        if failed and name != "completeness":
-            raise AssertionError(f"{name} failed: {[row.asDict() for row in failed]}")
+    rows: list[Row] = []
+
+    def check(_: Sequence[str]) -> None:
+        try:
+            rows.extend(assert_checks(validate_warehouse(spark, places.database, checked), verbose))
+        except AssertionError as failure:
+            failure.differences = differing_totals(spark, places.database, checked)
+            raise
+        for name, report in validation_reports(spark, places.database, checked).items():
+            _raise_failed(name, report.where("NOT coalesce(passed, false)"))
+
+    steps.redone.update(run_dates)
+    steps.run("check", check, mode)
     return rows
+
+
+#: Failing rows of a report that its error message spells out; ``differences`` of the error has all of them.
+SPELLED_OUT = 50
+
+
+def _raise_failed(name: str, failed: DataFrame) -> None:
+    first = failed.limit(SPELLED_OUT + 1).collect()
+    if not first:
+        return
+    listed = [row.asDict() for row in first[:SPELLED_OUT]]
+    more = f" and {failed.count() - SPELLED_OUT} more" if len(first) > SPELLED_OUT else ""
+    for row in listed:
+        logger.warning("%s: %s", name, row)
+    if more:
+        logger.warning("%s:%s", name, more)
+    if name != "completeness":
+        failure = AssertionError(f"{name} failed: {listed}{more}")
+        failure.differences = failed
+        raise failure

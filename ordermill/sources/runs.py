@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.schemas import ddl
+from ordermill.sinks.files import Files
+from ordermill.sinks.partitions import pending_runs
 
 # What a contract type may be in the files: the type itself or one that widens to it without loss.
 NARROWER = {"bigint": {"tinyint", "smallint", "int"}, "double": {"float"}}
@@ -30,17 +33,31 @@ def read_runs(
     Named runs are read by path, so that only their folders are listed, and a missing run raises
     instead of reading as empty. With a contract the schema is fixed; without one it is taken from
     the files, from all of them if ``merge_schema`` says that they differ. ``run_date`` is a string
-    either way.
+    either way. A run that is committed and not yet moved to its place is read where it is.
     """
     base = f"{root}/{table}"
     if run_dates is not None and not run_dates:
         raise ValueError("name at least one run date")
-    paths = [base] if run_dates is None else [f"{base}/run_date={run_date}" for run_date in run_dates]
-    reader = spark.read.option("basePath", base)
-    if contract:
-        return reader.schema(ddl(contract)).parquet(*paths)
-    found = reader.option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
-    return found.withColumn("run_date", F.col("run_date").cast("string"))
+
+    def read(home: str, dates: Sequence[str] | None) -> DataFrame:
+        paths = [home] if dates is None else [f"{home}/run_date={run_date}" for run_date in dates]
+        reader = spark.read.option("basePath", home)
+        if contract:
+            return reader.schema(ddl(contract)).parquet(*paths)
+        found = reader.option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
+        return found.withColumn("run_date", F.col("run_date").cast("string"))
+
+    files = Files(spark)
+    pending = pending_runs(files, base)
+    if run_dates is not None:
+        pending = {run_date: home for run_date, home in pending.items() if run_date in run_dates}
+    if not pending:
+        return read(base, run_dates)
+    placed = [name.removeprefix("run_date=") for name in files.names(base) if name.startswith("run_date=")]
+    settled = [run_date for run_date in (run_dates or placed) if run_date not in pending]
+    parts = [read(base, settled)] if settled else []
+    parts += [read(home, [run_date]) for run_date, home in sorted(pending.items())]
+    return reduce(partial(DataFrame.unionByName, allowMissingColumns=merge_schema), parts)
 
 
 def checked_runs(

@@ -7,6 +7,7 @@ from frames import DAY, NEXT_RUN, RUN
 from ordermill.__main__ import main
 from ordermill.plans.daily_run import (
     Places,
+    _raise_failed,
     differing_totals,
     ingest_raw,
     landing_tables,
@@ -14,6 +15,7 @@ from ordermill.plans.daily_run import (
     run_daily,
     validate_warehouse,
 )
+from ordermill.plans.ledger import Ledger
 from ordermill.plans.scratch import scratch_dir
 from ordermill.schemas import PROCESSED
 from ordermill.sinks.warehouse import load_table
@@ -161,6 +163,71 @@ def test_missing_run_raises(spark, tmp_path, places):
         landing_tables(spark, str(tmp_path / "landing"), [RUN, NEXT_RUN])
 
 
+def steps_of(spark, places, run_date):
+    return {r.step: (r.state, r.attempts) for r in Ledger(spark, places.ledger).frame([run_date]).collect()}
+
+
+def test_a_run_goes_on_where_it_failed_and_leaves_unchanged_dates_alone(spark, tmp_path, places):
+    landing, both = tmp_path / "landing", [RUN, NEXT_RUN]
+    for run_date in both:
+        land(landing, run_date)
+    seen = []
+
+    def failing(step, dates):
+        seen.append((step, dates))
+        if step == "load products_sales":
+            raise RuntimeError("no warehouse")
+
+    with pytest.raises(RuntimeError, match="no warehouse"):
+        run_daily(spark, landing_tables(spark, str(landing), both), places, both, before_step=failing)
+    first = steps_of(spark, places, RUN)
+    assert first["process"] == ("done", 1) and first["load products_sales"] == ("failed", 1) and "check" not in first
+
+    def resumed(**options):
+        seen.clear()
+        tables = landing_tables(spark, str(landing), both)
+        rows = run_daily(spark, tables, places, both, resume=True, before_step=lambda *step: seen.append(step), **options)
+        assert all(row.passed for row in rows)
+        return {step: dates for step, dates in seen}
+
+    assert resumed() == {step: both for step in ("load products_sales", "load category_revenue_clean", "check")}
+    assert steps_of(spark, places, NEXT_RUN)["load products_sales"] == ("done", 2)
+    assert resumed() == {"check": both}
+    # Other files for one date: that date is done again, the other one is not.
+    file = landing / "customers" / f"run_date={RUN}" / "customers.parquet"
+    pd.read_parquet(file).assign(name=["Zoe", "Bob"]).to_parquet(file, index=False)
+    redone = resumed()
+    assert redone.pop("check") == both and set(map(tuple, redone.values())) == {(RUN,)} and len(redone) == 8
+    names = {(r.run_date, r.customer_name) for r in spark.table(f"{places.database}.customers_revenue").collect()}
+    assert names == {(RUN, "Zoe"), (RUN, "Bob"), (NEXT_RUN, "Ann"), (NEXT_RUN, "Bob")}
+    # Without resume all is done.
+    run_daily(spark, landing_tables(spark, str(landing), both), places, both)
+    assert steps_of(spark, places, NEXT_RUN)["ingest"] == ("done", 2)
+
+
+def test_appending_goes_on_without_doubling(spark, tmp_path, places):
+    land(tmp_path / "landing", RUN)
+
+    def failing(step, dates):
+        if step == "check":
+            raise RuntimeError("stopped")
+
+    tables = landing_tables(spark, str(tmp_path / "landing"), [RUN])
+    with pytest.raises(RuntimeError):
+        run_daily(spark, tables, places, [RUN], mode="append", before_step=failing)
+    run_daily(spark, tables, places, [RUN], mode="append", resume=True)
+    assert spark.table(f"{places.database}.orders_enriched").count() == 3
+
+
+def test_a_failed_report_says_how_many_rows_it_leaves_out(spark):
+    failed = spark.range(70).selectExpr("id AS key", "false AS passed")
+    with pytest.raises(AssertionError, match="and 20 more") as raised:
+        _raise_failed("category_recon", failed)
+    assert raised.value.differences.count() == 70 and "'key': 49" in str(raised.value)
+    _raise_failed("completeness", failed)
+    _raise_failed("category_recon", failed.limit(0))
+
+
 def test_ingest_counts(spark, tmp_path, places):
     land(tmp_path / "landing", RUN)
     counts = ingest_raw(spark, landing_tables(spark, str(tmp_path / "landing"), [RUN]), places.raw, [RUN])

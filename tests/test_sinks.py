@@ -1,12 +1,23 @@
 import re
+import uuid
 
 import pytest
 from frames import NEXT_RUN, RUN, orders
 from pyspark.sql import functions as F
 
 from ordermill.schemas import RAW, ddl
-from ordermill.sinks.partitions import run_counts, write_runs
-from ordermill.sinks.warehouse import category_revenue_clean, ensure_database, load_table
+from ordermill.sinks import warehouse
+from ordermill.sinks.columns import TypeClash
+from ordermill.sinks.files import Files
+from ordermill.sinks.partitions import manifest, remove_abandoned, run_counts, write_runs
+from ordermill.sinks.warehouse import (
+    category_revenue_clean,
+    ensure_database,
+    load_table,
+    rebuild_category_revenue_clean,
+    replace_table,
+    settle,
+)
 from ordermill.sources.runs import SchemaMismatch, checked_runs, read_runs
 
 
@@ -34,8 +45,7 @@ def test_many_runs_make_few_files_each(spark, tmp_path):
         combined = combined.unionAll(df)
     write_runs(combined, str(tmp_path), "orders", dates, one_file_each=True)
     for date in dates:
-        # One with the rows and the empty one that the run was cleared with.
-        assert len(list((tmp_path / "orders" / f"run_date={date}").glob("*.parquet"))) == 2
+        assert len(list((tmp_path / "orders" / f"run_date={date}").glob("*.parquet"))) == 1
     assert read_runs(spark, str(tmp_path), "orders").count() == 5 * len(dates)
 
 
@@ -103,6 +113,99 @@ def test_run_counts(spark, tmp_path):
     assert sorted(map(tuple, counts.collect())) == [("orders", RUN, 2), ("orders", NEXT_RUN, 1)]
 
 
+class Killed(BaseException):
+    """What stands for the end of a process."""
+
+
+def two_runs(spark, *ids):
+    return run_of(spark, RUN, *ids).unionAll(run_of(spark, NEXT_RUN, *ids))
+
+
+def killed_at(monkeypatch, method, call):
+    """End the process at the given call of a file operation."""
+    real, calls = getattr(Files, method), []
+
+    def counted(self, *arguments):
+        calls.append(arguments)
+        if len(calls) == call:
+            raise Killed
+        return real(self, *arguments)
+
+    monkeypatch.setattr(Files, method, counted)
+    return calls
+
+
+@pytest.mark.parametrize("method", ["write", "move", "delete"])
+def test_a_write_that_is_killed_at_any_step_replaces_all_runs_or_none(spark, tmp_path, monkeypatch, method):
+    both = [RUN, NEXT_RUN]
+    for call in range(1, 12):
+        root = str(tmp_path / f"{method}{call}")
+        write_runs(two_runs(spark, "old"), root, "orders", both)
+        with monkeypatch.context() as patch:
+            calls = killed_at(patch, method, call)
+            try:
+                write_runs(two_runs(spark, "new"), root, "orders", both)
+            except Killed:
+                pass
+            finished = len(calls) < call
+        for dates in (both, None):
+            found = stored(read_runs(spark, root, "orders", dates, RAW["orders"]))
+            assert found in ([(RUN, i), (NEXT_RUN, i)] for i in ("old", "new"))
+        assert stored(read_runs(spark, root, "orders", [NEXT_RUN])) == found[1:]
+        write_runs(two_runs(spark, "last"), root, "orders", both)
+        assert stored(read_runs(spark, root, "orders", both)) == [(RUN, "last"), (NEXT_RUN, "last")]
+        remove_abandoned(spark, root, "orders")
+        assert Files(spark).names(f"{root}/orders/_staged") == []
+        if finished:
+            break
+    assert finished
+
+
+def test_a_failing_job_leaves_the_old_runs(spark, tmp_path):
+    both = [RUN, NEXT_RUN]
+    write_runs(two_runs(spark, "old"), str(tmp_path), "orders", both)
+    failing = two_runs(spark, "new").withColumn("country", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        write_runs(failing, str(tmp_path), "orders", both)
+    assert stored(read_runs(spark, str(tmp_path), "orders", both)) == [(RUN, "old"), (NEXT_RUN, "old")]
+    assert len(remove_abandoned(spark, str(tmp_path), "orders")) == 1
+
+
+def test_the_manifest_lists_what_each_write_replaced(spark, tmp_path):
+    write_runs(two_runs(spark, "A"), str(tmp_path), "orders", [RUN, NEXT_RUN])
+    write_runs(run_of(spark, RUN, "B"), str(tmp_path), "orders", [RUN])
+    assert sorted(manifest(spark, str(tmp_path), "orders").values()) == [[RUN], [RUN, NEXT_RUN]]
+
+
+def jobs_of(spark, work):
+    """Spark jobs that the work runs."""
+    tracker, group = spark.sparkContext.statusTracker(), uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        work()
+        return len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def many(spark, dates, ids=("A",)):
+    rows = run_of(spark, RUN, *ids).drop("run_date").withColumn("run_date", F.explode(F.array(*map(F.lit, dates))))
+    return rows.select(*RAW["orders"])
+
+
+def test_jobs_of_a_write_and_a_load_do_not_grow_with_the_runs(spark, tmp_path, database):
+    few, more = ([f"2025-11-{day:02d}" for day in range(1, days)] for days in (4, 25))
+    counts = []
+    for i, dates in enumerate((few, more)):
+        rows = many(spark, dates[:-1])  # the last run is empty
+        writing = jobs_of(spark, lambda: write_runs(rows, str(tmp_path), f"orders{i}", dates))
+        loading = [jobs_of(spark, lambda: load_table(rows, database, f"t{i}", dates, mode)) for mode in ("reload", "reload", "append", "truncate")]
+        counts.append((writing, loading))
+        partitions = [r.partition for r in spark.sql(f"SHOW PARTITIONS {database}.t{i}").collect()]
+        assert partitions == [f"run_date={date}" for date in dates]
+    assert counts[0] == counts[1]
+
+
 @pytest.fixture
 def database(spark, tmp_path, request):
     name = f"db_{abs(hash(request.node.name))}"
@@ -154,6 +257,122 @@ def test_columns_are_never_left_out(spark, database, mode):
     assert sorted((r.order_id, r.colour) for r in rows) == [("A", None), ("B", "red")]
 
 
+@pytest.mark.parametrize("mode", ["append", "reload"])
+def test_a_narrower_column_raises_before_any_row_is_written(spark, database, mode):
+    load_table(run_of(spark, RUN, "A"), database, "orders", [RUN])
+    before = spark.table(f"{database}.orders").collect()
+    for kind in ("double", "string", "decimal(20,1)"):
+        lossy = run_of(spark, RUN, "B").withColumn("quantity", F.lit("2.7").cast(kind))
+        with pytest.raises(TypeClash, match=f"quantity is bigint and would get {re.escape(kind)}"):
+            load_table(lossy, database, "orders", [RUN], mode)
+    assert spark.table(f"{database}.orders").collect() == before
+
+
+@pytest.mark.parametrize("mode", ["append", "reload"])
+def test_narrower_rows_are_widened_to_the_table(spark, database, mode):
+    load_table(run_of(spark, RUN, "A"), database, "orders", [RUN])
+    narrow = run_of(spark, NEXT_RUN, "B").withColumns({"quantity": F.lit(7).cast("tinyint"), "price": F.lit(0.5).cast("float")})
+    load_table(narrow, database, "orders", [NEXT_RUN], mode)
+    df = spark.table(f"{database}.orders")
+    assert dict(df.dtypes)["quantity"] == "bigint"
+    assert sorted((r.order_id, r.quantity, r.price) for r in df.collect()) == [("A", 1, 1.0), ("B", 7, 0.5)]
+
+
+@pytest.mark.parametrize("mode", ["append", "reload"])
+def test_a_table_is_widened_on_request_and_keeps_every_value(spark, database, mode):
+    rows = run_of(spark, RUN, "A").withColumns({"quantity": F.lit(2**31 - 1), "price": F.lit("1.25").cast("decimal(5,2)")})
+    none = "2025-12-03"
+    load_table(rows, database, "orders", [RUN, none])
+    wider = run_of(spark, NEXT_RUN, "B").withColumns({"quantity": F.lit(2**40), "price": F.lit("1234567.125").cast("decimal(12,3)")})
+    with pytest.raises(TypeClash, match="quantity is int and would get bigint; widen=True makes it bigint"):
+        load_table(wider, database, "orders", [NEXT_RUN], mode)
+    load_table(wider, database, "orders", [NEXT_RUN], mode, widen=True)
+    df = spark.table(f"{database}.orders")
+    assert (dict(df.dtypes)["quantity"], dict(df.dtypes)["price"]) == ("bigint", "decimal(12,3)")
+    got = sorted((r.order_id, r.quantity, str(r.price)) for r in df.collect())
+    assert got == [("A", 2**31 - 1, "1.250"), ("B", 2**40, "1234567.125")]
+    assert [r.partition[-10:] for r in spark.sql(f"SHOW PARTITIONS {database}.orders").collect()] == [RUN, NEXT_RUN, none]
+    load_table(rows.withColumn("order_id", F.lit("C")), database, "orders", [RUN])
+    assert stored(df.sparkSession.table(f"{database}.orders")) == [(RUN, "C"), (NEXT_RUN, "B")]
+
+
+def test_rows_of_runs_that_are_not_loaded_raise(spark, database):
+    for mode in ("append", "reload", "truncate"):
+        with pytest.raises(Exception, match="run that is not written"):
+            load_table(two_runs(spark, "A"), database, "orders", [RUN], mode)
+
+
+@pytest.mark.parametrize("mode", ["reload", "truncate"])
+def test_a_load_that_fails_leaves_the_table(spark, database, mode):
+    load_table(two_runs(spark, "old"), database, "orders", [RUN, NEXT_RUN])
+    failing = two_runs(spark, "new").withColumn("country", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        load_table(failing, database, "orders", [RUN, NEXT_RUN], mode)
+    assert stored(spark.table(f"{database}.orders")) == [(RUN, "old"), (NEXT_RUN, "old")]
+
+
+def test_replaced_files_are_removed(spark, database, tmp_path):
+    folder = tmp_path / "db" / "_loads" / "orders"
+    for mode in ("reload", "reload", "truncate"):
+        load_table(two_runs(spark, mode), database, "orders", [RUN, NEXT_RUN], mode)
+        assert stored(spark.table(f"{database}.orders")) == [(RUN, mode), (NEXT_RUN, mode)]
+    assert len({file.parts[-3] for file in folder.glob("*/run_date=*/*.parquet")}) == 1
+
+
+def revenue(spark, value):
+    schema = "category string, category_revenue decimal(28,2), run_date string"
+    return spark.createDataFrame([("Books", value)], "c string, v int").selectExpr("c", "v", f"'{RUN}'").toDF(
+        "category", "category_revenue", "run_date"
+    ).to(spark.createDataFrame([], schema).schema)
+
+
+def test_a_rebuild_that_fails_leaves_the_cleaned_table(spark, database, monkeypatch):
+    load_table(revenue(spark, 5), database, "category_revenue", [RUN])
+    rebuild_category_revenue_clean(spark, database)
+    load_table(revenue(spark, 7), database, "category_revenue", [RUN])
+
+    def failing(df):
+        return category_revenue_clean(df).withColumn("category", F.raise_error(F.lit("lost")).cast("string"))
+
+    clean = lambda: [tuple(r) for r in spark.table(f"{database}.category_revenue_clean").collect()]
+    with monkeypatch.context() as patch:
+        patch.setattr(warehouse, "category_revenue_clean", failing)
+        with pytest.raises(Exception, match="lost"):
+            rebuild_category_revenue_clean(spark, database)
+    assert clean() == [("Books", 5.0)]
+    rebuild_category_revenue_clean(spark, database)
+    assert clean() == [("Books", 7.0)]
+
+
+def test_a_replacement_that_died_between_its_renames_is_settled(spark, database):
+    name = f"{database}.orders"
+    load_table(run_of(spark, RUN, "old"), database, "orders", [RUN])
+    load_table(run_of(spark, RUN, "new"), database, "other", [RUN])
+    # The new table was complete and the old one had given up its name.
+    spark.sql(f"ALTER TABLE {database}.other RENAME TO {name}__following")
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__former")
+    settle(spark, name)
+    assert stored(spark.table(name)) == [(RUN, "new")]
+    # Nothing but the old one was there.
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__former")
+    settle(spark, name)
+    assert stored(spark.table(name)) == [(RUN, "new")]
+    # The new one was not complete.
+    spark.sql(f"CREATE TABLE {name}__following (a int) USING parquet")
+    load_table(run_of(spark, RUN, "last"), database, "orders", [RUN])
+    assert stored(spark.table(name)) == [(RUN, "last")]
+    assert {t.name for t in spark.catalog.listTables(database)} == {"orders"}
+
+
+def test_a_table_of_other_columns_is_replaced(spark, database, tmp_path):
+    name = f"{database}.plain"
+    for i, df in enumerate((spark.range(3).toDF("a"), spark.range(2).toDF("a"), spark.range(4).selectExpr("id AS b", "1 AS c"))):
+        place = str(tmp_path / f"plain{i}")
+        df.write.parquet(place)
+        replace_table(spark, name, df.schema, place)
+        assert spark.table(name).columns == df.columns and spark.table(name).count() == df.count()
+
+
 def test_a_location_with_a_quote(spark, tmp_path):
     ensure_database(spark, "quoted_place", str(tmp_path / "it's"))
     spark.sql("DROP DATABASE quoted_place")
