@@ -280,11 +280,34 @@ SELECTS = {
         }.items()
     )
     + " UNION ALL SELECT * FROM per_run WHERE run_date = '2025-12-02'",
+    "resumed_run": """
+        SELECT run_date, step, 'done' AS state, attempts, row_count FROM (
+          SELECT run_date, 'ingest' AS step, 1 AS attempts, CAST(sum(n) AS BIGINT) AS row_count FROM (
+            SELECT run_date, count(*) AS n FROM raw_customers GROUP BY run_date
+            UNION ALL SELECT run_date, count(*) FROM raw_products GROUP BY run_date
+            UNION ALL SELECT run_date, count(*) FROM raw_orders GROUP BY run_date
+            UNION ALL SELECT run_date, count(*) FROM raw_payments GROUP BY run_date
+          ) GROUP BY run_date
+          UNION ALL
+          SELECT run_date, 'process', 1, CAST(sum(row_count) AS BIGINT) FROM per_run GROUP BY run_date
+          UNION ALL
+          SELECT run_date, 'load ' || table_name, CASE WHEN table_name = 'products_sales' THEN 2 ELSE 1 END, row_count
+          FROM per_run
+          UNION ALL
+          SELECT run_date, 'load category_revenue_clean', 1, NULL FROM runs
+        )
+    """,
     "warehouse_append": """
         SELECT table_name, run_date, 2 * row_count AS row_count, round(2 * revenue, 2) AS revenue FROM per_run
     """,
     "warehouse_truncate": "SELECT * FROM per_run WHERE run_date = '2025-12-02'",
     "warehouse_reload_idempotent": "SELECT * FROM per_run",
+    "warehouse_widened": """
+        SELECT run_date, count(*) AS row_count, sum(total_quantity_sold) AS total_quantity_sold,
+               CAST(sum(total_revenue) AS DOUBLE) AS total_revenue, 'double' AS total_quantity_sold_type,
+               'decimal(28,2)' AS total_revenue_type
+        FROM products_sales GROUP BY run_date
+    """,
     "category_revenue_clean": """
         SELECT category, TRY_CAST(category_revenue AS DOUBLE) AS category_revenue FROM category_revenue
     """,

@@ -26,11 +26,13 @@ from ordermill.plans.daily_run import (
     process_runs,
     run_daily,
 )
+from ordermill.plans.ledger import Ledger
 from ordermill.plans.scratch import scratch_dir
 from ordermill.quality import checks, reports
 from ordermill.quality.suite import check_suite
 from ordermill.schemas import PROCESSED, RAW, REQUIRED, WAREHOUSE
 from ordermill.sinks.partitions import run_counts, write_runs
+from ordermill.sinks.warehouse import ensure_database, load_table
 from ordermill.sources.runs import read_runs
 from ordermill.sources.star import RAW_BUILDERS, raw_tables, star_table
 
@@ -235,6 +237,55 @@ def rerun_with_empty_table(spark, sf_dir):
     return kept.unionAll(_per_run({table: spark.table(f"{places.database}.{table}") for table in PROCESSED}))
 
 
+def resumed_run(spark, sf_dir):
+    """A run of both dates that fails while it loads, goes on, and is asked for again with nothing to do.
+
+    Per run date and step: how often it was started, and the rows that are there now.
+    """
+    places = new_places(spark, "resumed")
+    tables = raw_tables(spark, sf_dir, RUN_DATES)
+
+    def fail(step, run_dates):
+        if step == "load products_sales":
+            raise ConnectionError("made to fail")
+
+    try:
+        prepare_runs(spark, tables, places, RUN_DATES, before_step=fail)
+    except ConnectionError:
+        pass
+    for _ in range(2):
+        prepare_runs(spark, tables, places, RUN_DATES, resume=True)
+    raw = run_counts({table: read_runs(spark, places.raw, table, RUN_DATES, RAW[table]) for table in RAW})
+    processed = run_counts({table: read_runs(spark, places.processed, table, RUN_DATES) for table in PROCESSED})
+    loaded = run_counts({table: spark.table(f"{places.database}.{table}") for table in PROCESSED})
+    rows = raw.withColumn("step", F.lit("ingest")).unionAll(processed.withColumn("step", F.lit("process")))
+    rows = rows.unionAll(loaded.withColumn("step", F.concat(F.lit("load "), "table_name")))
+    per_step = rows.groupBy("run_date", "step").agg(F.sum("row_count").alias("row_count"))
+    noted = Ledger(spark, places.ledger).frame(RUN_DATES).select("run_date", "step", "state", "attempts")
+    return noted.join(per_step, ["run_date", "step"], "left")
+
+
+def warehouse_widened(spark, sf_dir):
+    """Product sales of the first run with narrower types, then of the second with their own: totals kept."""
+    sales = staged(spark, sf_dir).processed("products_sales")
+    places = new_places(spark, "widened")
+    ensure_database(spark, places.database, places.database_location)
+    narrow = {"total_quantity_sold": "int", "total_revenue": "decimal(16,2)"}
+    first = sales.where(F.col("run_date") == RUN_DATES[0])
+    first = first.withColumns({column: F.col(column).cast(kind) for column, kind in narrow.items()})
+    load_table(first, places.database, "products_sales", RUN_DATES[:1])
+    second = sales.where(F.col("run_date") == RUN_DATES[1])
+    load_table(second, places.database, "products_sales", RUN_DATES[1:], widen=True)
+    table = spark.table(f"{places.database}.products_sales")
+    kinds = {column: table.schema[column].dataType.simpleString() for column in narrow}
+    return table.groupBy("run_date").agg(
+        F.count("*").alias("row_count"),
+        F.sum("total_quantity_sold").alias("total_quantity_sold"),
+        F.sum("total_revenue").cast("double").alias("total_revenue"),
+        *[F.lit(kind).alias(f"{column}_type") for column, kind in kinds.items()],
+    )
+
+
 def _loaded_twice(spark, sf_dir, mode: str, second: list[str]) -> DataFrame:
     run = staged(spark, sf_dir)
     run.processed("orders_enriched")
@@ -400,9 +451,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "processed_roundtrip": processed_roundtrip,
     "two_date_run": two_date_run,
     "rerun_with_empty_table": rerun_with_empty_table,
+    "resumed_run": resumed_run,
     "warehouse_append": warehouse_append,
     "warehouse_truncate": warehouse_truncate,
     "warehouse_reload_idempotent": warehouse_reload_idempotent,
+    "warehouse_widened": warehouse_widened,
     "category_revenue_clean": category_revenue_clean,
     "dq_orders_quantities": dq_orders_quantities,
     "dq_entities_exist": dq_entities_exist,
