@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -28,7 +29,8 @@ MARK = "▁"  # stands for a space
 # Kinds of pieces, and the kind of model, in a model file.
 NORMAL, BYTE, BPE = 1, 6, 2
 #: Texts cut at a time, in bytes, and cuts that are remembered; a cut beyond that length is not.
-SLICE_BYTES, REMEMBERED, LONG = 1 << 20, 1 << 18, 64
+SLICE_BYTES, REMEMBERED, LONG = 1 << 20, 1 << 19, 64
+NEVER = float("inf")
 
 
 def fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -94,7 +96,8 @@ class PieceModel:
 
     def __init__(self, proto: bytes):
         self.ids: dict[str, int] = {}
-        self.scores: list[float] = []
+        self.costs: dict[str, float] = {}
+        self.pieces = 0
         self.byte_ids = [-1] * 256
         trainer = normalizer = b""
         for number, value in fields(proto):
@@ -119,15 +122,17 @@ class PieceModel:
         self.replaced = re.compile("[" + "".join(map(re.escape, lengths)) + "]") if lengths else None
         apart = all(MARK not in piece.lstrip(MARK) for piece in self.ids)
         self.cuts = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if apart else "(?s:.+)")
+        self.neighbours = {piece[i - 1 : i + 1] for piece in self.ids for i in range(1, len(piece))}
         self.known: dict[str, tuple[bytes, bytes]] = {}
 
     def _add(self, piece: dict) -> None:
-        number, text, kind = len(self.scores), piece.get(1, b"").decode(), piece.get(3, NORMAL)
-        self.scores.append(float(np.frombuffer(piece.get(2, bytes(4)), "<f4")[0]))
+        number, text, kind = self.pieces, piece.get(1, b"").decode(), piece.get(3, NORMAL)
+        self.pieces += 1
         if kind == BYTE:
             self.byte_ids[int(text[3:5], 16)] = number
         elif kind == NORMAL:
             self.ids[text] = number
+            self.costs[text] = -float(np.frombuffer(piece.get(2, bytes(4)), "<f4")[0])
         elif kind > 3:
             raise ValueError("user-defined and unused pieces are not supported")
 
@@ -176,6 +181,26 @@ class PieceModel:
 
     def merge(self, text: str) -> list[str]:
         """The pieces of a text: the best pair of neighbours is merged first, the leftmost of equal ones."""
+        if len(text) > LONG:
+            return self._merge_long(text)
+        parts = list(text)
+        cost = self.costs.get
+        costs = [cost(left + right, NEVER) for left, right in zip(parts, parts[1:])]
+        while costs:
+            best = min(costs)
+            if best is NEVER:
+                break
+            at = costs.index(best)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del costs[at]
+            if at < len(costs):
+                costs[at] = cost(parts[at] + parts[at + 1], NEVER)
+            if at:
+                costs[at - 1] = cost(parts[at - 1] + parts[at], NEVER)
+        return parts
+
+    def _merge_long(self, text: str) -> list[str]:
+        """The same with a queue, for texts without a space in reach."""
         parts: list[str | None] = list(text)
         after = list(range(1, len(parts) + 1))
         before = list(range(-1, len(parts) - 1))
@@ -184,9 +209,8 @@ class PieceModel:
         def offer(left: int, right: int) -> None:
             if left >= 0 and right < len(parts):
                 pair = parts[left] + parts[right]
-                number = self.ids.get(pair)
-                if number is not None:
-                    heapq.heappush(queue, (-self.scores[number], left, right, pair))
+                if pair in self.costs:
+                    heapq.heappush(queue, (self.costs[pair], left, right, pair))
 
         for left in range(len(parts) - 1):
             offer(left, left + 1)
@@ -205,8 +229,14 @@ class PieceModel:
     def cut(self, text: str) -> tuple[bytes, bytes]:
         """Ids of the pieces and how many characters each has, as 32-bit integers.
 
-        A character without a piece becomes a piece per byte; the last of them has the character.
+        No merge crosses two characters that are neighbours in no piece, so a text is cut there first. A
+        character without a piece becomes a piece per byte; the last of them has the character.
         """
+        apart = [i for i in range(1, len(text)) if text[i - 1 : i + 1] not in self.neighbours]
+        if apart:
+            parts = [text[low:high] for low, high in zip([0, *apart], [*apart, len(text)])]
+            some = [self.known.get(part) or self.cut(part) for part in parts]
+            return self._remember(text, b"".join([ids for ids, _ in some]), b"".join([widths for _, widths in some]))
         ids, widths = [], []
         for piece in self.merge(text):
             number = self.ids.get(piece)
@@ -217,21 +247,23 @@ class PieceModel:
                 raw = piece.encode()
                 ids += [self.byte_ids[byte] for byte in raw]
                 widths += [0] * (len(raw) - 1) + [1]
-        found = np.array(ids, "<u4").tobytes(), np.array(widths, "<i4").tobytes()
+        return self._remember(text, array("I", ids).tobytes(), array("I", widths).tobytes())
+
+    def _remember(self, text: str, ids: bytes, widths: bytes) -> tuple[bytes, bytes]:
         if len(text) <= LONG:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
-            self.known[text] = found
-        return found
+            self.known[text] = ids, widths
+        return ids, widths
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids with begin and end, and the source bytes where each piece begins and ends."""
         normal, origin = self.normalize(text)
         known = self.known
         cuts = [known.get(part) or self.cut(part) for part in self.cuts.findall(normal)]
-        ids = np.frombuffer(b"".join([ids for ids, _ in cuts]), "<u4")
+        ids = np.frombuffer(b"".join([ids for ids, _ in cuts]), np.uint32)
         edges = np.zeros(len(ids) + 1, dtype=np.int64)
-        np.cumsum(np.frombuffer(b"".join([widths for _, widths in cuts]), "<i4"), out=edges[1:])
+        np.cumsum(np.frombuffer(b"".join([widths for _, widths in cuts]), np.uint32), out=edges[1:])
         spans = origin[edges]
         last = len(text.encode()) if not len(ids) else int(origin[-1])
         framed = np.concatenate([[self.begin], ids, [self.end]]).astype("<u4")
