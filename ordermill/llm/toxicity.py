@@ -3,13 +3,16 @@
 One model is of toxic texts, the other of ordinary ones. A word after another backs off to the word, the
 word to its stem, the first letters, and the stem to a distribution shared by both classes. As Kneser-Ney
 has it, words and stems are counted by the different words that they follow, so that a copied text counts
-once, and every level gives an absolute discount of its counts to the next one. The discount is what the
-shared counts make likely anyway: a class has an expression of its own only where it uses it clearly more
-often than both do together. So rare expressions get the same probability in both models, by way of
-the shared counts, and a rare word still has what is known of its stem.
-
-The evidence for a text is the difference of its two log-likelihoods, normalised by length. A logistic
-curve, fitted on labelled texts that were not counted, turns it into a score.
+once, and every level gives an absolute discount of its counts to the next one. The discount of an expression
+is the count that a class with ``ODDS`` times its odds would likely reach by chance, and one. So rare
+expressions, and those that both classes use, get the same probability in both models, by way of the shared
+counts, and a rare word still has what is known of its stem.
+
+The evidence for a text is the difference of its two log-likelihoods, each divided by the number of words.
+Both models end in the same shared distribution, which therefore cancels: probabilities are computed over
+it. A logistic curve turns the evidence into a score. Few texts have very much evidence, so it is a curve over
+the logarithm of the distance from the usual evidence. It is fitted on a third of the labelled texts, with models
+that have counted the others; the models that score have counted all of them.
 """
 
 from __future__ import annotations
@@ -28,11 +31,9 @@ from ordermill.llm.words import PUNCTUATED, Words, combine, words
 
 MOST_TRAINING_ROWS = 10_000
 #: One in so many training texts fits the logistic curve.
-FITTING_SHARE = 5
-#: The discount: so many times the expected count, so many of its standard deviations, and a count.
-EXPECTED, DEVIATIONS, DISCOUNT = 2.0, 2.0, 1.0
-#: Up to the first share of toxic words this discount holds, from the second on the one for balanced classes.
-LOPSIDED, BALANCED = 0.25, 0.3
+FITTING_SHARE = 3
+#: The discount: the expected count at so many times the odds, so many deviations above it, and a count.
+ODDS, DEVIATIONS, DISCOUNT = 4.0, 2.0, 1.0
 START = np.uint64(0x5851F42D4C957F2D)
 SIDES = ("ordinary", "toxic")
 COUNTS = "head long, word long, stem long, ordinary long, toxic long"
@@ -52,7 +53,7 @@ class Model(NamedTuple):
     pairs: Level
     heads: np.ndarray  # words before the pairs of that level
     head_rest: np.ndarray  # and what they leave to the next level, by class
-    curve: np.ndarray  # weights of the two evidences, and constant
+    curve: np.ndarray  # usual evidence, its spread, weight, and constant
     prior: float  # share of toxic texts
 
 
@@ -113,61 +114,56 @@ def evidence(model: Model, found: Words) -> np.ndarray:
 
 
 def evidences(model: Model, column: pa.Array) -> np.ndarray:
-    """Per text: evidence per word, evidence of own expressions per square root of words, words."""
-    usual = model.stems.rest * model.words.rest
-    usual = np.log(usual[1] / usual[0])
-    out = [np.zeros((0, 3))]
+    """Per text: difference of the two log-likelihoods per word, and words."""
+    out = [np.zeros((0, 2))]
     for found in words(column, separators=PUNCTUATED):
         at = found.text - found.first
         n = np.bincount(at, minlength=found.texts)
         total = np.bincount(at, evidence(model, found), found.texts)
-        some = np.maximum(n, 1)
-        out.append(np.stack([total / some, (total - n * usual) / np.sqrt(some), n], axis=1))
+        out.append(np.stack([total / np.maximum(n, 1), n], axis=1))
     return np.concatenate(out)
 
 
-def fit_curve(features: np.ndarray, toxic: np.ndarray, rounds: int = 50) -> np.ndarray:
-    """Logistic regression by Newton's method with a weak ridge; constant last."""
-    scale = np.maximum(features.std(axis=0), 1e-9)
-    x = np.column_stack([features / scale, np.ones(len(features))])
-    ridge = np.diag([0.1] * features.shape[1] + [1e-6])
-    w = np.zeros(x.shape[1])
+def compressed(found: np.ndarray, usual: float, spread: float) -> np.ndarray:
+    away = found - usual
+    return np.sign(away) * np.log1p(np.abs(away) / spread)
+
+
+def fit_curve(found: np.ndarray, toxic: np.ndarray, rounds: int = 50) -> np.ndarray:
+    """Logistic regression on the compressed evidence by Newton's method with a weak ridge."""
+    usual = float(np.median(found))
+    spread = max(float(np.median(np.abs(found - usual))), 1e-9)
+    feature = compressed(found, usual, spread)
+    scale = max(float(feature.std()), 1e-9)
+    x = np.column_stack([feature / scale, np.ones(len(feature))])
+    ridge = np.diag([0.1, 1e-6])
+    w = np.zeros(2)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve(x.T @ (x * (p * (1 - p) + 1e-9)[:, None]) + ridge, x.T @ (toxic - p) - ridge @ w)
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
-    return np.append(w[:-1] / scale, w[-1])
-
-
-def balance(toxic_share: float) -> float:
-    """How far the discount is that of balanced classes, 0 to 1."""
-    return float(np.interp(toxic_share, [LOPSIDED, BALANCED], [0.0, 1.0]))
+    return np.array([usual, spread, w[0] / scale, w[1]])
 
 
-def own_counts(df: DataFrame, totals: dict[str, Column], balanced: float) -> DataFrame:
+def own_counts(df: DataFrame, totals: dict[str, Column]) -> DataFrame:
     """Rows where a class has more than the discount, with ``extra`` and ``own`` count of each class.
 
-    ``totals`` are the counts of all expressions, by class, among which those of a row are shared out.
-    Twice a share of a half is more than a class can ever have. So between balanced classes the expected
-    count grows by half of what is left of the row at the most, and chance has its binomial deviation and is
-    not added to that: whichever is larger counts.
+    ``totals`` are the counts of all expressions, by class, among which those of a row are shared out. A class
+    that is alone, or has nothing, has no expression of its own.
     """
     both = F.col("ordinary") + F.col("toxic")
     whole = totals["ordinary"] + totals["toxic"]
     for side in SIDES:
-        expected = totals[side] * both / whole
-        lopsided = EXPECTED * expected + DEVIATIONS * F.sqrt(expected)
-        deviation = F.sqrt(F.greatest(expected * (1 - totals[side] / whole), F.lit(0.0)))
-        even = F.greatest(
-            F.least(EXPECTED * expected, (expected + both) / 2), expected + DEVIATIONS * deviation
-        )
-        own = F.col(side) - (1 - balanced) * lopsided - balanced * even - DISCOUNT
-        df = df.withColumn(f"own_{side}", F.greatest(own, F.lit(0.0)))
+        # The share that the class would have at the higher odds.
+        likely = F.try_divide(ODDS * totals[side], whole + (ODDS - 1) * totals[side])
+        deviation = F.sqrt(F.greatest(both * likely * (1 - likely), F.lit(0.0)))
+        own = F.col(side) - both * likely - DEVIATIONS * deviation - DISCOUNT
+        df = df.withColumn(f"own_{side}", F.coalesce(F.greatest(own, F.lit(0.0)), F.lit(0.0)))
     df = df.where("own_ordinary > 0 OR own_toxic > 0")
     for side in SIDES:
-        share = F.when(totals[side] > 0, F.col(f"own_{side}") / totals[side] * whole / both)
+        share = F.try_divide(F.col(f"own_{side}") * whole, totals[side] * both)
         df = df.withColumn(f"extra_{side}", F.coalesce(share, F.lit(0.0)))
     return df
 
@@ -194,13 +190,12 @@ def count_levels(sample: DataFrame) -> Model:
     by_word = written(pairs.groupBy("word").agg(F.first("stem").alias("stem"), *kinds), "toxicity-words")
     got = by_word.agg(*sums).first()
     totals = (got["ordinary"] or 0, got["toxic"] or 0)
-    balanced = balance(totals[1] / max(sum(totals), 1))
     fixed = {side: F.lit(float(total)) for side, total in zip(SIDES, totals)}
-    stems = as_level(own_counts(by_word.groupBy("stem").agg(*sums), fixed, balanced), "stem", totals)
-    single = as_level(own_counts(by_word, fixed, balanced), "word", totals)
+    stems = as_level(own_counts(by_word.groupBy("stem").agg(*sums), fixed), "stem", totals)
+    single = as_level(own_counts(by_word, fixed), "word", totals)
     heads = written(pairs.groupBy("head").agg(*[F.sum(side).alias(f"head_{side}") for side in SIDES]), "toxicity-heads")
     before = {side: F.col(f"head_{side}") for side in SIDES}
-    following = own_counts(pairs.join(heads, "head"), before, balanced).toArrow()
+    following = own_counts(pairs.join(heads, "head"), before).toArrow()
     head, word = (following.column(name).to_numpy().view(np.uint64) for name in ("head", "word"))
     key = combine(head, word)
     order = np.argsort(key)
@@ -210,7 +205,7 @@ def count_levels(sample: DataFrame) -> Model:
         following.column(f"own_{side}").to_numpy() / np.maximum(following.column(f"head_{side}").to_numpy(), 1) for side in SIDES
     ]
     rest = np.stack([1 - np.bincount(at, part, len(left)) for part in share], axis=1)
-    return Model(stems, single, Level(key[order], extra, np.ones(2)), left, rest, np.zeros(3), 0.5)
+    return Model(stems, single, Level(key[order], extra, np.ones(2)), left, rest, np.array([0.0, 1.0, 0.0, 0.0]), 0.5)
 
 
 def train(
@@ -245,14 +240,14 @@ def train(
     )
     both = sample.agg(F.sum("toxic"), F.count("toxic")).first()
     prior = both[0] / both[1] if both[1] else 0.5
-    model = count_levels(sample.where("not fits").select("text", "toxic"))._replace(prior=prior)
-    labelled = sample.where("fits").toArrow()
+    final = count_levels(sample.select("text", "toxic"))._replace(prior=prior)
+    labelled = sample.where("fits").toArrow()  # a part of the sample, which most_rows bounds
     toxic = labelled.column("toxic").to_numpy()
     if len(np.unique(toxic)) < 2:
-        return model._replace(curve=np.array([0.0, 0.0, np.log((prior + 1e-9) / (1 - prior + 1e-9))]))
-    features = evidences(model, labelled.column("text").combine_chunks())
-    with_words = features[:, 2] > 0
-    return model._replace(curve=fit_curve(features[with_words, :2], toxic[with_words]))
+        return final._replace(curve=np.array([0.0, 1.0, 0.0, np.log((prior + 1e-9) / (1 - prior + 1e-9))]))
+    model = count_levels(sample.where("not fits").select("text", "toxic"))
+    found, n = evidences(model, labelled.column("text").combine_chunks()).T
+    return final._replace(curve=fit_curve(found[n > 0], toxic[n > 0]))
 
 
 def score_texts(df: DataFrame, model: Model, text: str = "text", score: str = "toxicity") -> DataFrame:
@@ -270,9 +265,10 @@ def score_texts(df: DataFrame, model: Model, text: str = "text", score: str = "t
         known = shared.value
         for batch in batches:
             *others, bodies = batch.columns
-            features = evidences(known, bodies)
-            raw = features[:, :2] @ known.curve[:2] + known.curve[2]
-            scores = np.where(features[:, 2] > 0, 1 / (1 + np.exp(-np.clip(raw, -500, 500))), known.prior)
+            found, n = evidences(known, bodies).T
+            usual, spread, weight, constant = known.curve
+            raw = weight * compressed(found, usual, spread) + constant
+            scores = np.where(n > 0, 1 / (1 + np.exp(-np.clip(raw, -500, 500))), known.prior)
             yield pa.RecordBatch.from_arrays([*others, pa.array(scores)], names)
 
     columns = [F.col(f"`{name}`") for name in kept.columns]

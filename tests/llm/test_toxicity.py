@@ -11,7 +11,7 @@ from ordermill.llm.queries import QUERIES
 from ordermill.llm.toxicity import (
     DEVIATIONS,
     DISCOUNT,
-    EXPECTED,
+    ODDS,
     count_levels,
     evidence,
     held_out,
@@ -73,8 +73,9 @@ def test_levels_against_brute_force(spark):
 
     def own(counts, totals, x):
         both = counts[0][x] + counts[1][x]
-        expected = [t * both / sum(totals) for t in totals]
-        return [max(counts[s][x] - EXPECTED * expected[s] - DEVIATIONS * math.sqrt(expected[s]) - DISCOUNT, 0) for s in (0, 1)]
+        likely = [ODDS * t / (sum(totals) + (ODDS - 1) * t) for t in totals]
+        chance = [both * q + DEVIATIONS * math.sqrt(both * q * (1 - q)) for q in likely]
+        return [max(counts[s][x] - chance[s] - DISCOUNT, 0) for s in (0, 1)]
 
     def ratios(counts, totals, x, rest, below):
         both = counts[0][x] + counts[1][x]
@@ -107,7 +108,7 @@ def test_levels_against_brute_force(spark):
         assert np.allclose(evidence(model, found), expected)
 
 
-@pytest.mark.parametrize("share", [0.3, 0.5, 0.7])
+@pytest.mark.parametrize("share", [0.12, 0.3, 0.5, 0.7])
 def test_labels_of_any_balance(spark, share):
     """Rare toxic expressions are found and clean texts kept, however many labelled rows are toxic."""
     rng, rows = random.Random(11), []
