@@ -53,8 +53,42 @@ def enriched_preview(enriched: DataFrame, rows: int = 5) -> DataFrame:
     return enriched.orderBy("order_id").limit(rows)
 
 
-FROM_ENRICHED = {
-    "customers_revenue": customers_revenue,
-    "products_sales": products_sales,
-    "category_revenue": category_revenue,
+#: The keys of each total; its measures have other names in the table than in ``totals_in_one_pass``.
+TOTAL_KEYS = {
+    "customers_revenue": ("customer_id", "customer_name", "run_date"),
+    "products_sales": ("product_id", "product_name", "category", "run_date"),
+    "category_revenue": ("category", "run_date"),
 }
+
+
+def totals_in_one_pass(enriched: DataFrame) -> DataFrame:
+    """All rows of the three totals from one scan and one shuffle: ``table_name``, all keys and both sums.
+
+    Rows are told apart by their grouping, so a NULL key of a group is not mistaken for a key it does not have.
+    """
+    keys = list(dict.fromkeys(key for of in TOTAL_KEYS.values() for key in of))
+    # Bit i from the left of a grouping id says that key i is not one of the group.
+    name = F.when(F.lit(False), "")
+    for table, of in TOTAL_KEYS.items():
+        without = sum(1 << (len(keys) - 1 - i) for i, key in enumerate(keys) if key not in of)
+        name = name.when(F.grouping_id(*keys) == without, table)
+    return (
+        enriched.groupingSets([[F.col(key) for key in of] for of in TOTAL_KEYS.values()], *keys)
+        .agg(
+            name.alias("table_name"),
+            F.sum("order_quantity").alias("total_quantity_sold"),
+            F.sum("total_amount").alias("total_revenue"),
+        )
+        .select("table_name", *keys, "total_quantity_sold", "total_revenue")
+    )
+
+
+def total_of(totals: DataFrame, table: str) -> DataFrame:
+    """One of the three tables from the rows of all of them."""
+    rows = totals.where(F.col("table_name") == table)
+    measures = {
+        "customers_revenue": [F.col("total_revenue")],
+        "products_sales": [F.col("total_quantity_sold"), F.col("total_revenue")],
+        "category_revenue": [F.col("total_revenue").alias("category_revenue")],
+    }
+    return rows.select(*TOTAL_KEYS[table], *measures[table])

@@ -266,6 +266,20 @@ SELECTS = {
     "category_revenue": """
         SELECT category, run_date, CAST(category_revenue AS DOUBLE) AS category_revenue FROM category_revenue
     """,
+    "totals_in_one_pass": """
+        SELECT 'customers_revenue' AS table_name, customer_id, customer_name, NULL::VARCHAR AS product_id,
+               NULL::VARCHAR AS product_name, NULL::VARCHAR AS category, run_date,
+               sum(order_quantity) AS total_quantity_sold, CAST(sum(total_amount) AS DOUBLE) AS total_revenue
+        FROM enriched GROUP BY customer_id, customer_name, run_date
+        UNION ALL
+        SELECT 'products_sales', NULL, NULL, product_id, product_name, category, run_date, sum(order_quantity),
+               CAST(sum(total_amount) AS DOUBLE)
+        FROM enriched GROUP BY product_id, product_name, category, run_date
+        UNION ALL
+        SELECT 'category_revenue', NULL, NULL, NULL, NULL, category, run_date, sum(order_quantity),
+               CAST(sum(total_amount) AS DOUBLE)
+        FROM enriched GROUP BY category, run_date
+    """,
     "payments_summary": """
         SELECT run_date, payment_method, total_amount, total_count FROM payments_summary
     """,
@@ -343,6 +357,11 @@ SELECTS = {
         FROM product_pairs
     """,
     "dq_suite": SUITE,
+    "dq_suite_merged": SUITE,
+    "product_name_register": """
+        SELECT product_id, product_name, min(run_date) AS first_run, max(run_date) AS last_run
+        FROM enriched GROUP BY product_id, product_name
+    """,
     "dq_category_recon": """
         SELECT c.category, c.run_date, CAST(p.total AS DOUBLE) AS recomputed,
                CAST(c.category_revenue AS DOUBLE) AS stored, abs(p.total - c.category_revenue) <= 0.01 AS passed

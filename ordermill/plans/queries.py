@@ -28,7 +28,7 @@ from ordermill.plans.daily_run import (
 )
 from ordermill.plans.ledger import Ledger
 from ordermill.plans.scratch import scratch_dir
-from ordermill.quality import checks, reports
+from ordermill.quality import checks, reports, state
 from ordermill.quality.suite import check_suite
 from ordermill.schemas import PROCESSED, RAW, REQUIRED, WAREHOUSE
 from ordermill.sinks.partitions import run_counts, write_runs
@@ -186,6 +186,12 @@ def category_revenue(spark, sf_dir):
     return _as_double(aggregates.category_revenue(enriched), "category_revenue")
 
 
+def totals_in_one_pass(spark, sf_dir):
+    """The rows of all three totals from one scan of the enriched table."""
+    enriched = staged(spark, sf_dir).processed("orders_enriched")
+    return _as_double(aggregates.totals_in_one_pass(enriched), "total_revenue")
+
+
 def payments_summary(spark, sf_dir):
     return aggregates.payments_summary(staged(spark, sf_dir).raw("payments"))
 
@@ -372,6 +378,24 @@ def dq_suite(spark, sf_dir):
     return check_suite(*_loaded(spark, sf_dir, "orders_enriched", "customers_revenue", "products_sales"))
 
 
+def dq_suite_merged(spark, sf_dir):
+    """The same report over all runs, merged from what is stored per run: the second run is added to the first."""
+    run = staged(spark, sf_dir)
+    run.processed("orders_enriched")
+    places = new_places(spark, "merged")
+    for run_date in RUN_DATES:
+        load_warehouse(spark, run.places.processed, places.database, [run_date], location=places.database_location)
+        state.refresh(spark, places.database)
+    return state.check_all_runs(spark, places.database)
+
+
+def product_name_register(spark, sf_dir):
+    """Every name of a product with its first and last run."""
+    run = staged(spark, sf_dir)
+    run.warehouse("orders_enriched")
+    return state.name_register(spark, run.places.database)
+
+
 def dq_category_recon(spark, sf_dir):
     sums = reports.category_recon(*_loaded(spark, sf_dir, "category_revenue", "products_sales"))
     return _as_double(sums, "recomputed", "stored")
@@ -447,6 +471,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "customers_revenue": customers_revenue,
     "products_sales": products_sales,
     "category_revenue": category_revenue,
+    "totals_in_one_pass": totals_in_one_pass,
     "payments_summary": payments_summary,
     "processed_roundtrip": processed_roundtrip,
     "two_date_run": two_date_run,
@@ -468,6 +493,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_customer_recon": dq_customer_recon,
     "dq_product_recon": dq_product_recon,
     "dq_suite": dq_suite,
+    "dq_suite_merged": dq_suite_merged,
+    "product_name_register": product_name_register,
     "dq_category_recon": dq_category_recon,
     "dq_completeness": dq_completeness,
     "dq_type_format": dq_type_format,

@@ -54,6 +54,13 @@ CHECKS = [
 ]
 
 
+METRICS = [
+    "n_orders", "total_quantity", "duplicates", "n_customers", "missing", "orders_total", "customers_total",
+    "customer_recomputed", "customer_stored", "n_products", "name_conflicts", "products_total",
+    "quantity_recomputed", "quantity_stored", "revenue_recomputed", "revenue_stored",
+]
+
+
 def check_suite(
     enriched: DataFrame,
     customers_revenue: DataFrame,
@@ -67,7 +74,7 @@ def check_suite(
 
     ``expected`` is the bound: at most (1, 3 to 8) or at least (2) that value.
     """
-    metrics = _gather(
+    return report(
         [
             _by_order(enriched),
             _by_customer(enriched, customers_revenue),
@@ -75,11 +82,15 @@ def check_suite(
             *([] if product_names is None else [_name_conflicts(product_names)]),
         ]
     )
+
+
+def report(parts: list[DataFrame]) -> DataFrame:
+    """The rows of the report from one-row frames that have all ``METRICS`` between them."""
     rows = ", ".join(
         f"{number}, '{name}', CAST({measured} AS double), CAST({expected} AS double), coalesce({passed}, false)"
         for number, (name, measured, expected, passed) in enumerate(CHECKS, start=1)
     )
-    return metrics.selectExpr(f"stack({len(CHECKS)}, {rows}) AS (check_id, check_name, measured, expected, passed)")
+    return _gather(parts).selectExpr(f"stack({len(CHECKS)}, {rows}) AS (check_id, check_name, measured, expected, passed)")
 
 
 def assert_checks(report: DataFrame, verbose: bool = False) -> list[Row]:
@@ -110,7 +121,7 @@ def _by_order(enriched: DataFrame) -> DataFrame:
 
 def _by_customer(enriched: DataFrame, customers_revenue: DataFrame) -> DataFrame:
     keys = ["customer_id", "run_date"]
-    groups = _side_by_side(
+    groups = side_by_side(
         enriched.select(*keys, "total_amount", missing_key().alias("missing")),
         customers_revenue.select(*keys, "total_revenue"),
     )
@@ -121,7 +132,7 @@ def _by_customer(enriched: DataFrame, customers_revenue: DataFrame) -> DataFrame
         F.sum("total_revenue").alias("total_revenue"),
         F.count("in_stored").alias("stored_rows"),
     )
-    both = _joined(*keys)
+    both = joined_on_both(*keys)
     return per_run.agg(
         F.count_distinct(F.when(_ordered(), F.col("customer_id"))).alias("n_customers"),
         F.sum("missing").alias("missing"),
@@ -141,7 +152,7 @@ def _name_conflicts(product_names: DataFrame) -> DataFrame:
 
 def _by_product(enriched: DataFrame, products_sales: DataFrame, with_names: bool) -> DataFrame:
     keys = ["product_id", "run_date"]
-    groups = _side_by_side(
+    groups = side_by_side(
         enriched.select(*keys, "product_name", "order_quantity", "total_amount"),
         products_sales.select(*keys, "total_quantity_sold", "total_revenue"),
     )
@@ -160,7 +171,7 @@ def _by_product(enriched: DataFrame, products_sales: DataFrame, with_names: bool
         F.min("product_name").alias("low_name"),
         F.max("product_name").alias("high_name"),
     )
-    both = _joined(*keys)
+    both = joined_on_both(*keys)
     per_product = per_run.groupBy("product_id").agg(
         F.sum("order_rows").alias("order_rows"),
         F.min("low_name").alias("low_name"),
@@ -182,7 +193,7 @@ def _by_product(enriched: DataFrame, products_sales: DataFrame, with_names: bool
     )
 
 
-def _side_by_side(orders: DataFrame, stored: DataFrame) -> DataFrame:
+def side_by_side(orders: DataFrame, stored: DataFrame) -> DataFrame:
     """Order rows and stored rows in one frame, to be summed by key in one shuffle, without a join."""
     return orders.withColumn("in_orders", F.lit(1)).unionByName(
         stored.withColumn("in_stored", F.lit(1)), allowMissingColumns=True
@@ -193,7 +204,7 @@ def _ordered() -> Column:
     return F.col("order_rows") > 0
 
 
-def _joined(*keys: str) -> Column:
+def joined_on_both(*keys: str) -> Column:
     """Whether an equi-join of the two sides would give this key: on both, and no part NULL."""
     condition = _ordered() & (F.col("stored_rows") > 0)
     return reduce(Column.__and__, [F.col(key).isNotNull() for key in keys], condition)

@@ -31,6 +31,13 @@ class Files:
         status = system.getFileStatus(place)
         return status.getLen(), status.getModificationTime()
 
+    def stamps(self, folder: str | None) -> list[tuple[str, int, int]]:
+        """Name, length and modification time of the files in a folder that readers see."""
+        if folder is None:
+            return []
+        names = [name for name in self.names(folder) if name[0] not in "._"]
+        return [(name, *self.stamp(f"{folder}/{name}")) for name in names]
+
     def make_folder(self, path: str) -> None:
         system, place = self._at(path)
         system.mkdirs(place)

@@ -190,12 +190,17 @@ def _partition_place(spark: SparkSession, name: str, run: str) -> str:
     return _described(spark, f"TABLE EXTENDED {name} PARTITION ({BY_RUN} = '{run}')")
 
 
+def partition_places(spark: SparkSession, name: str) -> dict[str, str]:
+    """The runs of a table and where their files are."""
+    return {run: _partition_place(spark, name, run) for run in _runs(spark, name)}
+
+
 def _places(spark: SparkSession, name: str) -> list[str]:
     """Where the files of a table are: its own place and those of its partitions."""
     table = _described(spark, f"TABLE EXTENDED {name}")
     if BY_RUN not in spark.table(name).columns:
         return [table]
-    return [table, *[_partition_place(spark, name, run) for run in _runs(spark, name)]]
+    return [table, *partition_places(spark, name).values()]
 
 
 def _remove(spark: SparkSession, name: str, places: list[str]) -> None:

@@ -8,6 +8,8 @@ from ordermill.operators.aggregates import (
     enriched_preview,
     payments_summary,
     products_sales,
+    total_of,
+    totals_in_one_pass,
 )
 from ordermill.schemas import PROCESSED
 from ordermill.sources.star import RAW_BUILDERS
@@ -52,6 +54,16 @@ def test_products_sales(spark):
     )
 
 
+def test_all_totals_from_one_pass_equal_those_one_by_one(spark):
+    totals = totals_in_one_pass(enriched(spark, ROWS))
+    for build in (customers_revenue, products_sales, category_revenue):
+        one = total_of(totals, build.__name__)
+        assert one.columns == build(enriched(spark, ROWS)).columns
+        assert rows(one) == rows(build(enriched(spark, ROWS)))
+        assert dict(one.dtypes) == PROCESSED[build.__name__]
+    assert totals_in_one_pass(enriched(spark, [])).count() == 0
+
+
 def test_category_revenue_has_a_null_group(spark):
     got = category_revenue(enriched(spark, ROWS))
     assert dict(got.dtypes) == PROCESSED["category_revenue"]

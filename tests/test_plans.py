@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from ordermill.operators.aggregates import category_revenue, customers_revenue
+from ordermill.operators.aggregates import category_revenue, customers_revenue, totals_in_one_pass
 from ordermill.operators.clean import clean_customers, clean_orders, clean_products, dedup_first
 from ordermill.operators.enrich import enrich_orders
 from ordermill.plans.queries import QUERIES, RUN_DATES, staged
@@ -70,6 +70,11 @@ def test_totals_read_only_their_columns(spark):
     assert text.count("Exchange") == 1 and "partial_sum" in text
 
 
+def test_all_totals_need_one_scan_and_one_shuffle(spark):
+    text = plan(totals_in_one_pass(staged(spark, SF_DIR).processed("orders_enriched")))
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1 and "partial_sum" in text
+
+
 def test_joins_an_aggregate_does_not_need_are_removed(spark):
     df = enriched(spark)
     assert len(re.findall(r"Join \[", plan(category_revenue(df)))) == 1
