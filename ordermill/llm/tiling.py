@@ -1,7 +1,8 @@
 """Benchmark decontamination by greedy string tiling.
 
-Texts and benchmark items become word sequences. A document is compared with an item if they share a seed,
-a window of a few words. The two are then tiled: the longest common run of words not yet marked becomes a
+Texts and benchmark items become word sequences. A seed is a window of as many words as the least tile; an item
+that is shorter is one seed itself. A document is compared with an item if it has so many of the item's seeds as
+tiles that cover enough of it must have. The two are then tiled: the longest common run of words not yet marked becomes a
 tile, again and again, so that a passage is found whole, in pieces or with its parts in another order. The
 share of the item's words under tiles is its coverage; from a threshold on the document is contaminated.
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from ordermill.llm.common import ROW, written
-from ordermill.llm.words import PUNCTUATED, bounds, power_tables, words
+from ordermill.llm.words import PUNCTUATED, bounds, mix, power_tables, words
 
 LEAST_TILE = 5
 LEAST_COVERAGE = 0.5
@@ -95,36 +96,44 @@ def greedy_tiles(doc: np.ndarray, item: np.ndarray, least: int = LEAST_TILE) ->
         size = max(size // 2, least)
 
 
+def seed_hashes(sequence: np.ndarray, size: int, least: int) -> np.ndarray:
+    """Hashes of the seeds of ``size`` words; those shorter than the least tile differ from all others."""
+    found = window_hashes(sequence, size)
+    return found if size == least else mix(found + np.uint64(size))
+
+
 def seed_table(items: DataFrame, item_key: str, text: str, least: int) -> tuple[DataFrame, DataFrame]:
-    """Word sequences of the items, and their distinct seeds; both written."""
+    """Word sequences of the items, and their distinct seeds with the places that have them; both written."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for found in words(batch.column("text"), separators=PUNCTUATED):
                 edges = bounds(found)
                 rows = [found.hash[a:b] for a, b in zip(edges[:-1], edges[1:])]
-                seeds = [np.unique(window_hashes(row, least)).view(np.int64) for row in rows]
+                seeds = [np.unique(seed_hashes(row, min(least, len(row)), least), return_counts=True) if len(row) else () for row in rows]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("item").slice(found.first, found.texts),
                         pa.array([row.tobytes() for row in rows], pa.binary()),
-                        pa.array(seeds, pa.list_(pa.int64())),
+                        pa.array([[{"seed": a, "places": b} for a, b in zip(pair[0].view(np.int64), pair[1])] if pair else [] for pair in seeds], SEEDS),
+                        pa.array([len(row) for row in rows], pa.int64()),
                     ],
-                    ["item", "item_words", "seeds"],
+                    ["item", "item_words", "seeds", "length"],
                 )
 
     schema = StructType(
         [
             StructField("item", items.schema[item_key].dataType),
             StructField("item_words", BinaryType()),
-            StructField("seeds", ArrayType(LongType())),
+            StructField("seeds", ArrayType(StructType([StructField("seed", LongType()), StructField("places", LongType())]))),
+            StructField("length", LongType()),
         ]
     )
     source = items.select(F.col(f"`{item_key}`").alias("item"), F.col(f"`{text}`").cast("string").alias("text"))
     found = written(source.mapInArrow(read, schema).dropDuplicates(["item", "item_words"]), "benchmark-items")
     found = found.withColumn("item_number", F.xxhash64("item", "item_words"))
-    seeds = written(found.select("item_number", F.explode("seeds").alias("seed")), "benchmark-seeds")
-    return found.drop("seeds"), seeds
+    seeds = written(found.select("item_number", "length", F.inline("seeds")), "benchmark-seeds")
+    return found.drop("seeds", "length"), seeds
 
 
 def find_contaminated(
@@ -143,8 +152,8 @@ def find_contaminated(
     ``coverage``, ``n_tiles``, ``longest_tile`` and ``tiles`` (start in the document, start in the item,
     words). Words are runs of letters, digits and all that is not ASCII, A to Z in lower case.
 
-    Null and empty texts cover nothing. Items with fewer than ``least`` words have no seed and are never
-    found. Rows are compared one by one: equal rows each give their pairs, as do rows with a null or a
+    Null and empty texts cover nothing. Of items with fewer than ``least`` words the least tile is the whole
+    item, so they are found where all their words are, in a row. Items without words are never found. Rows are compared one by one: equal rows each give their pairs, as do rows with a null or a
     repeated key; an item given twice with one text counts once. Empty tables give an empty result. Other
     columns are not read.
     """
@@ -153,19 +162,26 @@ def find_contaminated(
     bitmap = np.zeros(FILTER_BITS, dtype=bool)
     bitmap[bits.toArrow().column("bit").to_numpy()] = True  # at most FILTER_BITS numbers
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bitmap, bitorder="little"))
+    short = seeds.where(F.col("length") < least).select("length").distinct().collect()  # fewer numbers than ``least``
+    sizes = [least, *sorted(row["length"] for row in short)]
 
     def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filled = np.unpackbits(shared.value, bitorder="little").view(bool)
         for batch in batches:
             for found in words(batch.column("text"), separators=PUNCTUATED):
-                grams = window_hashes(found.hash, least)
-                inside = found.text[: len(grams)] == found.text[least - 1 :]
-                hit = np.flatnonzero(inside & filled[grams & np.uint64(FILTER_BITS - 1)])
+                hits, seeds_hit = [], []
+                for size in sizes:
+                    grams = seed_hashes(found.hash, size, least)
+                    inside = found.text[: len(grams)] == found.text[size - 1 :][: len(grams)]
+                    hit = np.flatnonzero(inside & filled[grams & np.uint64(FILTER_BITS - 1)])
+                    hits.append(found.text[hit])
+                    seeds_hit.append(grams[hit])
+                hit, grams = np.concatenate(hits), np.concatenate(seeds_hit)
                 if not len(hit):
                     continue
-                edges = bounds(found)
-                rows, first = np.unique(found.text[hit], return_index=True)
-                seeds_of = [np.unique(part).view(np.int64) for part in np.split(grams[hit], first[1:])]
+                edges, order = bounds(found), np.argsort(hit, kind="stable")
+                rows, first = np.unique(hit[order], return_index=True)
+                seeds_of = [np.unique(part).view(np.int64) for part in np.split(grams[order], first[1:])]
                 texts = [found.hash[edges[row] : edges[row + 1]].tobytes() for row in rows - found.first]
                 at = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
@@ -193,10 +209,10 @@ def find_contaminated(
         source.mapInArrow(screen, screened).withColumn(ROW, F.monotonically_increasing_id()), "benchmark-hits"
     )
     # Written tables have known sizes: Spark broadcasts small ones and splits hot keys of the others.
-    pairs = written(
-        hits.select(ROW, F.explode("seeds").alias("seed")).join(seeds, "seed").select(ROW, "item_number").distinct(),
-        "benchmark-pairs",
-    )
+    shared_places = hits.select(ROW, F.explode("seeds").alias("seed")).join(seeds, "seed").groupBy(ROW, "item_number", "length")
+    # Tiles that cover enough begin at one place for every ``least`` covered words, at the very least.
+    pairs = shared_places.agg(F.sum("places").alias("places")).where(F.col("places") * least >= F.col("length") * coverage)
+    pairs = written(pairs.select(ROW, "item_number"), "benchmark-pairs")
     candidates = (
         pairs.join(hits.drop("seeds"), ROW).join(item_words, "item_number").select("key", "text_hash", "doc_words", "item", "item_words")
     )
@@ -206,7 +222,7 @@ def find_contaminated(
             kept, rows = [], []
             for row, (doc, item) in enumerate(zip(batch.column("doc_words"), batch.column("item_words"))):
                 item_hash = np.frombuffer(item.as_py(), dtype=np.uint64)
-                tiles = greedy_tiles(np.frombuffer(doc.as_py(), dtype=np.uint64), item_hash, least)
+                tiles = greedy_tiles(np.frombuffer(doc.as_py(), dtype=np.uint64), item_hash, min(least, len(item_hash)))
                 covered = sum(length for _, _, length in tiles)
                 if tiles and covered >= coverage * len(item_hash):
                     kept.append(row)
@@ -247,6 +263,7 @@ def find_contaminated(
     return matched.select(F.col("key").alias(key), "text_hash", F.col("item").alias(item_key), "match.*")
 
 
+SEEDS = pa.list_(pa.struct([("seed", pa.int64()), ("places", pa.int64())]))
 MATCH = [
     ("item_words", pa.int64()),
     ("covered_words", pa.int64()),

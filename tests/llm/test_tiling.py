@@ -118,3 +118,20 @@ def test_query_against_brute_force(spark):
         expected |= {(row.doc_id, item) for item, places in covered.items() if 2 * len(places) >= len(items[item])}
     rows = QUERIES["op10_greedy_string_tiling"](spark, SF).collect()
     assert {(r.doc_id, r.item_id) for r in rows} == expected and len(rows) == len(expected)
+
+
+def test_items_shorter_than_the_least_tile_are_found_whole(spark, documents):
+    items = spark.createDataFrame([(1, "Four words are here"), (2, "yes"), (3, "two words"), (4, "..."), (5, None)], ITEMS)
+    texts = [(1, "say four WORDS are, here and go"), (2, "four words are not here"), (3, "oh yes"), (4, "words two"), (5, "two, words"), (6, None)]
+    got = {(r.doc_id, r.item_id, r.covered_words, r.coverage) for r in find_contaminated(documents(texts), items).collect()}
+    assert got == {(1, 1, 4, 1.0), (3, 2, 1, 1.0), (5, 3, 2, 1.0)}
+    assert sorted(r.doc_id for r in decontaminate(documents(texts), items).collect()) == [2, 4, 6]
+
+
+def test_few_shared_seeds_are_not_tiled(spark, documents, monkeypatch):
+    """A common phrase in a long item cannot cover half of it, and what can is found all the same."""
+    long = [f"w{i}" for i in range(60)]
+    items = spark.createDataFrame([(1, " ".join(long)), (2, "w0 w1 w2 w3 w4 w5 w6 w7")], ITEMS)
+    texts = [(1, " ".join(long[:6])), (2, " ".join(long[30:] + ["x"] + long[:10])), (3, " ".join(long[0:5] + ["x"] + long[10:15]))]
+    got = {(r.doc_id, r.item_id, r.covered_words) for r in find_contaminated(documents(texts), items).collect()}
+    assert got == {(1, 2, 6), (2, 1, 40), (2, 2, 8), (3, 2, 5)}
