@@ -6,7 +6,7 @@ follows is a surge, where they fall to nothing is a dive; the text between is th
 
 Lines of menus, headers, footers, sidebars, notices, adverts, forms and reader comments have length 0,
 known by their element or by the words of its class, id or role. If a page marks its main part by
-``article`` or ``main``, lines outside have length 0, too, unless the text is clearly denser there.
+``article`` or ``main``, the marked parts that surge are its text, unless the text is clearly denser outside.
 """
 
 from __future__ import annotations
@@ -219,9 +219,14 @@ def spared_asides(lines: list[tuple[str, tuple[int, ...], int]], asides: list[As
     }
 
 
+def _blocks(length: list[int], window: int) -> list[int]:
+    """Text in the window that begins at each line."""
+    return [sum(length[i : i + window]) for i in range(len(length))]
+
+
 def dense_parts(length: list[int], window: int, surge: int) -> list[tuple[int, int]]:
     """Runs of lines from surge to dive."""
-    block = [sum(length[i : i + window]) for i in range(len(length))]
+    block = _blocks(length, window)
     if not any(block):
         return []
     # A page of short lines only still has its highest block.
@@ -245,18 +250,22 @@ def dense_parts(length: list[int], window: int, surge: int) -> list[tuple[int, i
 def main_lines(lines: list[Line], window: int = 3, surge: int = SURGE) -> list[str]:
     """Lines between surge and dive points of the line-block distribution.
 
-    On a page with a marked part these are its lines. Where a single dense run outside outweighs every
-    marked element, as on a page with articles as teasers only, they are the lines outside.
+    On a page with marked parts the distribution decides which of them are the text, those that surge, and
+    all their lines are; asides inside make no gap there. Where a single dense run outside outweighs every
+    marked part, as on a page with articles as teasers only, it is the lines outside between surge and dive, as
+    on a page without marks, where a run of asides is where the text may end.
     """
-    length = [0 if line.aside else len(line.text) for line in lines]
-    inside = [size if line.main else 0 for line, size in zip(lines, length)]
-    if any(inside):
-        outside = [0 if line.main else size for line, size in zip(lines, length)]
-        marked: dict[int, int] = {}
-        for line, size in zip(lines, inside):
-            marked[line.main] = marked.get(line.main, 0) + size
-        densest = max((sum(outside[a:b]) for a, b in dense_parts(outside, window, surge)), default=0)
-        length = outside if densest > OUTWEIGHS * max(surge, *marked.values()) else inside
+    marked: dict[int, list[int]] = {}
+    for line in lines:
+        if line.main and not line.aside:
+            marked.setdefault(line.main, []).append(len(line.text))
+    length = [0 if line.aside or line.main else len(line.text) for line in lines]
+    if marked:
+        densest = max((sum(length[a:b]) for a, b in dense_parts(length, window, surge)), default=0)
+        if densest <= OUTWEIGHS * max(surge, *map(sum, marked.values())):
+            highest = {number: max(_blocks(of, window)) for number, of in marked.items()}
+            threshold = min(surge, max(highest.values()))
+            return [line.text for line in lines if not line.aside and line.main and highest[line.main] >= threshold]
     return [
         line.text
         for start, end in dense_parts(length, window, surge)

@@ -99,9 +99,18 @@ def test_articles_as_teasers_do_not_bound_the_text():
     assert main_text(f"<article>{body}</article><div>{LONG}</div>") == "\n".join(f"{LONG} {n}" for n in range(4))
 
 
-def test_surge_and_dive_decide_inside_an_article():
-    page = f"<article><p>{LONG}</p>" + "<nav>x</nav>" * 3 + "<p>tail</p></article>"
-    assert main_lines(page_lines(page)) == [LONG]
+def test_asides_inside_a_marked_part_are_no_gap():
+    """Nothing of an article is dropped but its asides, however many there are and however short what follows is."""
+    asides = "<aside>Ad</aside><nav>x</nav><form><p>Name</p></form>"
+    assert main_text(f"<article><h1>T</h1><p>{LONG}</p>{asides}<p>Short close.</p></article>") == f"T\n{LONG}\nShort close."
+    page = f"<main><p>{LONG}</p>{asides * 3}<h2>Update</h2><p>More soon.</p></main><p>{LONG}</p>"
+    assert main_text(page) == f"{LONG}\nUpdate\nMore soon."
+
+
+def test_marked_parts_that_do_not_surge_are_not_the_text():
+    page = f"<article><p>{LONG}</p>" + "<nav>x</nav>" * 3 + "<p>tail</p></article><article><h3>Other</h3><p>Read on</p></article>"
+    assert main_text(page) == f"{LONG}\ntail"
+    assert main_text("<article>a</article><article>b c</article>") == "b c"
 
 
 def test_unclosed_unread_elements_do_not_end_the_page():
