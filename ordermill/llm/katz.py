@@ -382,6 +382,12 @@ def score(texts: pa.Table, answers: pa.Table, single: Unigrams, pairs: Discounts
     return pa.concat_tables(out)
 
 
+def summed(packets: DataFrame) -> list:
+    """The ``stats`` of all buckets, summed place by place; a few numbers, however many buckets there are."""
+    places = packets.select(F.posexplode("stats")).groupBy("pos").agg(F.sum("col").alias("total"))
+    return [row["total"] for row in places.orderBy("pos").collect()]
+
+
 def katz_scores(df: DataFrame, held: Column, key: str = "doc_id", text: str = "text", out: dict | None = None) -> DataFrame:
     """Per row: ``key``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
@@ -405,8 +411,7 @@ def katz_scores(df: DataFrame, held: Column, key: str = "doc_id", text: str = "t
         asked.groupBy("bucket").applyInArrow(lambda table: count_words(table, buckets), packets), "katz-words"
     )
     zeros = [0] * (REACH + 1)
-    totals = [row.stats for row in names.where("kind = 'unigrams'").select("stats").collect()]  # one row per bucket
-    single = unigrams(np.sum(totals, axis=0) if totals else [*zeros, 0, 0])
+    single = unigrams(summed(names.where("kind = 'unigrams'")) or [*zeros, 0, 0])
     starts = texts.select(F.sum(F.size(F.filter("held", lambda flag: ~flag)))).first()[0] or 0
     word_answers = names.where("kind = 'word'")
 
@@ -416,8 +421,7 @@ def katz_scores(df: DataFrame, held: Column, key: str = "doc_id", text: str = "t
     counted = written(
         pairs_asked.groupBy("bucket").applyInArrow(lambda table: count_pairs(table, single, buckets), packets), "katz-pairs"
     )
-    totals = [row.stats for row in counted.where("kind = 'bigrams'").select("stats").collect()]
-    pairs = good_turing(np.sum(totals, axis=0).tolist() if totals else zeros)
+    pairs = good_turing(summed(counted.where("kind = 'bigrams'")) or zeros)
 
     heads = counted.where("kind = 'head'")
     weights = written(
