@@ -26,6 +26,8 @@ from ordermill.llm.warc import read_archives, write_archives
 from ordermill.plans.scratch import scratch_dir
 
 SHARDS = 16
+#: Target weights of the sources that shall be more than the others, which have weight 1.
+MIX_WEIGHTS = {"src0": 4.0, "src1": 2.0, "src2": 0.5}
 TOKENIZER = os.environ.get("TOKENIZER_RANKS", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 PIECES_MODEL = os.environ.get("TOKENIZER_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 
@@ -106,8 +108,8 @@ def op8_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All sources to equal weights."""
-    return pfair_mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    """Three sources to other weights than the rest."""
+    return pfair_mix(table(spark, sf_dir, "documents").select("doc_id", "source"), MIX_WEIGHTS)
 
 
 def op10_greedy_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,3 +60,12 @@ def test_a_bounded_schedule_makes_blocks_larger(spark):
     for r in pfair_mix(df, block_rows=1, most_blocks=10).collect():
         blocks[r.mix_block] += 1
     assert set(blocks.values()) == {100}
+
+
+def test_very_small_and_very_uneven_weights_are_exact():
+    slots = pfair_slots([3, 2000], [1e-7, 1e-7 * 999])
+    first = [n for n, (i, _, _) in enumerate(slots) if i == 0]
+    assert len(first) == 3 and first[0] < 1000 <= first[1] + 1 and len(slots) == 2003
+    assert pfair_slots([2, 2], [1e-300, 1e-300]) == pfair_slots([2, 2], [1.0, 1.0])
+    many = pfair_slots([1 + i % 5 for i in range(300)], [1 + i % 7 for i in range(300)])
+    assert Counter(i for i, _, _ in many) == Counter({i: 1 + i % 5 for i in range(300)})
