@@ -56,6 +56,11 @@ class Model(NamedTuple):
     curve: np.ndarray  # usual evidence, its spread, weight, and constant
     prior: float  # share of toxic texts
 
+    @property
+    def tells_apart(self) -> bool:
+        """Whether there were texts of both kinds to learn from."""
+        return bool(self.curve[2])
+
 
 def held_out(key: Column, parts: int) -> Column:
     """One in ``parts`` rows, by the key as text. A null key is never held out."""

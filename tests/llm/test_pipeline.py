@@ -82,8 +82,16 @@ def test_slots_of_every_shard_hold_the_weights_although_one_source_is_hot(spark,
     docs = spark.read.parquet(f"{tmp_path}/documents")
     stages = dict(corpus_pipeline.STAGES)
     stages["mixing"](spark, docs, "").write.parquet(f"{tmp_path}/mixed")
+    files = sorted(str(path) for path in (tmp_path / "mixed").glob("part-*"))
+    mixed = [r.doc_id for file in files for r in spark.read.parquet(file).coalesce(1).collect()]
+    place = {doc_id: at for at, doc_id in enumerate(mixed)}
     out = stages["sharding"](spark, spark.read.parquet(f"{tmp_path}/mixed"), "").collect()
-    assert sorted(r.doc_id for r in out) == list(range(1920))
+    assert sorted(r.doc_id for r in out) == list(range(1920)) and len(files) > 1
+    # Of each source, the documents of a shard are in the order of the mix before.
+    for shard in range(16):
+        for source in ("hot", "a", "b"):
+            of = sorted((r.slot, place[r.doc_id]) for r in out if (r.shard, r.source) == (shard, source))
+            assert [at for _, at in of] == sorted(at for _, at in of)
     for shard in range(16):
         order = [r.source for r in sorted((r for r in out if r.shard == shard), key=lambda r: r.slot)]
         assert len(order) == 120
@@ -103,6 +111,31 @@ def test_empty_documents(spark, planted, tmp_path):
         assert stage(spark, docs, folder).count() == 0
 
 
+def test_repeated_rows_long_texts_and_clashing_columns(spark, planted, tmp_path):
+    folder, _, clean = planted
+    long = " ".join(f"long{i}" for i in range(50_000))
+    rows = [(i, " ".join(clean[i]), "en", "src0", 0) for i in range(20)] * 2 + [(50, long, "en", "src1", 0)]
+    df = spark.createDataFrame(rows, DOCUMENT)
+    for name in ("shard", "slot", "key", "label", "node", "number", "mix_position", "rank"):
+        df = df.selectExpr("*", f"'mine' AS {name}")
+    df.write.parquet(f"{tmp_path}/wide")
+    docs = spark.read.parquet(f"{tmp_path}/wide")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert sorted(out.columns) == sorted(docs.columns), name
+        assert out.count() == (21 if name == "near_duplicates" else 41), name
+
+
+def test_without_labels_and_without_benchmark(spark, planted, tmp_path):
+    folder, _, _ = planted
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 30")
+    stages = dict(corpus_pipeline.STAGES)
+    assert stages["decontamination"](spark, docs, str(tmp_path)).count() == 30
+    assert stages["toxicity"](spark, docs, str(tmp_path)).count() == 30
+
+
 def test_registered_and_near_brute_force(spark):
     """On the given tables: what is dropped is rejected as toxic, a five-word near copy, or a leak."""
     sf = "/root/testdata/sf0.001"
