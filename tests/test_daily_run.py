@@ -17,6 +17,7 @@ from ordermill.plans.daily_run import (
 )
 from ordermill.plans.ledger import Ledger
 from ordermill.plans.scratch import scratch_dir
+from ordermill.quality.state import refresh
 from ordermill.schemas import PROCESSED
 from ordermill.sinks.warehouse import load_table
 from ordermill.sources.runs import SchemaMismatch
@@ -148,6 +149,19 @@ def test_checks_read_their_runs_only(spark, tmp_path, places):
     assert [r.passed for r in validate_warehouse(spark, places.database).collect()] == [True] * 8
 
 
+def test_checking_all_runs_reads_those_that_changed(spark, tmp_path, places):
+    landing = tmp_path / "landing"
+    for run_date in (RUN, NEXT_RUN):
+        land(landing, run_date)
+        rows = run_daily(spark, landing_tables(spark, str(landing), [run_date]), places, [run_date], all_runs=True)
+        assert [r.passed for r in rows] == [True] * 8
+        assert refresh(spark, places.database) == []
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, validate_warehouse(spark, places.database).collect()))
+    load_warehouse(spark, places.processed, places.database, [RUN], "append")
+    with pytest.raises(AssertionError, match="Duplicate orders"):
+        run_daily(spark, landing_tables(spark, str(landing), [NEXT_RUN]), places, [NEXT_RUN], all_runs=True)
+
+
 def test_landing_files_that_differ_raise_before_ingest(spark, tmp_path):
     landing = tmp_path / "landing"
     land(landing, RUN)
