@@ -22,7 +22,7 @@ from ordermill.llm.sharding import shuffle_to_shards
 from ordermill.llm.tiling import find_contaminated
 from ordermill.llm.tokens import section_token_counts
 from ordermill.llm.toxicity import held_out, score_texts, train
-from ordermill.llm.warc import read_archives, write_archives
+from ordermill.llm.warc import read_archives, resolved, write_archives
 from ordermill.plans.scratch import scratch_dir
 
 SHARDS = 16
@@ -82,8 +82,9 @@ def op5_line_block_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_zstd_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages; archives with fewer than 16 records or 32 KB are written without a dictionary frame."""
     manifest = write_archives(table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
-    return read_archives(manifest, with_payload=False).select(
+    return resolved(read_archives(manifest, with_payload=False)).select(
         F.col("key").cast("bigint").alias("page_id"),
         "payload_bytes",
         "payload_digest",

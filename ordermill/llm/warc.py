@@ -323,3 +323,19 @@ def read_archives(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
     # The manifest is small; its archives are spread over the tasks by name.
     tasks = manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")
     return manifest.repartition(int(tasks), "archive").mapInArrow(read, RECORDS)
+
+
+def resolved(records: DataFrame) -> DataFrame:
+    """The records as they are; a revisit whose response is not among them, with its key and digest, raises.
+
+    A response may be in any archive of the set, so this needs all of its records. They are written without
+    their payloads first, and the archives are read once.
+    """
+    narrow = written(records.drop("payload"), "warc-records")
+    responses = narrow.where("record_type = 'response'").select(
+        F.col("key").alias("refers_to"), "payload_digest", F.lit(True).alias("found")
+    )
+    joined = narrow.join(responses.distinct(), ["refers_to", "payload_digest"], "left")
+    lost = F.concat(F.lit("no response "), "refers_to", F.lit(" for the revisit "), F.coalesce("key", F.lit("without key")))
+    sound = F.when((F.col("record_type") == "revisit") & F.col("found").isNull(), F.raise_error(lost).cast("boolean"))
+    return joined.where(F.coalesce(sound, F.lit(True))).select(*narrow.columns)

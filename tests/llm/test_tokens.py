@@ -80,3 +80,12 @@ def test_nulls_repeats_and_empty(spark, documents):
 def test_a_missing_tokenizer_raises(spark, documents, missing):
     with pytest.raises(Exception, match="nowhere"):
         section_token_counts(documents(["a"]), missing).collect()
+
+
+def test_a_very_long_text(spark):
+    """A line of a million characters, and many short lines."""
+    text = "word " * 200_000 + "\n" + "x\n" * 50_000
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    rows = section_token_counts(df, TOKENIZER).collect()
+    assert len(rows) >= 50_001 and sum(r.n_chars for r in rows) == len(text)
+    assert sum(r.n_tokens for r in rows) == len(token_spans(text, TOKENIZER)[0])

@@ -16,6 +16,7 @@ from ordermill.llm.warc import (
     parse_record,
     read_archives,
     read_frames,
+    resolved,
     write_archives,
 )
 
@@ -127,3 +128,23 @@ def test_reading_names_archive_and_offset(spark, tmp_path):
     manifest = spark.createDataFrame([(f"file://{path}", 2, 1)], "archive string, n_records long, n_bytes long")
     with pytest.raises(Exception, match="bad.warc.zst at [1-9]"):
         read_archives(manifest).collect()
+
+
+def test_a_revisit_needs_its_response(spark, tmp_path):
+    rows = [(i, "u", "<p>same</p>" if i % 2 else f"<p>{i}</p>") for i in range(20)]
+    df = spark.createDataFrame(rows, PAGES).repartition(4)
+    records = read_archives(write_archives(df, f"file://{tmp_path}/warc"))
+    whole = resolved(records)
+    assert "payload" not in whole.columns and whole.count() == 20
+    lost = records.where("key <> '19'")
+    with pytest.raises(Exception, match="no response 19 for the revisit"):
+        resolved(lost).collect()
+    assert resolved(records.where("record_type = 'response'")).count() == 11 and resolved(records.limit(0)).count() == 0
+
+
+def test_clashing_columns_are_not_read(spark, tmp_path):
+    df = spark.createDataFrame([(1, "u", "<p>a</p>"), (2, None, None)], PAGES)
+    for name in ("key", "payload", "digest", "last_key", "refers_to", "archive"):
+        df = df.selectExpr("*", f"'mine' AS {name}")
+    got = read_archives(write_archives(df, f"file://{tmp_path}/wide")).collect()
+    assert sorted((r.key, r.payload) for r in got) == [("1", b"<p>a</p>"), ("2", b"")]
