@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.plans.scratch import scratch_dir
+from ordermill.sinks.files import Files
 
 # Added to the rows of an input table; not a name that a user would give a column.
 ROW = "__row"
@@ -23,7 +24,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.written_to = path
+    return back
+
+
+def release(*frames: DataFrame) -> None:
+    """Remove what ``written`` has written, once nothing reads it any more."""
+    for df in frames:
+        Files(df.sparkSession).delete(df.written_to)
 
 
 def numbered(df: DataFrame, label: str) -> DataFrame:

@@ -12,7 +12,7 @@ def components(links: DataFrame) -> DataFrame:
     """Smallest reachable id (``component``) of every ``id`` that occurs in ``links`` (``a``, ``b``).
 
     In each round a vertex learns the smallest label of its neighbours, tells it to the vertex that it has
-    as label, and takes over the label of that one. Labels are joined and reduced by key with partial
+    as label, and takes over the label that this one had. Labels are joined and reduced by key with partial
     aggregation, so a vertex with very many links costs no task more than its share.
     """
     both = written(
@@ -32,12 +32,10 @@ def components(links: DataFrame) -> DataFrame:
             F.explode(F.array(F.struct("id", "near"), F.struct(F.col("label").alias("id"), "near"))).alias("told")
         )
         best = told.select("told.*").groupBy("id").agg(F.min("near").alias("near"))
-        moved = labels.join(best, "id", "left").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        moved = written(moved, "labels")
-        above = moved.select(F.col("id").alias("label"), F.col("label").alias("upper"))
-        labels = written(
-            moved.join(above, "label").select("id", F.least("label", "upper").alias("label"), "old"), "labels"
-        )
+        above = labels.select(F.col("id").alias("label"), F.col("label").alias("upper"))
+        least = F.least("label", "near", "upper")
+        moved = labels.join(best, "id", "left").join(above, "label").select("id", least.alias("label"), F.col("label").alias("old"))
+        labels = written(moved, "labels")
         if labels.where("label <> old").isEmpty():
             return labels.select("id", F.col("label").alias("component"))
         labels = labels.drop("old")

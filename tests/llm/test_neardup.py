@@ -55,9 +55,9 @@ def varied(seed, groups, copies, words=80, vocabulary=60, edits=6):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize(("seed", "size", "crowded", "most_ids"), [(1, 2, 16, 1 << 17), (2, 2, 2, 0), (3, 5, 2, 1 << 17)])
+@pytest.mark.parametrize(("seed", "size", "crowded", "most_ids"), [(1, 2, 2048, 1 << 17), (2, 2, 2, 0), (3, 5, 2, 1 << 17)])
 def test_same_classes_as_all_pairs(spark, documents, monkeypatch, seed, size, crowded, most_ids):
-    monkeypatch.setattr(neardup, "CROWDED_NODE", crowded)
+    monkeypatch.setattr(neardup, "CROWDED_PAIRS", crowded)
     monkeypatch.setattr(neardup, "BROADCAST_IDS", most_ids)
     texts = varied(seed, 12, 8)
     assert found(documents(texts), size) == brute(texts, size)
@@ -105,6 +105,54 @@ def test_one_row_of_each_class_stays(spark, documents):
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 3, 4]
 
 
+def test_rows_of_one_key_are_told_apart(spark, documents):
+    """A row goes only if its own text is a near copy of one that stays."""
+    texts = [(1, "a real text of some words"), (1, ""), (2, "a real text of some words"), (7, "alone here"), (7, "alone here"), (7, "else")]
+    kept = sorted((r.doc_id, r.text) for r in keep_one_of_each(documents(texts, extra=True)).collect())
+    assert kept == [(1, ""), (1, "a real text of some words"), (7, "alone here"), (7, "else")]
+    assert keep_one_of_each(documents(texts).limit(0)).count() == 0
+
+
+def dense(seed, outsiders, copies, words=120):
+    """Copies of one text with a few words changed, some with more: many pairs are similar and not linked."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(words)]
+    texts = []
+    for i in range(copies + outsiders):
+        text = list(base)
+        for at in rng.sample(range(words), rng.randrange(3, 9) if i < copies else rng.randrange(10, 16)):
+            text[at] = f"x{i}y{at}"
+        texts.append(" ".join(text))
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def test_a_dense_group_costs_its_size(spark, documents, monkeypatch):
+    """Labels settle most pairs: far fewer than all are compared, and the classes are those of all pairs."""
+    texts = dense(6, 60, 240)
+    compared = []
+    original = neardup.confirmed
+
+    def counted(pairs, source):
+        compared.append(pairs.count())
+        return original(pairs, source)
+
+    monkeypatch.setattr(neardup, "confirmed", counted)
+    monkeypatch.setattr(neardup, "TILE", 50)
+    assert found(documents(texts), 2) == brute(texts, 2)
+    assert sum(compared) < 300 * 299 / 2 / 5
+
+
+def test_tiles_compare_as_all_pairs_do(spark):
+    rng = random.Random(8)
+    sets = {i: sorted(rng.sample(range(40), rng.randrange(1, 30))) for i in range(30)}
+    texts = [(i, " ".join(f"w{n}" for n in s)) for i, s in sets.items()]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    pairs = spark.createDataFrame([(b, a) for a, b in combinations(sets, 2)], "a long, b long")
+    got = {tuple(r) for r in neardup.confirmed(pairs, neardup.Source(df, "doc_id", "text", 1, 50)).collect()}
+    assert got == {(b, a) for a, b in combinations(sets, 2) if 2 * len({*sets[a]} & {*sets[b]}) >= len({*sets[a]} | {*sets[b]})}
+
+
 def test_recall_is_planned_for_pairs_at_the_threshold():
     depth, trees = plan_trees(10**9, 0.8, 0.9999)
     assert missed(0.8, depth + 2) ** trees <= 1e-4 and missed(0.8, 3) < missed(0.8, 6) and missed(1.0, 9) == 0
