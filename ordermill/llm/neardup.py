@@ -48,7 +48,7 @@ BACKGROUND, SMALL_NODE = 0.05, 16
 #: Turns of pivots of the commonest label, before nodes are compared.
 PIVOT_TURNS = 2
 #: A node is compared exhaustively if that takes so many sketch comparisons for each of its documents at most.
-PAIRS_EACH = 1024
+PAIRS_EACH = 8192
 MORE_LEVELS = 12
 #: The first trees are planned for so many levels of them; for deeper ones further trees are started.
 PLANNED_LEVELS = 2
