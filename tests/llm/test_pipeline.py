@@ -81,7 +81,9 @@ def test_slots_of_every_shard_hold_the_weights_although_one_source_is_hot(spark,
     spark.createDataFrame(rows, DOCUMENT).repartition(5).write.parquet(f"{tmp_path}/documents")
     docs = spark.read.parquet(f"{tmp_path}/documents")
     stages = dict(corpus_pipeline.STAGES)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files
     stages["mixing"](spark, docs, "").write.parquet(f"{tmp_path}/mixed")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     files = sorted(str(path) for path in (tmp_path / "mixed").glob("part-*"))
     mixed = [r.doc_id for file in files for r in spark.read.parquet(file).coalesce(1).collect()]
     place = {doc_id: at for at, doc_id in enumerate(mixed)}
