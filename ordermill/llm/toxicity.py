@@ -137,7 +137,8 @@ def compressed(found: np.ndarray, usual: float, spread: float) -> np.ndarray:
 def fit_curve(found: np.ndarray, toxic: np.ndarray, rounds: int = 50) -> np.ndarray:
     """Logistic regression on the compressed evidence by Newton's method with a weak ridge."""
     usual = float(np.median(found))
-    spread = max(float(np.median(np.abs(found - usual))), 1e-9)
+    # Where most texts have the very same evidence, a share of the deviation of all.
+    spread = max(float(np.median(np.abs(found - usual))), float(found.std()) / 20, 1e-9)
     feature = compressed(found, usual, spread)
     scale = max(float(feature.std()), 1e-9)
     x = np.column_stack([feature / scale, np.ones(len(feature))])
@@ -252,7 +253,13 @@ def train(
         return final._replace(curve=np.array([0.0, 1.0, 0.0, np.log((prior + 1e-9) / (1 - prior + 1e-9))]))
     model = count_levels(sample.where("not fits").select("text", "toxic"))
     found, n = evidences(model, labelled.column("text").combine_chunks()).T
-    return final._replace(curve=fit_curve(found[n > 0], toxic[n > 0]))
+    if len(np.unique(toxic[n > 0])) < 2:
+        return final._replace(curve=np.array([0.0, 1.0, 0.0, np.log((prior + 1e-9) / (1 - prior + 1e-9))]))
+    curve = fit_curve(found[n > 0], toxic[n > 0])
+    # What is usual is another value under the models that score.
+    again, _ = evidences(final, labelled.column("text").combine_chunks()).T
+    curve[0] = np.median(again[n > 0])
+    return final._replace(curve=curve)
 
 
 def score_texts(df: DataFrame, model: Model, text: str = "text", score: str = "toxicity") -> DataFrame:
