@@ -85,8 +85,10 @@ def process_runs(spark: SparkSession, raw: str, processed: str, run_dates: Seque
     stored = read_runs(spark, processed, "orders_enriched", run_dates, PROCESSED["orders_enriched"])
     # Written by table, so that each of them reads its own rows only.
     place = scratch_dir(spark, "totals")
-    totals_in_one_pass(stored).write.partitionBy("table_name").parquet(place)
-    totals = spark.read.parquet(place)
+    all_totals = totals_in_one_pass(stored)
+    all_totals.write.partitionBy("table_name").parquet(place)
+    # Runs without orders leave no file that has the columns.
+    totals = spark.read.schema(all_totals.schema).parquet(place)
     run_together(
         spark, [partial(write_runs, total_of(totals, table), processed, table, run_dates) for table in TOTAL_KEYS]
     )

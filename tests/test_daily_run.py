@@ -7,11 +7,13 @@ from frames import DAY, NEXT_RUN, RUN
 from ordermill.__main__ import main
 from ordermill.plans.daily_run import (
     Places,
+    _of_runs,
     _raise_failed,
     differing_totals,
     ingest_raw,
     landing_tables,
     load_warehouse,
+    process_runs,
     run_daily,
     validate_warehouse,
 )
@@ -20,7 +22,7 @@ from ordermill.plans.scratch import scratch_dir
 from ordermill.quality.state import refresh
 from ordermill.schemas import PROCESSED
 from ordermill.sinks.warehouse import load_table
-from ordermill.sources.runs import SchemaMismatch
+from ordermill.sources.runs import SchemaMismatch, read_runs
 
 
 def land(root, run_date, suffix=""):
@@ -125,6 +127,20 @@ def test_a_rerun_without_orders_leaves_none_and_fails_the_checks(spark, tmp_path
     assert left == {NEXT_RUN}
 
 
+def test_runs_without_orders_have_empty_totals_with_their_columns(spark, tmp_path):
+    landing, raw, processed = (str(tmp_path / name) for name in ("landing", "raw", "processed"))
+    both = [RUN, NEXT_RUN]
+    for run_date in both:
+        land(tmp_path / "landing", run_date)
+    tables = landing_tables(spark, landing, both)
+    for runs in (both, [RUN]):
+        ingest_raw(spark, _of_runs(tables, runs) | {"orders": _of_runs(tables, runs)["orders"].limit(0)}, raw, runs)
+        process_runs(spark, raw, processed, runs)
+        for table in ("orders_enriched", "customers_revenue", "products_sales", "category_revenue"):
+            stored = read_runs(spark, processed, table, runs)
+            assert stored.count() == 0 and dict(stored.dtypes) == PROCESSED[table]
+
+
 def test_failed_totals_come_with_the_rows_that_differ(spark, tmp_path, places):
     land(tmp_path / "landing", RUN)
     run_daily(spark, landing_tables(spark, str(tmp_path / "landing"), [RUN]), places, [RUN])
