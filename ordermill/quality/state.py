@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ordermill.plans.ledger import digest
 from ordermill.quality.checks import missing_key, paired
 from ordermill.quality.suite import METRICS, joined_on_both, report, side_by_side
+from ordermill.session import bound_tasks
 from ordermill.sinks.files import Files
 from ordermill.sinks.warehouse import load_table, partition_places
 
@@ -32,22 +33,21 @@ ADDED = [
 
 def run_sums(enriched: DataFrame, customers_revenue: DataFrame, products_sales: DataFrame) -> DataFrame:
     """A row per run: everything that the checks need and that adds up, and the bounds of its order ids."""
-    orders = enriched.groupBy("run_date", "order_id").agg(
-        F.count("*").alias("copies"),
-        F.sum("order_quantity").alias("quantity"),
-        F.sum("total_amount").alias("amount"),
-        F.count_if(missing_key()).alias("missing"),
-    )
-    per_run = orders.groupBy("run_date").agg(
+    # Only the ids are shuffled; what needs no grouping by id is summed in the scan.
+    ids = enriched.groupBy("run_date", "order_id").agg(F.count("*").alias("copies"))
+    ids_per_run = ids.groupBy("run_date").agg(
         F.count("order_id").alias("n_orders"),
-        F.sum("quantity").alias("total_quantity"),
         F.count_if(F.col("copies") > 1).alias("duplicates"),
         F.min("order_id").alias("first_order"),
         F.max("order_id").alias("last_order"),
         F.count_if(F.col("order_id").isNull()).alias("without_id"),
-        F.sum("missing").alias("missing"),
-        F.sum("amount").alias("orders_total"),
     )
+    sums_per_run = enriched.groupBy("run_date").agg(
+        F.sum("order_quantity").alias("total_quantity"),
+        F.count_if(missing_key()).alias("missing"),
+        F.sum("total_amount").alias("orders_total"),
+    )
+    per_run = ids_per_run.join(sums_per_run, "run_date", "full")
     customers = _reconciled(
         enriched, customers_revenue, "customer_id",
         {"total_amount": ("total_revenue", "customer_recomputed", "customer_stored")}, "customers_total",
@@ -96,6 +96,7 @@ def refresh(spark: SparkSession, database: str) -> list[str]:
     changed = [run for run in runs if known.get(run) != prints[run]]
     if not changed:
         return []
+    bound_tasks(spark)
     enriched, customers, products = (_of_runs(spark, database, table, changed) for table in CHECKED)
     # The sums come last: without their fingerprint the run is read again.
     load_table(enriched.select("customer_id", "run_date").distinct(), database, CUSTOMERS, changed)

@@ -4,9 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-PARTITION_BYTES = 128 * 1024**2
+#: Bytes of input files for which shuffles begin with one more partition; shuffled rows are about twice as large.
+PARTITION_BYTES = 8 * 1024**2
+#: Most bytes that a task is given of files or of shuffled rows. Sorted in memory they are 10 to 20 times as many.
+TASK_BYTES = 16 * 1024**2
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+#: Settings that bound the memory of a task, whatever the size of the input.
+BOUNDED = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+#: A few open files per task spare a sort by run_date before a partitioned write.
+WRITERS, OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters", 16
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -14,18 +21,36 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Merged partitions, and so files, get about this size where there is enough for every core.
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
-    # A few open files per task spare a sort by run_date before a partitioned write.
-    "spark.sql.maxConcurrentOutputFileWriters": "16",
+    **dict.fromkeys(BOUNDED, str(TASK_BYTES)),
+    WRITERS: str(OPEN_FILES),
 }
 
 
+def bound_tasks(spark: SparkSession) -> None:
+    """Let no task be given more than ``TASK_BYTES``, and write by run without a sort, in any session.
+
+    A sort then fits into the memory of a task instead of being spilled. Lower sizes and more writers that
+    are already set stay.
+    """
+    for name in BOUNDED:
+        known = spark.conf.get(name)
+        if _bytes(spark, known) > TASK_BYTES:
+            spark.conf.set(name, str(TASK_BYTES))
+    if int(spark.conf.get(WRITERS)) < OPEN_FILES:
+        spark.conf.set(WRITERS, str(OPEN_FILES))
+
+
+def _bytes(spark: SparkSession, size: str) -> int:
+    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size))
+
+
 def size_shuffles(spark: SparkSession, *frames: DataFrame) -> int:
     """Raise the number of partitions that shuffles begin with to what the frames need; returns it.
 
     Their sizes are Spark's own estimates, from the files. Adaptive execution then merges small
-    partitions. A larger number that is already set stays.
+    partitions. A larger number that is already set stays. What a task is given is bounded, too.
     """
+    bound_tasks(spark)
     estimated = sum(_estimated_bytes(df) for df in frames)
     needed = -(-estimated // PARTITION_BYTES)
     known = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")

@@ -98,3 +98,10 @@ def test_the_name_register_follows_reloads(spark, database):
     load(spark, database, rows_of(NEXT_RUN), [NEXT_RUN])
     assert ("P001", "Book 1", RUN, NEXT_RUN) in register() and len(register()) == 3
     assert same_report(spark, database)[3]
+
+
+def test_only_ids_are_shuffled_by_order(spark):
+    orders = enriched(spark, rows_of(RUN))
+    text = state.run_sums(orders, customers_revenue(orders), products_sales(orders))._jdf.queryExecution().optimizedPlan().toString()
+    by_id = [line for line in text.splitlines() if "Aggregate [run_date" in line and "order_id" in line.partition("],")[0]]
+    assert by_id and not any("sum(" in line for line in by_id)
