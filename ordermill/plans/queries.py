@@ -31,6 +31,8 @@ from ordermill.plans.scratch import scratch_dir
 from ordermill.quality import checks, reports, state
 from ordermill.quality.suite import check_suite
 from ordermill.schemas import PROCESSED, RAW, REQUIRED, WAREHOUSE
+from ordermill.session import size_shuffles
+from ordermill.sinks.files import CODEC
 from ordermill.sinks.partitions import run_counts, write_runs
 from ordermill.sinks.warehouse import ensure_database, load_table
 from ordermill.sources.runs import read_runs
@@ -106,7 +108,9 @@ def new_places(spark: SparkSession, label: str) -> Places:
 
 def _raw(table: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark, sf_dir):
-        return RAW_BUILDERS[table](spark, sf_dir, RUN_DATES)
+        df = RAW_BUILDERS[table](spark, sf_dir, RUN_DATES)
+        size_shuffles(spark, df)
+        return df
 
     return query
 
@@ -447,7 +451,7 @@ def dq_anomaly_report(spark, sf_dir):
         F.sum("order_quantity").alias("total_quantity_sold"), F.sum("total_amount").alias("total_revenue")
     )
     root = scratch_dir(spark, "copies")
-    by_all.write.parquet(root)
+    by_all.write.parquet(root, compression=CODEC)
     by_all = spark.read.parquet(root)
     found = reports.anomaly_report(
         run.warehouse("orders_enriched"), by_all, by_all, by_all.withColumnRenamed("total_revenue", "category_revenue")

@@ -7,6 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
+#: Codec of the files written here: a quarter to a third smaller than Spark's default, and as fast to read.
+CODEC = "zstd"
+
 
 @dataclass(frozen=True)
 class Files:

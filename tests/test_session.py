@@ -1,8 +1,11 @@
 import os
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
-from ordermill.session import INITIAL_PARTITIONS, size_shuffles
+from ordermill.session import BOUNDED, INITIAL_PARTITIONS, OPEN_FILES, TASK_BYTES, WRITERS, size_shuffles
+from ordermill.sinks.partitions import write_runs
 
 LINES = "/root/testdata/sf0.001/lineitem.parquet"
 
@@ -32,3 +35,33 @@ def test_a_large_input_gets_its_partitions_in_the_plan(spark, monkeypatch, resto
     wanted = size_shuffles(spark, lines)
     plan = lines.groupBy("l_orderkey").count()._jdf.queryExecution().executedPlan().toString()
     assert wanted > 100 and f", {wanted})" in plan
+
+
+def test_tasks_are_bounded_in_any_session(spark):
+    names = [*BOUNDED, WRITERS]
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        spark.conf.set(BOUNDED[0], "128m")
+        spark.conf.set(BOUNDED[1], "1m")
+        spark.conf.set(WRITERS, "0")
+        lines = spark.read.parquet(LINES)
+        size_shuffles(spark, lines)
+        # Lower sizes stay.
+        assert [spark.conf.get(name) for name in names] == [str(TASK_BYTES), "1m", str(OPEN_FILES)]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_files_written_by_run_are_packed_tighter(spark, tmp_path):
+    known = spark.conf.get(WRITERS)
+    try:
+        spark.conf.set(WRITERS, "0")
+        lines = spark.read.parquet(LINES).select("l_orderkey", F.expr("concat('2025-12-0', l_orderkey % 2 + 1)").alias("run_date"))
+        size_shuffles(spark, lines)
+        write_runs(lines, str(tmp_path), "lines", ["2025-12-01", "2025-12-02"])
+    finally:
+        spark.conf.set(WRITERS, known)
+    (file, *_) = (tmp_path / "lines" / "run_date=2025-12-01").glob("*.parquet")
+    assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
+    assert spark.read.parquet(str(tmp_path / "lines")).count() == lines.count()
