@@ -14,6 +14,8 @@ INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 BOUNDED = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
 #: A few open files per task spare a sort by run_date before a partitioned write.
 WRITERS, OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters", 16
+#: Rows in memory are many times the size of their files, by which Spark chooses what to broadcast.
+PACKED, PACKED_FACTOR = "spark.sql.sources.fileCompressionFactor", 8
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -23,14 +25,16 @@ SETTINGS = {
     # Merged partitions, and so files, get about this size where there is enough for every core.
     **dict.fromkeys(BOUNDED, str(TASK_BYTES)),
     WRITERS: str(OPEN_FILES),
+    PACKED: str(PACKED_FACTOR),
 }
 
 
 def bound_tasks(spark: SparkSession) -> None:
     """Let no task be given more than ``TASK_BYTES``, and write by run without a sort, in any session.
 
-    A sort then fits into the memory of a task instead of being spilled. Lower sizes and more writers that
-    are already set stay.
+    A sort then fits into the memory of a task instead of being spilled. Spark plans a broadcast by the size of
+    files, and adaptive execution does not take it back where that would need another shuffle; so files count
+    as what they unpack to. Lower sizes, more writers and a larger factor that are already set stay.
     """
     for name in BOUNDED:
         known = spark.conf.get(name)
@@ -38,6 +42,8 @@ def bound_tasks(spark: SparkSession) -> None:
             spark.conf.set(name, str(TASK_BYTES))
     if int(spark.conf.get(WRITERS)) < OPEN_FILES:
         spark.conf.set(WRITERS, str(OPEN_FILES))
+    if float(spark.conf.get(PACKED)) < PACKED_FACTOR:
+        spark.conf.set(PACKED, str(PACKED_FACTOR))
 
 
 def _bytes(spark: SparkSession, size: str) -> int:
@@ -60,9 +66,10 @@ def size_shuffles(spark: SparkSession, *frames: DataFrame) -> int:
 
 
 def _estimated_bytes(df: DataFrame) -> int:
-    """Bytes of all that the frame reads; Spark's estimate of a join itself is a product of its sides."""
+    """Bytes of all files that the frame reads; Spark's estimate of a join itself is a product of its sides."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.length()))
+    unpacked = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.length()))
+    return int(unpacked / float(df.sparkSession.conf.get(PACKED)))
 
 
 def build_session(

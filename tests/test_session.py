@@ -4,7 +4,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from ordermill.session import BOUNDED, INITIAL_PARTITIONS, OPEN_FILES, TASK_BYTES, WRITERS, size_shuffles
+from ordermill.session import BOUNDED, INITIAL_PARTITIONS, OPEN_FILES, PACKED, PACKED_FACTOR, TASK_BYTES, WRITERS, size_shuffles
 from ordermill.sinks.partitions import write_runs
 
 LINES = "/root/testdata/sf0.001/lineitem.parquet"
@@ -38,17 +38,23 @@ def test_a_large_input_gets_its_partitions_in_the_plan(spark, monkeypatch, resto
 
 
 def test_tasks_are_bounded_in_any_session(spark):
-    names = [*BOUNDED, WRITERS]
+    names = [*BOUNDED, WRITERS, PACKED]
     before = {name: spark.conf.get(name) for name in names}
     try:
         spark.conf.set(BOUNDED[0], "128m")
         spark.conf.set(BOUNDED[1], "1m")
         spark.conf.set(WRITERS, "0")
+        spark.conf.set(PACKED, "1.0")
         lines = spark.read.parquet(LINES)
         size_shuffles(spark, lines)
         # Lower sizes stay.
-        assert [spark.conf.get(name) for name in names] == [str(TASK_BYTES), "1m", str(OPEN_FILES)]
+        assert [spark.conf.get(name) for name in names] == [str(TASK_BYTES), "1m", str(OPEN_FILES), str(PACKED_FACTOR)]
+        # Files that unpack to more than the threshold are not broadcast.
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(4 * os.path.getsize(LINES)))
+        plan = lines.join(spark.read.parquet(LINES), "l_orderkey")._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" not in plan
     finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for name, value in before.items():
             spark.conf.set(name, value)
 
