@@ -21,7 +21,7 @@ from ordermill.quality.state import check_all_runs
 from ordermill.quality.suite import assert_checks, check_suite
 from ordermill.schemas import PROCESSED, RAW, REQUIRED, WAREHOUSE
 from ordermill.session import bound_tasks, size_shuffles
-from ordermill.sinks.files import CODEC, Files
+from ordermill.sinks.files import WRITTEN, Files
 from ordermill.sinks.partitions import run_counts, write_runs
 from ordermill.sinks.warehouse import ensure_database, load_table, rebuild_category_revenue_clean
 from ordermill.sources.runs import checked_runs, read_runs
@@ -86,7 +86,7 @@ def process_runs(spark: SparkSession, raw: str, processed: str, run_dates: Seque
     # Written by table, so that each of them reads its own rows only.
     place = scratch_dir(spark, "totals")
     all_totals = totals_in_one_pass(stored)
-    all_totals.write.partitionBy("table_name").parquet(place, compression=CODEC)
+    all_totals.write.options(**WRITTEN).partitionBy("table_name").parquet(place)
     # Runs without orders leave no file that has the columns.
     totals = spark.read.schema(all_totals.schema).parquet(place)
     run_together(

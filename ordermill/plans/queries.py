@@ -31,8 +31,8 @@ from ordermill.plans.scratch import scratch_dir
 from ordermill.quality import checks, reports, state
 from ordermill.quality.suite import check_suite
 from ordermill.schemas import PROCESSED, RAW, REQUIRED, WAREHOUSE
-from ordermill.session import size_shuffles
-from ordermill.sinks.files import CODEC
+from ordermill.session import bound_tasks, size_shuffles
+from ordermill.sinks.files import WRITTEN
 from ordermill.sinks.partitions import run_counts, write_runs
 from ordermill.sinks.warehouse import ensure_database, load_table
 from ordermill.sources.runs import read_runs
@@ -75,16 +75,22 @@ class Staged:
 
     def raw(self, table: str) -> DataFrame:
         self._up_to(1)
-        return read_runs(self.spark, self.places.raw, table, RUN_DATES, RAW[table])
+        return self._sized(read_runs(self.spark, self.places.raw, table, RUN_DATES, RAW[table]))
 
     def processed(self, table: str) -> DataFrame:
         self._up_to(2)
-        return read_runs(self.spark, self.places.processed, table, RUN_DATES, PROCESSED[table])
+        return self._sized(read_runs(self.spark, self.places.processed, table, RUN_DATES, PROCESSED[table]))
 
     def warehouse(self, table: str) -> DataFrame:
         self._up_to(3)
+        bound_tasks(self.spark)  # The size of a table is not in the catalog.
         return self.spark.table(f"{self.places.database}.{table}")
 
+    def _sized(self, df: DataFrame) -> DataFrame:
+        """The settings that bound a task may be gone again since the step that wrote the files."""
+        size_shuffles(self.spark, df)
+        return df
+
 
 _staged: dict[tuple[str, str], Staged] = {}
 
@@ -451,7 +457,7 @@ def dq_anomaly_report(spark, sf_dir):
         F.sum("order_quantity").alias("total_quantity_sold"), F.sum("total_amount").alias("total_revenue")
     )
     root = scratch_dir(spark, "copies")
-    by_all.write.parquet(root, compression=CODEC)
+    by_all.write.options(**WRITTEN).parquet(root)
     by_all = spark.read.parquet(root)
     found = reports.anomaly_report(
         run.warehouse("orders_enriched"), by_all, by_all, by_all.withColumnRenamed("total_revenue", "category_revenue")

@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.sinks.files import CODEC, Files
+from ordermill.sinks.files import WRITTEN, Files
 
 STAGED, COMMITS, REPLACED = "_staged", "_commits", "_replaced"
 
@@ -62,10 +62,10 @@ def stage(df: DataFrame, place: str, run_dates: Sequence[str], one_file_each: bo
     files, spark = Files(df.sparkSession), df.sparkSession
     if len(set(run_dates)) == 1:
         # No partition column to sort or group by.
-        df.drop("run_date").write.parquet(f"{place}/run_date={run_dates[0]}", compression=CODEC)
+        df.drop("run_date").write.options(**WRITTEN).parquet(f"{place}/run_date={run_dates[0]}")
         return
     rows = df.hint("rebalance", "run_date") if one_file_each else df
-    rows.write.partitionBy("run_date").parquet(place, compression=CODEC)
+    rows.write.options(**WRITTEN).partitionBy("run_date").parquet(place)
     empty = sorted({f"run_date={run_date}" for run_date in run_dates} - set(files.names(place)))
     if empty:
         spark.createDataFrame([], df.drop("run_date").schema).coalesce(1).write.parquet(f"{place}/_none")

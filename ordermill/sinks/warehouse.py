@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 
 from ordermill.functions.money import safe_double
 from ordermill.sinks.columns import match_columns
-from ordermill.sinks.files import CODEC, Files
+from ordermill.sinks.files import WRITTEN, Files
 from ordermill.sinks.partitions import only_runs
 
 MODES = ("append", "truncate", "reload")
@@ -131,8 +131,8 @@ def settle(spark: SparkSession, name: str) -> None:
 def _write(df: DataFrame, database: str, table: str) -> str:
     """Rows by run, if they have one, in a new folder of the table; returns the folder."""
     place = f"{_database_place(df.sparkSession, database)}/_loads/{table}/{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(BY_RUN) if BY_RUN in df.columns else df.write
-    writer.parquet(place, compression=CODEC)
+    writer = df.write.options(**WRITTEN)
+    (writer.partitionBy(BY_RUN) if BY_RUN in df.columns else writer).parquet(place)
     return place
 
 
