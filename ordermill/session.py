@@ -10,6 +10,9 @@ PARTITION_BYTES = 8 * 1024**2
 TASK_BYTES = 16 * 1024**2
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+#: Only where Spark merges partitions does it begin with the initial number; else every shuffle has the plain one.
+MERGES = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.coalescePartitions.enabled")
 #: Settings that bound the memory of a task, whatever the size of the input.
 BOUNDED = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
 #: A few open files per task spare a sort by run_date before a partitioned write.
@@ -54,14 +57,16 @@ def size_shuffles(spark: SparkSession, *frames: DataFrame) -> int:
     """Raise the number of partitions that shuffles begin with to what the frames need; returns it.
 
     Their sizes are Spark's own estimates, from the files. Adaptive execution then merges small
-    partitions. A larger number that is already set stays. What a task is given is bounded, too.
+    partitions; in a session that does not, all shuffles get that number. A larger number that is already set
+    stays. What a task is given is bounded, too.
     """
     bound_tasks(spark)
     estimated = sum(_estimated_bytes(df) for df in frames)
     needed = -(-estimated // PARTITION_BYTES)
-    known = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    merges = all(spark.conf.get(name) == "true" for name in MERGES)
+    known = merges and spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get(SHUFFLE_PARTITIONS)
     if needed > int(known):
-        spark.conf.set(INITIAL_PARTITIONS, str(needed))
+        spark.conf.set(INITIAL_PARTITIONS if merges else SHUFFLE_PARTITIONS, str(needed))
     return max(needed, int(known))
 
 

@@ -4,7 +4,20 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from ordermill.session import BOUNDED, INITIAL_PARTITIONS, OPEN_FILES, PACKED, PACKED_FACTOR, TASK_BYTES, WRITERS, size_shuffles
+from ordermill.plans.queries import staged
+from ordermill.session import (
+    BOUNDED,
+    INITIAL_PARTITIONS,
+    MERGES,
+    OPEN_FILES,
+    PACKED,
+    PACKED_FACTOR,
+    SHUFFLE_PARTITIONS,
+    TASK_BYTES,
+    WRITERS,
+    size_shuffles,
+)
+from ordermill.sinks.files import FILE_ROWS
 from ordermill.sinks.partitions import write_runs
 
 LINES = "/root/testdata/sf0.001/lineitem.parquet"
@@ -71,3 +84,45 @@ def test_files_written_by_run_are_packed_tighter(spark, tmp_path):
     (file, *_) = (tmp_path / "lines" / "run_date=2025-12-01").glob("*.parquet")
     assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
     assert spark.read.parquet(str(tmp_path / "lines")).count() == lines.count()
+
+
+def test_shuffles_are_sized_where_partitions_are_not_merged(spark, monkeypatch, restored):
+    monkeypatch.setattr("ordermill.session.PARTITION_BYTES", 1000)
+    lines = spark.read.parquet(LINES)
+    for off in MERGES:
+        known = spark.conf.get(SHUFFLE_PARTITIONS)
+        try:
+            spark.conf.set(off, "false")
+            wanted = size_shuffles(spark, lines)
+            plan = lines.groupBy("l_orderkey").count()._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set(off, "true")
+            spark.conf.set(SHUFFLE_PARTITIONS, known)
+        assert wanted > 100 and f", {wanted})" in plan
+
+
+def test_tasks_are_bounded_again_for_tables_written_before(spark):
+    run = staged(spark, "/root/testdata/sf0.001")
+    run.warehouse("orders_enriched")
+    known = spark.conf.get(BOUNDED[0])
+    try:
+        for read in (run.raw, run.processed, run.warehouse):
+            spark.conf.set(BOUNDED[0], "128m")
+            read("orders" if read == run.raw else "orders_enriched")
+            assert spark.conf.get(BOUNDED[0]) == str(TASK_BYTES)
+        assert int(spark.conf.get(INITIAL_PARTITIONS, None) or 0) < 1000  # not by a size that the catalog lacks
+    finally:
+        spark.conf.set(BOUNDED[0], known)
+
+
+def test_files_have_no_dictionary_of_ids_and_a_bounded_number_of_rows(spark, tmp_path):
+    n = 2 * FILE_ROWS + 10
+    rows = spark.range(n).coalesce(1).select(
+        F.concat(F.lit("O"), "id").alias("order_id"), F.lit("FRANCE").alias("country"), F.lit("2025-12-01").alias("run_date")
+    )
+    write_runs(rows, str(tmp_path), "orders", ["2025-12-01"])
+    files = [pq.ParquetFile(file).metadata for file in (tmp_path / "orders" / "run_date=2025-12-01").glob("*.parquet")]
+    assert sum(file.num_rows for file in files) == n and max(file.num_rows for file in files) <= FILE_ROWS
+    encodings = [[set(file.row_group(0).column(i).encodings) for i in range(2)] for file in files]
+    assert not any("DICTIONARY" in name for ids, _ in encodings for name in ids)
+    assert all(any("DICTIONARY" in name for name in countries) for _, countries in encodings)
