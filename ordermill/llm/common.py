@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ordermill.plans.scratch import scratch_dir
 from ordermill.sinks.files import Files
 
+#: Whether Spark removes the shuffle files of a query as soon as it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Added to the rows of an input table; not a name that a user would give a column.
 ROW = "__row"
 
@@ -20,10 +23,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """The frame written to the shared folder and read back.
 
     That cuts its lineage: what follows survives the loss of an executor without computing it again,
-    sees the same rows in every retry, and Spark knows its size.
+    sees the same rows in every retry, and Spark knows its size. Nothing reads the shuffle files of the write
+    after it, so they go at once, not when the driver happens to collect garbage.
     """
-    path = scratch_dir(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    path, conf = scratch_dir(df.sparkSession, label), df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back.written_to = path
     return back

@@ -28,7 +28,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
@@ -61,6 +61,9 @@ PAIRS_SCREENED = 1 << 20
 #: Hashes computed at a time, in bytes; they fit a core's cache.
 BLOCK_BYTES = 1 << 18
 
+#: What ``mixed_nodes`` says of a node.
+OF_NODE = ("major", "leaf", "crowded")
+
 SALT = np.uint64(0x2545F4914F6CDD1D)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 SEEDS = mix(np.arange(1, 2 * FINE_BITS + 1, dtype=np.uint64) * STEP)
@@ -243,29 +246,47 @@ def confirmed(pairs: DataFrame, source: Source) -> DataFrame:
     """The pairs (``a``, ``b``) whose full sets are similar.
 
     Documents are dealt into parts of about ``TILE``, and a pair of parts is a tile: a set goes to each tile
-    that has a pair of it, where it is compared with as many others as the pairs say.
+    that has a pair of it, where it is compared with as many others as the pairs say. Documents of one group of
+    pairs go to one part, so that a set travels about once, however many parts there are.
     """
     pairs = written(pairs, "pairs")
-    ids = written(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
+    ids = written(grouped(pairs), "ids")
     documents = ids.count()
     if not documents:
         return pairs
     parts = -(-documents // TILE)
-    part = lambda name: F.pmod(F.xxhash64(F.lit("tile"), name), F.lit(parts))
-    tiled = pairs.withColumn("tile", part("a") * parts + part("b"))
+    part = F.pmod(F.xxhash64(F.lit("tile"), "home", "piece"), F.lit(parts))
+    of_a, of_b = (ids.select(F.col("id").alias(name), part.alias(f"part_{name}")) for name in ("a", "b"))
+    placed = pairs.join(of_a, "a").join(of_b, "b")
+    tiled = written(placed.select("a", "b", (F.col("part_a") * parts + F.col("part_b")).alias("tile")), "tiles")
     needed = tiled.select("tile", F.col("a").alias("key")).union(tiled.select("tile", F.col("b").alias("key"))).distinct()
     none = F.lit(None)
     kind = source.df.schema[source.key].dataType
-    sets = needed.join(source.sets(ids), "key").select("tile", "key", "tokens", none.cast(kind).alias("b"))
+    sets = needed.join(source.sets(ids.select("id")), "key").select("tile", "key", "tokens", none.cast(kind).alias("b"))
     asked = tiled.select("tile", F.col("a").alias("key"), none.cast("array<long>").alias("tokens"), "b")
     dealt = sets.union(asked).repartition("tile").sortWithinPartitions("tile", F.col("b").asc_nulls_first())
     schema = StructType([StructField("a", kind), StructField("b", kind)])
     percent = source.percent
     links = written(dealt.mapInArrow(lambda batches: compare_tiles(batches, percent), schema), "links")
-    release(pairs, ids)
+    release(pairs, ids, tiled)
     return links
 
 
+def grouped(pairs: DataFrame) -> DataFrame:
+    """Per ``id`` in the pairs: ``home``, a small id near it, and the ``piece`` of about ``TILE`` of those with that home.
+
+    The home is the smallest id within two steps, which is the same for all around one document and for most of a
+    dense group. It only says which documents are dealt together.
+    """
+    both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("a"), F.min("b")).alias("near"))
+    reached = both.join(near.withColumnRenamed("id", "b"), "b")
+    homes = reached.groupBy(F.col("a").alias("id")).agg(F.least(F.min("a"), F.min("near")).alias("home"))
+    pieces = homes.groupBy("home").agg(F.ceil(F.count("home") / TILE).alias("pieces"))
+    piece = F.pmod(F.xxhash64(F.lit("piece"), "id"), "pieces")
+    return homes.join(pieces, "home").select("id", "home", piece.alias("piece"))
+
+
 def compare_tiles(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Similar pairs from the sets of each tile, which come first, and its pairs."""
     tile, sets = None, {}
@@ -349,6 +370,14 @@ def mixed_nodes(members: DataFrame) -> DataFrame:
     )
 
 
+def in_mixed_nodes(members: DataFrame) -> DataFrame:
+    """The members of nodes with different labels, with what ``mixed_nodes`` says of the node.
+
+    Labels only ever merge, so what is in other nodes only has nothing left to be compared with.
+    """
+    return members.join(mixed_nodes(members), "node")
+
+
 def fine_sketches(sets: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -545,45 +574,47 @@ def near_duplicates(
         .agg(F.min("key").alias("rep"), *[F.first(c).alias(c) for c in ("mark", "nodes")]),
         "sets",
     )
-    # Dealt by node once, for the count and for what is kept; most rows end here, the sketches join what is left.
-    everyone = reps.select("rep", F.explode("nodes").alias("node")).repartition("node")
-    shared = everyone.join(everyone.groupBy("node").count().where("count > 1").drop("count"), "node")
+    # Dealt by node once, counted and left out there; most rows end here, the sketches join what is left.
+    everyone = reps.select("rep", F.explode("nodes").alias("node"))
+    here = F.count("*").over(Window.partitionBy("node"))
+    shared = everyone.withColumn("here", here).where("here > 1").drop("here")
     first = written(shared.join(reps.select("rep", "n", "mark", F.col("rep").alias("label")), "rep"), "nodes")
+    # The nodes and sketches of every row are most of what is written; only the members of shared nodes need them now.
+    of_row = written(scanned.join(reps.select(*set_id, "rep"), set_id, "left").select("key", "n", "rep"), "rows")
+    release(scanned, reps)
     kind = df.schema[key].dataType
     none = df.sparkSession.createDataFrame([], StructType([StructField("a", kind), StructField("b", kind)]))
     links, members = link_to_pivots(first, first, none, source)
     if members is not first:
         release(first)
     for level in range(MORE_LEVELS + 1):
-        mixed = written(mixed_nodes(members), "nodes")
-        if mixed.isEmpty():
+        unsettled = written(in_mixed_nodes(members), "nodes")
+        release(members)
+        if unsettled.isEmpty():
             break
         # Those of the commonest label in a node have what most others may be linked to.
         for turn in range(1, PIVOT_TURNS + 1):
-            major = members.join(mixed.select("node", "major"), "node").where("label = major")
-            links, again = link_to_pivots(members, major, links, source, turn)
+            members = unsettled.drop(*OF_NODE)
+            links, again = link_to_pivots(members, unsettled.where("label = major"), links, source, turn)
             if again is members:
                 break
-            release(members, mixed)
-            members, mixed = again, written(mixed_nodes(again), "nodes")
-        unsettled = written(members.join(mixed, "node"), "nodes")
-        release(members, mixed)
+            settled, unsettled = unsettled, written(in_mixed_nodes(again), "nodes")
+            release(settled, again)
         # On the last level there is nothing left to tell the documents of a node apart by.
         leaves = unsettled if level == MORE_LEVELS else unsettled.where("leaf")
         links = links.union(confirmed(node_pairs(leaves, source), source))
-        larger = unsettled.where("not leaf").drop("major", "leaf", "crowded")
+        larger = unsettled.where("not leaf").drop(*OF_NODE)
         if level == MORE_LEVELS or larger.isEmpty():
+            release(unsettled)
             break
         # A pair that is not settled yet is in these nodes with both documents, or has parted in all trees so far.
         deeper, begun = math.ceil(depth) + level + 1, trees
         trees = max(trees, trees_for(similarity, target_recall, deeper))
         members = labelled(branch(larger, source, similarity, begun, trees, deeper), links)
+        release(unsettled)
 
-    classes = components(links).withColumnRenamed("id", "rep")
-    of_set = reps.select(*set_id, "rep").join(classes, "rep", "left")
-    of_set = of_set.select(*set_id, F.coalesce("component", "rep").alias("class"))
-    found = scanned.select("key", *set_id).join(of_set, set_id, "left")
-    component = F.when(F.col("key").isNotNull(), F.coalesce("class", "key"))
+    found = of_row.join(components(links).withColumnRenamed("id", "rep"), "rep", "left")
+    component = F.when(F.col("key").isNotNull(), F.coalesce("component", "rep", "key"))
     return found.select(
         F.col("key").alias(key),
         F.col("n").alias("n_shingles"),

@@ -182,3 +182,58 @@ def test_recall_where_crowded_nodes_branch_on(spark, monkeypatch):
     found = neardup.near_duplicates(df, shingle_words=1, target_recall=0.66).collect()
     linked = sum(r.component_id != r.doc_id for r in found)
     assert linked >= 0.66 * 300
+
+
+def test_a_set_travels_once_however_many_parts_there_are(spark, monkeypatch):
+    """Small groups of pairs are compared in one tile each, a large one in pieces; no link is lost."""
+    monkeypatch.setattr(neardup, "TILE", 10)
+    groups = [range(12 * g, 12 * g + 6) for g in range(40)] + [range(1000, 1035)]
+    texts = [(i, f"a b c d e f g h i{g} j own{i}") for g, ids in enumerate(groups) for i in ids]
+    pairs = [(b, a) for ids in groups for a, b in combinations(ids, 2)]
+    rows = spark.createDataFrame(pairs, "a long, b long")
+    dealt = {r.id: (r.home, r.piece) for r in neardup.grouped(rows).collect()}
+    assert all(len({dealt[i] for i in ids}) == 1 for ids in groups[:-1])
+    assert {dealt[i][0] for i in groups[-1]} == {1000} and len({dealt[i] for i in groups[-1]}) == 4
+    sent = []
+    original = neardup.written
+
+    def watched(df, label):
+        back = original(df, label)
+        if label == "tiles":
+            tiles = back.select("tile", "a").union(back.select("tile", "b")).distinct()
+            sent.append(tiles.join(spark.createDataFrame([(i,) for ids in groups[:-1] for i in ids], "a long"), "a").count())
+        return back
+
+    monkeypatch.setattr(neardup, "written", watched)
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {tuple(r) for r in neardup.confirmed(rows, neardup.Source(df, "doc_id", "text", 1, 80)).collect()}
+    assert got == set(pairs)
+    assert sent == [240]
+
+
+def test_what_is_not_read_again_is_removed(spark, documents, monkeypatch):
+    """The nodes of all documents go with the step that reads them, and shuffle files with the write that made them."""
+    kept, gone = {}, []
+    original, remove = neardup.written, neardup.release
+
+    def watched(df, label):
+        back = original(df, label)
+        kept[back.written_to] = back.columns
+        return back
+
+    def removed(*frames):
+        gone.extend(df.written_to for df in frames)
+        remove(*frames)
+
+    monkeypatch.setattr(neardup, "written", watched)
+    monkeypatch.setattr(neardup, "release", removed)
+    texts = varied(3, 6, 5)
+    assert found(documents(texts), 2) == brute(texts, 2)
+    large = [path for path, columns in kept.items() if {"nodes", "mark"} & set(columns) and "here" not in columns]
+    assert large and set(large) <= set(gone)
+
+
+def test_settled_nodes_are_left_out(spark):
+    rows = [(1, 1, 7), (1, 2, 7), (2, 1, 7), (2, 3, 9), (3, 3, 9)]
+    members = spark.createDataFrame(rows, "node long, rep long, label long")
+    assert sorted((r.node, r.rep) for r in neardup.in_mixed_nodes(members).collect()) == [(2, 1), (2, 3)]
